@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from subscore.functions import quoted
 from subscore.operators.prep import text_columns
@@ -20,13 +20,18 @@ def one_hot(df: DataFrame, options: Mapping[str, Iterable[Any]]) -> DataFrame:
     """
     kept = [F.col(quoted(name)) for name in df.columns if name not in options]
     dummies = [
-        F.when(F.col(quoted(name)) == F.lit(option), 1).otherwise(0).alias(f"{name}_{option}")
+        F.when(_equals(F.col(quoted(name)), option), 1).otherwise(0).alias(f"{name}_{option}")
         for name, values in options.items()
         for option in values
     ]
     return df.select(*kept, *dummies)
 
 
+def _equals(column: Column, option: Any) -> Column:
+    """Text options are compared as text, so that learned options fit numeric columns too."""
+    return (column.cast("string") if isinstance(option, str) else column) == F.lit(option)
+
+
 def learn_options(
     df: DataFrame, columns: Iterable[str], max_options: int = 1000
 ) -> dict[str, list[str]]:
