@@ -21,16 +21,16 @@ class Settled:
     rows: list | None
 
 
-def settle(df: DataFrame, max_rows: int = SMALL_ROWS) -> Settled:
+def settle(df: DataFrame) -> Settled:
     """Compute ``df`` once, so that what follows does not repeat its work.
 
-    Up to ``max_rows`` rows are held as a local table, which is then safe to
+    Up to ``SMALL_ROWS`` rows are held as a local table, which is then safe to
     broadcast. A larger one goes to the checkpoint folder and is never
     broadcast by this module.
     """
     spark = df.sparkSession
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows <= max_rows:
+    table = df.limit(SMALL_ROWS + 1).toArrow()
+    if table.num_rows <= SMALL_ROWS:
         return Settled(spark.createDataFrame(table, df.schema), True, table.to_pylist())
     shared_root(spark)
     return Settled(df.checkpoint(), False, None)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -18,20 +17,20 @@ def evaluate_models(
 ) -> DataFrame:
     """(model, metric, value): area under ROC, f1, accuracy, recall, precision of each model.
 
-    Every model scores the table once. Only label, prediction and score are kept
-    of that, and all metrics are taken from there.
+    The models score the table one after the other in a single scan. Only label,
+    prediction and score are kept of that, and all metrics are taken from there.
     """
-    scored = reduce(
-        DataFrame.unionByName,
-        [
-            model.transform(df).select(
-                F.lit(name).alias("model"),
-                F.col(quoted(label)).cast("double").alias("label"),
-                "prediction",
-                vector_item(F.col("rawPrediction")).alias("score"),
-            )
-            for name, model in models.items()
-        ],
+    outcomes = [f"_outcome{i}" for i in range(len(models))]
+    wide = df
+    for (name, model), outcome in zip(models.items(), outcomes, strict=True):
+        found = F.struct(
+            F.lit(name).alias("model"),
+            F.col("prediction"),
+            vector_item(F.col("rawPrediction")).alias("score"),
+        )
+        wide = model.transform(wide).select(*map(quoted, wide.columns), found.alias(outcome))
+    scored = wide.select(
+        F.col(quoted(label)).cast("double").alias("label"), F.inline(F.array(*outcomes))
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = [tuple(row) for row in class_metrics(scored, "label", by=["model"]).collect()]

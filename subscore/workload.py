@@ -42,6 +42,7 @@ from subscore.plans.explain import (
     explain_model,
     explain_models,
     importance,
+    probability_scorer,
 )
 from subscore.plans.models import build_pipeline
 from subscore.plans.prepare import (
@@ -78,11 +79,11 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        QUERIES[name] = function
         if sql is not None:
-            ORACLES[function.__name__] = sql
+            ORACLES[name] = sql
         return function
 
     return register
@@ -156,13 +157,14 @@ def dummies(column: str, options: list[str]) -> str:
 # --- casts, cleaning, projection --------------------------------------------
 
 
-@query(f"WITH {TYPED} SELECT o_orderkey, o_custkey, o_totalprice FROM typed")
+@query("cast_numbers", f"WITH {TYPED} SELECT o_orderkey, o_custkey, o_totalprice FROM typed")
 def cast_numbers(spark, sf_dir):
     raw = raw_orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice")
     return prep.coerce_numbers(prep.cast_columns(raw, {"o_custkey": "int"}), ["o_totalprice"])
 
 
 @query(
+    "map_label",
     """SELECT o_orderkey,
               CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS label,
               CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN '0' ELSE o_orderstatus END AS kept
@@ -178,6 +180,7 @@ def map_label(spark, sf_dir):
 
 
 @query(
+    "null_tokens",
     f"""WITH {RAW} SELECT o_orderkey, o_custkey, o_totalprice,
         nullif(o_orderpriority, '?') AS o_orderpriority, o_orderstatus FROM raw"""
 )
@@ -186,6 +189,7 @@ def null_tokens(spark, sf_dir):
 
 
 @query(
+    "drop_null_rows",
     f"""WITH {TYPED} SELECT o_custkey, o_totalprice, o_orderpriority, o_orderstatus
         FROM typed WHERE {COMPLETE} AND o_orderstatus IS NOT NULL"""
 )
@@ -194,6 +198,7 @@ def drop_null_rows(spark, sf_dir):
 
 
 @query(
+    "filter_equal",
     """SELECT l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag
        FROM lineitem WHERE l_returnflag = 'R'"""
 )
@@ -213,18 +218,19 @@ def filter_equal(spark, sf_dir):
 # --- encoding and preparation -----------------------------------------------
 
 
-@query(f"SELECT o_orderkey, {dummies('o_orderpriority', PRIORITIES)} FROM orders")
+@query("one_hot_given", f"SELECT o_orderkey, {dummies('o_orderpriority', PRIORITIES)} FROM orders")
 def one_hot_given(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     return one_hot(orders, ORDERS.options)
 
 
 @query(
+    "one_hot_learned",
     f"""SELECT l_orderkey, l_linenumber, l_quantity,
         {dummies('l_returnflag', ['A', 'N', 'R'])}, {dummies('l_linestatus', ['F', 'O'])}
         FROM lineitem"""
 )
-def one_hot_from_data(spark, sf_dir):
+def run_one_hot_learned(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"
     )
@@ -232,10 +238,11 @@ def one_hot_from_data(spark, sf_dir):
 
 
 @query(
+    "one_hot_text",
     f"""SELECT o_orderkey, o_totalprice, {dummies('o_orderstatus', ['F', 'O', 'P'])},
         {dummies('o_orderpriority', PRIORITIES)} FROM orders"""
 )
-def one_hot_all_text(spark, sf_dir):
+def run_one_hot_text(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     return one_hot_text(
         orders.select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
@@ -243,6 +250,7 @@ def one_hot_all_text(spark, sf_dir):
 
 
 @query(
+    "prepare_full",
     f"""WITH {TYPED} SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus,
         {dummies('o_orderpriority', PRIORITIES)}
         FROM typed WHERE {COMPLETE} AND o_orderstatus IS NOT NULL"""
@@ -252,6 +260,7 @@ def prepare_full(spark, sf_dir):
 
 
 @query(
+    "prepare_unlabelled",
     f"""WITH {TYPED} SELECT o_custkey, o_totalprice, {dummies('o_orderpriority', PRIORITIES)}
         FROM typed WHERE {COMPLETE}"""
 )
@@ -260,6 +269,7 @@ def prepare_unlabelled(spark, sf_dir):
 
 
 @query(
+    "prepare_encode_first",
     f"""WITH {RAW}, encoded AS (
           SELECT o_orderkey,
                  CAST(trunc(TRY_CAST(o_custkey AS DOUBLE)) AS INTEGER) AS o_custkey,
@@ -269,7 +279,7 @@ def prepare_unlabelled(spark, sf_dir):
           FROM raw)
         SELECT * FROM encoded WHERE o_totalprice IS NOT NULL AND o_orderstatus IS NOT NULL"""
 )
-def prepare_encoding_first(spark, sf_dir):
+def run_prepare_encode_first(spark, sf_dir):
     raw = raw_orders(spark, sf_dir)
     return prepare_encode_first(raw, replace(ORDERS, options=learn_options(raw, ORDERS.options)))
 
@@ -278,24 +288,26 @@ def prepare_encoding_first(spark, sf_dir):
 
 
 @query(
+    "distinct_values",
     """SELECT 'o_orderstatus' AS "column", o_orderstatus AS value FROM orders GROUP BY 2
        UNION ALL
        SELECT 'o_orderpriority', o_orderpriority FROM orders GROUP BY 2
        UNION ALL
        SELECT 'o_custkey', CAST(o_custkey AS VARCHAR) FROM orders GROUP BY 2"""
 )
-def distinct_per_column(spark, sf_dir):
+def run_distinct_values(spark, sf_dir):
     return distinct_values(
         table(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority", "o_custkey"]
     )
 
 
-@query("SELECT count(*) AS n FROM lineitem")
-def count_rows(spark, sf_dir):
+@query("row_count", "SELECT count(*) AS n FROM lineitem")
+def run_row_count(spark, sf_dir):
     return row_count(table(spark, sf_dir, "lineitem"))
 
 
 @query(
+    "null_profile",
     f"""WITH {TYPED}
         SELECT 'o_orderkey' AS "column", count(*) - count(o_orderkey) AS nulls FROM typed
         UNION ALL SELECT 'o_custkey', count(*) - count(o_custkey) FROM typed
@@ -308,6 +320,7 @@ def null_profile(spark, sf_dir):
 
 
 @query(
+    "column_summary",
     f"""WITH {TYPED}
         SELECT 0 AS position, 'o_orderkey' AS "column", 'string' AS type,
                count(o_orderkey) AS non_null FROM typed
@@ -316,33 +329,35 @@ def null_profile(spark, sf_dir):
         UNION ALL SELECT 3, 'o_orderpriority', 'string', count(o_orderpriority) FROM typed
         UNION ALL SELECT 4, 'o_orderstatus', 'int', count(o_orderstatus) FROM typed"""
 )
-def column_profile(spark, sf_dir):
+def run_column_summary(spark, sf_dir):
     return column_summary(clean(raw_orders(spark, sf_dir), ORDERS))
 
 
-@query("SELECT o_orderpriority AS value, count(*) AS n FROM orders GROUP BY 1")
-def counts_by_value(spark, sf_dir):
+@query("value_counts", "SELECT o_orderpriority AS value, count(*) AS n FROM orders GROUP BY 1")
+def run_value_counts(spark, sf_dir):
     return value_counts(table(spark, sf_dir, "orders"), "o_orderpriority")
 
 
 @query(
+    "value_shares",
     """SELECT o_orderpriority AS value, count(*) AS n,
               round(count(*) / sum(count(*)) OVER (), 6) AS share
        FROM orders GROUP BY 1"""
 )
-def shares_by_value(spark, sf_dir):
+def run_value_shares(spark, sf_dir):
     shares = value_shares(table(spark, sf_dir, "orders"), "o_orderpriority")
     return shares.withColumn("share", F.round("share", 6))
 
 
 @query(
+    "segment_shares",
     """SELECT l_returnflag AS segment, l_linestatus AS value, count(*) AS n,
               round(count(*) / sum(count(*)) OVER (PARTITION BY l_returnflag), 6) AS share,
               CAST(round_even(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY l_returnflag), 0)
                    AS INTEGER) AS percent
        FROM lineitem GROUP BY 1, 2"""
 )
-def shares_by_segment(spark, sf_dir):
+def run_segment_shares(spark, sf_dir):
     shares = segment_shares(table(spark, sf_dir, "lineitem"), "l_returnflag", "l_linestatus")
     return shares.withColumn("share", F.round("share", 6))
 
@@ -372,12 +387,12 @@ def rounded_edges(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.round(name, 6) for name in ("left", "right")})
 
 
-@query(histogram_sql("lineitem", "l_quantity", None))
-def histogram_whole(spark, sf_dir):
+@query("histogram", histogram_sql("lineitem", "l_quantity", None))
+def run_histogram(spark, sf_dir):
     return rounded_edges(histogram(table(spark, sf_dir, "lineitem"), "l_quantity"))
 
 
-@query(histogram_sql("lineitem", "l_quantity", "l_returnflag"))
+@query("histogram_by_group", histogram_sql("lineitem", "l_quantity", "l_returnflag"))
 def histogram_by_group(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem")
     return rounded_edges(histogram(rows, "l_quantity", by="l_returnflag"))
@@ -392,6 +407,7 @@ BOX = """b AS (SELECT event_type AS g, quantile_cont(value, 0.25) AS q1,
 
 
 @query(
+    "box_stats",
     f"""WITH {BOX} SELECT g AS "group", count(*) AS n, round(q1, 6) AS q1,
           round(q2, 6) AS median, round(q3, 6) AS q3,
           round(least(min(x) FILTER (inside), q1), 6) AS whisker_low,
@@ -399,7 +415,7 @@ BOX = """b AS (SELECT event_type AS g, quantile_cont(value, 0.25) AS q1,
           count(*) FILTER (NOT inside) AS outliers
         FROM f GROUP BY g, q1, q2, q3"""
 )
-def box_by_group(spark, sf_dir):
+def run_box_stats(spark, sf_dir):
     stats = box_stats(table(spark, sf_dir, "events"), "value", "event_type")
     return stats.withColumns(
         {n: F.round(n, 6) for n in ("q1", "median", "q3", "whisker_low", "whisker_high")}
@@ -407,10 +423,11 @@ def box_by_group(spark, sf_dir):
 
 
 @query(
+    "box_outliers",
     f"""WITH {BOX} SELECT g AS "group", x AS value, count(*) AS n
         FROM f WHERE NOT inside GROUP BY g, x"""
 )
-def outliers_by_group(spark, sf_dir):
+def run_box_outliers(spark, sf_dir):
     return box_outliers(table(spark, sf_dir, "events"), "value", "event_type")
 
 
@@ -418,6 +435,7 @@ NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @query(
+    "label_correlation",
     """WITH e AS (SELECT l_quantity, l_discount, (l_returnflag = 'A')::INT AS a,
                          (l_returnflag = 'N')::INT AS n, (l_returnflag = 'R')::INT AS r,
                          (l_quantity > 25)::INT AS label FROM lineitem)
@@ -428,7 +446,7 @@ NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
        UNION ALL SELECT 'l_returnflag_R', round(corr(r, label), 6) FROM e
        UNION ALL SELECT 'label', round(corr(label, label), 6) FROM e"""
 )
-def correlation_with_label(spark, sf_dir):
+def run_label_correlation(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select(
         "l_quantity", "l_discount", "l_returnflag", (F.col("l_quantity") > 25).cast("int").alias("label")
     )
@@ -438,6 +456,7 @@ def correlation_with_label(spark, sf_dir):
 
 
 @query(
+    "correlation_matrix",
     "WITH c AS (SELECT "
     + ", ".join(f"corr({a}, {b}) AS {a}__{b}" for a in NUMBERS for b in NUMBERS)
     + " FROM lineitem) "
@@ -447,18 +466,19 @@ def correlation_with_label(spark, sf_dir):
         for b in NUMBERS
     )
 )
-def correlation_of_all(spark, sf_dir):
+def run_correlation_matrix(spark, sf_dir):
     found = correlation_matrix(table(spark, sf_dir, "lineitem"), NUMBERS)
     return found.withColumn("correlation", F.round("correlation", 6))
 
 
 @query(
+    "medians",
     " UNION ALL ".join(
         f"SELECT '{name}' AS \"column\", round(median({name}), 6) AS median FROM lineitem"
         for name in NUMBERS
     )
 )
-def column_medians(spark, sf_dir):
+def run_medians(spark, sf_dir):
     found = medians(table(spark, sf_dir, "lineitem"), NUMBERS)
     return found.withColumn("median", F.round("median", 6))
 
@@ -467,10 +487,11 @@ def column_medians(spark, sf_dir):
 
 
 @query(
+    "first_rows",
     """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
        ORDER BY o_totalprice, o_orderkey LIMIT 100"""
 )
-def first_orders(spark, sf_dir):
+def run_first_rows(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     return first_rows(orders, ["o_totalprice", "o_orderkey"], 100)
 
@@ -481,10 +502,11 @@ def fraction_sql(seed: int, *keys: str) -> str:
 
 
 @query(
+    "split_by_key",
     f"""SELECT o_orderkey, CASE WHEN {fraction_sql(7, 'o_orderkey')} < 0.8
                            THEN 'train' ELSE 'test' END AS part FROM orders"""
 )
-def split_orders(spark, sf_dir):
+def run_split_by_key(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
     train, test = split_by_key(orders, ["o_orderkey"], 0.8, seed=7)
     return train.withColumn("part", F.lit("train")).unionByName(
@@ -492,27 +514,27 @@ def split_orders(spark, sf_dir):
     )
 
 
-@query()
-def split_at_random(spark, sf_dir):
+@query("random_split", "SELECT o_orderkey, o_totalprice FROM orders")
+def run_random_split(spark, sf_dir):
+    """Both parts together: they must cover the table and share no row."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     train, test = random_split(orders, 0.8, seed=7)
-    return train.withColumn("part", F.lit("train")).unionByName(
-        test.withColumn("part", F.lit("test"))
-    )
+    return train.unionByName(test)
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
-def union_parts(spark, sf_dir):
+@query("union_by_name", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def run_union_by_name(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     train, test = split_by_key(orders, ["o_orderkey"])
     return union_by_name(train, test.select("o_totalprice", "o_custkey", "o_orderkey"))
 
 
 @query(
+    "union_missing",
     f"""SELECT o_orderkey, o_custkey, CASE WHEN {fraction_sql(0, 'o_orderkey')} < 0.8
                                       THEN o_orderstatus END AS o_orderstatus FROM orders"""
 )
-def union_with_missing(spark, sf_dir):
+def run_union_missing(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     train, test = split_by_key(orders, ["o_orderkey"])
     return union_by_name(train, test.drop("o_orderstatus"), missing=True)
@@ -522,24 +544,26 @@ def union_with_missing(spark, sf_dir):
 
 
 @query(
+    "csv_round_trip",
     f"""WITH {RAW} SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, o_orderstatus
         FROM raw"""
 )
-def csv_as_text(spark, sf_dir):
+def run_csv_round_trip(spark, sf_dir):
     path = scratch_path(spark, "orders-csv")
     raw = raw_orders(spark, sf_dir)
     write_csv(raw, path)
     return read_csv(spark, path, raw.columns)
 
 
-@query("SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_acctbal FROM customer")
-def csv_with_types(spark, sf_dir):
+@query("csv_typed", "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_acctbal FROM customer")
+def run_csv_typed(spark, sf_dir):
     path = scratch_path(spark, "customer-csv")
     write_csv(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal"), path)
     return read_typed_csv(spark, path)
 
 
 @query(
+    "json_fields",
     """SELECT event_id, json_extract_string(props, '$.k') AS k, user_id, event_type
        FROM events"""
 )
@@ -568,7 +592,7 @@ MESSAGES = f"""{RAW}, parsed AS (
   FROM raw)"""
 
 
-@query(f"WITH {MESSAGES} SELECT * FROM parsed")
+@query("json_messages", f"WITH {MESSAGES} SELECT * FROM parsed")
 def json_messages(spark, sf_dir):
     return parse_messages(as_json(raw_orders(spark, sf_dir)), MESSAGE_COLUMNS)
 
@@ -580,7 +604,7 @@ def as_base64(raw: DataFrame) -> DataFrame:
     )
 
 
-@query(f"WITH {MESSAGES} SELECT * FROM parsed")
+@query("base64_messages", f"WITH {MESSAGES} SELECT * FROM parsed")
 def base64_messages(spark, sf_dir):
     decoded = decode_messages(as_base64(raw_orders(spark, sf_dir)))
     return parse_messages(decoded, MESSAGE_COLUMNS)
@@ -590,6 +614,7 @@ def base64_messages(spark, sf_dir):
 
 
 @query(
+    "standardise",
     """WITH s AS (SELECT stddev_samp(l_quantity) AS q, stddev_samp(l_tax) AS t FROM lineitem)
        SELECT l_orderkey, l_linenumber, l_partkey, round(l_quantity / q, 6) AS quantity,
               round(l_tax / t, 6) AS tax FROM lineitem, s"""
@@ -625,6 +650,7 @@ METRIC_ROWS = " UNION ALL ".join(
 
 
 @query(
+    "metric_table",
     f"""WITH scored AS (SELECT (l_returnflag = 'R')::INT AS label,
                                (l_quantity > 25)::INT AS prediction FROM lineitem),
         {METRICS} {METRIC_ROWS}"""
@@ -638,6 +664,7 @@ def metric_table(spark, sf_dir):
 
 
 @query(
+    "auc",
     """WITH s AS (SELECT l_quantity AS x, sum((l_returnflag = 'R')::INT) AS pos,
                          sum((l_returnflag <> 'R')::INT) AS neg FROM lineitem GROUP BY 1),
        r AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING
@@ -694,7 +721,7 @@ SINGLE_TREE = {
     "featureSubsetStrategy": "all",
 }
 BOOSTED = {"maxDepth": 5, "maxIter": 5, "stepSize": 0.3}
-PLAIN_LOGIT = {"regParam": 0.0, "maxIter": 100, "tol": 1e-8}
+PLAIN_LOGIT = {"regParam": 0.0, "maxIter": 100}
 
 SEGMENT_MEANS = f"""WITH {LABELLED} SELECT segment, count(*) AS n,
     CAST(avg(label) > 0.5 AS DOUBLE) AS prediction,
@@ -712,28 +739,28 @@ def by_segment(scored: DataFrame, probability: bool) -> DataFrame:
     return scored.groupBy("segment").agg(*[c.alias(name) for name, c in found.items()])
 
 
-@query(SEGMENT_MEANS)
-def fit_log_reg(spark, sf_dir):
+@query("fit_lr", SEGMENT_MEANS)
+def run_fit_lr(spark, sf_dir):
     rows = labelled_lines(spark, sf_dir)
     model = fitted(spark, rows, "log_reg", **PLAIN_LOGIT)
     return by_segment(model.transform(rows), probability=True)
 
 
-@query(SEGMENT_CLASSES)
+@query("fit_rf", SEGMENT_CLASSES)
 def fit_rf(spark, sf_dir):
     rows = labelled_lines(spark, sf_dir)
     model = fitted(spark, rows, "rf", **SINGLE_TREE)
     return by_segment(model.transform(rows), probability=False)
 
 
-@query(SEGMENT_CLASSES)
+@query("fit_gbdt", SEGMENT_CLASSES)
 def fit_gbdt(spark, sf_dir):
     rows = labelled_lines(spark, sf_dir)
     model = fitted(spark, rows, "gbdt", **BOOSTED)
     return by_segment(model.transform(rows), probability=False)
 
 
-@query(SEGMENT_CLASSES)
+@query("fit_svm", SEGMENT_CLASSES)
 def fit_svm(spark, sf_dir):
     rows = labelled_lines(spark, sf_dir)
     model = fitted(spark, rows, "svm", regParam=0.0001)
@@ -747,6 +774,7 @@ MODEL_AUC = """sums AS (SELECT share, sum(label) AS pos, sum(1 - label) AS neg F
 
 
 @query(
+    "compare_models",
     f"""WITH {LABELLED}, judged AS (SELECT label, avg(label) OVER (PARTITION BY segment) AS share
                                     FROM labelled),
         scored AS (SELECT label, (share > 0.5)::INT AS prediction FROM judged),
@@ -800,17 +828,17 @@ def test_scores(spark, selections) -> DataFrame:
     return selections_frame(spark, selections).select("family", F.round("test", 6).alias("test"))
 
 
-@query(search_sql("log_reg"))
-def search_log_reg(spark, sf_dir):
+@query("search_lr", search_sql("log_reg"))
+def run_search_lr(spark, sf_dir):
     return test_scores(spark, searched(spark, sf_dir, ["log_reg"]))
 
 
-@query(search_sql("rf", "log_reg", "gbdt", "svm"))
+@query("search_all", search_sql("rf", "log_reg", "gbdt", "svm"))
 def search_all(spark, sf_dir):
     return test_scores(spark, searched(spark, sf_dir, ["rf", "log_reg", "gbdt", "svm"]))
 
 
-@query()
+@query("search_trials")
 def search_trials(spark, sf_dir):
     return trials_frame(spark, searched(spark, sf_dir, ["svm"]))
 
@@ -843,7 +871,7 @@ def rule_sql(ctes: str, source: str) -> str:
       FROM margins"""
 
 
-@query(rule_sql(RAW, "raw"))
+@query("score_keyed", rule_sql(RAW, "raw"))
 def score_keyed(spark, sf_dir):
     path = scratch_path(spark, "scores")
     raw = raw_orders(spark, sf_dir).drop(ORDERS.label)
@@ -852,6 +880,7 @@ def score_keyed(spark, sf_dir):
 
 
 @query(
+    "score_rejects",
     f"""WITH {RAW} SELECT * FROM raw WHERE TRY_CAST(o_totalprice AS DOUBLE) IS NULL
         OR o_orderpriority = '?' OR o_orderstatus NOT IN ('F', 'O')"""
 )
@@ -859,8 +888,8 @@ def score_rejects(spark, sf_dir):
     return rejects(raw_orders(spark, sf_dir), ORDERS)
 
 
-@query(rule_sql(MESSAGES, "parsed"))
-def score_event_batch(spark, sf_dir):
+@query("score_events", rule_sql(MESSAGES, "parsed"))
+def run_score_events(spark, sf_dir):
     path = scratch_path(spark, "event-scores")
     events = as_base64(raw_orders(spark, sf_dir))
     score_events(events, MESSAGE_COLUMNS, rule_scorer, ORDERS, path)
@@ -889,12 +918,12 @@ def streamed(spark, sf_dir, start) -> DataFrame:
     return scores.select("o_orderkey", "prediction")
 
 
-@query(rule_sql(MESSAGES, "parsed"))
+@query("stream_score", rule_sql(MESSAGES, "parsed"))
 def stream_score(spark, sf_dir):
     return streamed(spark, sf_dir, start_scoring)
 
 
-@query(rule_sql(MESSAGES, "parsed"))
+@query("stream_score_batches", rule_sql(MESSAGES, "parsed"))
 def stream_score_batches(spark, sf_dir):
     return streamed(spark, sf_dir, start_batch_scoring)
 
@@ -903,6 +932,7 @@ def stream_score_batches(spark, sf_dir):
 
 
 @query(
+    "class_probability",
     """SELECT l_orderkey, l_linenumber, l_partkey,
               round(1 / (1 + exp(-(0.05 * l_quantity - 10 * l_discount - 0.5))), 6) AS score
        FROM lineitem"""
@@ -945,7 +975,8 @@ def linear_effects(spark, sf_dir) -> DataFrame:
 
 
 @query(
-    f"""{LINEAR_EFFECTS} SELECT o_orderkey, feature, value, round(attribution, 6) AS attribution
+    "attribution_linear",
+    f"""{LINEAR_EFFECTS} SELECT o_orderkey, feature, value, round(attribution, 6) + 0.0 AS attribution
         FROM effects"""
 )
 def attribution_linear(spark, sf_dir):
@@ -954,6 +985,7 @@ def attribution_linear(spark, sf_dir):
 
 
 @query(
+    "attribution_rank",
     f"""{LINEAR_EFFECTS} SELECT feature, round(avg(abs(attribution)), 6) AS importance
         FROM effects GROUP BY feature ORDER BY 2 DESC, 1 LIMIT 5"""
 )
@@ -967,6 +999,7 @@ def curve(price: str, customer: str) -> str:
 
 
 @query(
+    "attribution_curved",
     f"""WITH base AS (SELECT o_totalprice AS bp, o_custkey AS bc FROM orders
                       ORDER BY o_orderkey LIMIT 4),
         points AS (SELECT o_orderkey, o_totalprice AS p, o_custkey AS c,
@@ -974,10 +1007,10 @@ def curve(price: str, customer: str) -> str:
                           {curve('bp', 'o_custkey')} AS bc, {curve('bp', 'bc')} AS bb
                    FROM orders, base)
         SELECT o_orderkey, 'o_totalprice' AS feature, p AS value,
-               round(avg((pc - bc + pb - bb) / 2), 6) AS attribution FROM points GROUP BY 1, p
+               round(avg((pc - bc + pb - bb) / 2), 6) + 0.0 AS attribution FROM points GROUP BY 1, p
         UNION ALL
         SELECT o_orderkey, 'o_custkey', CAST(c AS DOUBLE),
-               round(avg((pc - pb + bc - bb) / 2), 6) FROM points GROUP BY 1, c"""
+               round(avg((pc - pb + bc - bb) / 2), 6) + 0.0 FROM points GROUP BY 1, c"""
 )
 def attribution_curved(spark, sf_dir):
     def scorer(df: DataFrame) -> DataFrame:
@@ -992,15 +1025,36 @@ def attribution_curved(spark, sf_dir):
     return found.withColumn("attribution", F.round("attribution", 6) + 0.0)
 
 
-@query()
-def attribution_model(spark, sf_dir):
+def explained_model(spark, sf_dir):
     rows = prepare(raw_orders(spark, sf_dir), ORDERS)
     features = model_features(rows, ORDERS)
     model = build_pipeline("log_reg", features, ORDERS.label, regParam=0.01).fit(rows)
-    return explain_model(model, rows, features, [ORDERS.key], max_background=4, pairs=1)
+    found = explain_model(model, rows, features, [ORDERS.key], max_background=4, pairs=1)
+    return rows, model, found
 
 
-@query()
+@query("attribution_model")
+def attribution_model(spark, sf_dir):
+    return explained_model(spark, sf_dir)[2]
+
+
+@query(
+    "attribution_sum",
+    f"""WITH {TYPED} SELECT o_orderkey, 0.0::DOUBLE AS difference
+        FROM typed WHERE {COMPLETE} AND o_orderstatus IS NOT NULL""",
+)
+def attribution_sum(spark, sf_dir):
+    """A row's attributions add up to its score less the background's mean score."""
+    rows, model, found = explained_model(spark, sf_dir)
+    add_score = probability_scorer(model)
+    base = add_score(first_rows(rows, [ORDERS.key], 4)).agg(F.avg("score")).first()[0]
+    expected = add_score(rows).select(ORDERS.key, (F.col("score") - base).alias("expected"))
+    totals = found.groupBy(ORDERS.key).agg(F.sum("attribution").alias("total"))
+    difference = F.round(F.col("total") - F.col("expected"), 6) + 0.0
+    return totals.join(expected, ORDERS.key).select(ORDERS.key, difference.alias("difference"))
+
+
+@query("attribution_of_models")
 def attribution_of_models(spark, sf_dir):
     rows = prepare(raw_orders(spark, sf_dir), ORDERS)
     features = model_features(rows, ORDERS)
