@@ -18,7 +18,10 @@ def quoted(name: str) -> str:
 def to_int(column: Column) -> Column:
     """Text to int with the fraction cut off: '12.7' -> 12, '.5' -> 0, '1e2' -> NULL."""
     whole = F.regexp_extract(column, _WHOLE_PART, 1).try_cast("int")
-    return F.when(column.rlike(_FRACTION_ONLY), F.lit(0)).otherwise(whole)
+    # Plain numbers, nearly all, never reach the patterns.
+    return F.coalesce(
+        column.try_cast("int"), F.when(column.rlike(_FRACTION_ONLY), F.lit(0)), whole
+    )
 
 
 def to_double(column: Column) -> Column:

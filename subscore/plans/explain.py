@@ -106,8 +106,9 @@ def attributions(
     steps = starting.withColumn(
         "_steps",
         F.filter("_walk.path", lambda i: F.get(values, i) != F.get(F.col("_base"), i)),
-    ).where(F.size("_steps") > 0)
-    points = steps.withColumn("_at", F.explode(F.sequence(F.lit(0), F.size("_steps"))))
+    )
+    size = F.size("_steps")
+    points = steps.withColumn("_at", F.explode(F.when(size > 0, F.sequence(F.lit(0), size))))
     gained, lost = F.get("_steps", F.col("_at") - 1), F.get("_steps", F.col("_at"))
     points = points.select(
         *keys,

@@ -34,7 +34,9 @@ def parse_messages(df: DataFrame, columns: Iterable[str], payload: str = "data")
     that it can be reported instead of vanishing.
     """
     parsed = parse_json(F.col(quoted(payload)), text_schema(columns))
-    return df.select(parsed.alias("record")).select("record.*")
+    # As a generator, the parse runs once per message. As a plain column it would be
+    # copied into every later filter that the optimizer moves below it.
+    return df.select(F.inline(F.array(parsed)))
 
 
 def decode_messages(df: DataFrame, payload: str = "data") -> DataFrame:

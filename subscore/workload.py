@@ -93,6 +93,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A table whose file has fewer parts than there are cores, spread over the cores.
+
+    For work that costs far more than the scan. A table of many files stays as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 # --- the raw form of orders -------------------------------------------------
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -479,7 +488,7 @@ def run_correlation_matrix(spark, sf_dir):
     )
 )
 def run_medians(spark, sf_dir):
-    found = medians(table(spark, sf_dir, "lineitem"), NUMBERS)
+    found = medians(spread(table(spark, sf_dir, "lineitem").select(*NUMBERS)), NUMBERS)
     return found.withColumn("median", F.round("median", 6))
 
 
@@ -701,7 +710,7 @@ def labelled_lines(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ())
         *keep, segment.alias("segment"), label.cast("int").alias("label")
     )
     return one_hot(
-        rows.withColumn("named", F.col("segment")), {"segment": list(THRESHOLDS)}
+        spread(rows).withColumn("named", F.col("segment")), {"segment": list(THRESHOLDS)}
     ).withColumnRenamed("named", "segment")
 
 
@@ -763,7 +772,7 @@ def fit_gbdt(spark, sf_dir):
 @query("fit_svm", SEGMENT_CLASSES)
 def fit_svm(spark, sf_dir):
     rows = labelled_lines(spark, sf_dir)
-    model = fitted(spark, rows, "svm", regParam=0.0001)
+    model = fitted(spark, rows, "svm", regParam=0.0001, maxIter=10)
     return by_segment(model.transform(rows), probability=False)
 
 
@@ -801,7 +810,7 @@ NARROW_SPACES = {
         "maxIter": Choice(range(4, 6)),
         "stepSize": Uniform(0.1, 0.3),
     },
-    "svm": {"regParam": Uniform(0.0, 0.001)},
+    "svm": {"regParam": Uniform(0.0, 0.001), "maxIter": Choice([10])},
 }
 
 
@@ -840,7 +849,7 @@ def search_all(spark, sf_dir):
 
 @query("search_trials")
 def search_trials(spark, sf_dir):
-    return trials_frame(spark, searched(spark, sf_dir, ["svm"]))
+    return trials_frame(spark, searched(spark, sf_dir, ["log_reg"]))
 
 
 # --- scoring ----------------------------------------------------------------
@@ -969,14 +978,14 @@ def linear_scorer(df: DataFrame) -> DataFrame:
 
 
 def linear_effects(spark, sf_dir) -> DataFrame:
-    rows = prepare(raw_orders(spark, sf_dir).drop(ORDERS.label), ORDERS)
+    rows = prepare(spread(raw_orders(spark, sf_dir).drop(ORDERS.label)), ORDERS)
     background = first_rows(rows, [ORDERS.key], 10)
     return attributions(rows, background, ORDERS.features, [ORDERS.key], linear_scorer, pairs=1)
 
 
 @query(
     "attribution_linear",
-    f"""{LINEAR_EFFECTS} SELECT o_orderkey, feature, value, round(attribution, 6) + 0.0 AS attribution
+    f"""{LINEAR_EFFECTS} SELECT o_orderkey, feature, value, coalesce(nullif(round(attribution, 6), 0), 0) AS attribution
         FROM effects"""
 )
 def attribution_linear(spark, sf_dir):
@@ -1007,17 +1016,17 @@ def curve(price: str, customer: str) -> str:
                           {curve('bp', 'o_custkey')} AS bc, {curve('bp', 'bc')} AS bb
                    FROM orders, base)
         SELECT o_orderkey, 'o_totalprice' AS feature, p AS value,
-               round(avg((pc - bc + pb - bb) / 2), 6) + 0.0 AS attribution FROM points GROUP BY 1, p
+               coalesce(nullif(round(avg((pc - bc + pb - bb) / 2), 6), 0), 0) AS attribution FROM points GROUP BY 1, p
         UNION ALL
         SELECT o_orderkey, 'o_custkey', CAST(c AS DOUBLE),
-               round(avg((pc - pb + bc - bb) / 2), 6) + 0.0 FROM points GROUP BY 1, c"""
+               coalesce(nullif(round(avg((pc - pb + bc - bb) / 2), 6), 0), 0) FROM points GROUP BY 1, c"""
 )
 def attribution_curved(spark, sf_dir):
     def scorer(df: DataFrame) -> DataFrame:
         margin = F.col("o_totalprice") * 0.00001 - F.col("o_custkey") * 0.002
         return df.withColumn("score", sigmoid(margin))
 
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_custkey")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_custkey"))
     background = first_rows(orders, ["o_orderkey"], 4)
     found = attributions(
         orders, background, ["o_custkey", "o_totalprice"], ["o_orderkey"], scorer, pairs=1
@@ -1026,7 +1035,7 @@ def attribution_curved(spark, sf_dir):
 
 
 def explained_model(spark, sf_dir):
-    rows = prepare(raw_orders(spark, sf_dir), ORDERS)
+    rows = prepare(spread(raw_orders(spark, sf_dir)), ORDERS)
     features = model_features(rows, ORDERS)
     model = build_pipeline("log_reg", features, ORDERS.label, regParam=0.01).fit(rows)
     found = explain_model(model, rows, features, [ORDERS.key], max_background=4, pairs=1)
@@ -1056,11 +1065,11 @@ def attribution_sum(spark, sf_dir):
 
 @query("attribution_of_models")
 def attribution_of_models(spark, sf_dir):
-    rows = prepare(raw_orders(spark, sf_dir), ORDERS)
+    rows = prepare(spread(raw_orders(spark, sf_dir)), ORDERS)
     features = model_features(rows, ORDERS)
     settings = {
         "RF": ("rf", {"numTrees": 5, "maxDepth": 4}),
-        "SVM": ("svm", {"regParam": 0.01, "maxIter": 20}),
+        "SVM": ("svm", {"regParam": 0.01, "maxIter": 10}),
         "GBDT": ("gbdt", {"maxIter": 3, "maxDepth": 3}),
         "LR": ("log_reg", {"regParam": 0.01}),
     }
