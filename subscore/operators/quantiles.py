@@ -33,29 +33,43 @@ def exact_quantiles(
 
     NULL and NaN are left out. ``finish_rows`` bounds the rows ranked in one task.
     """
-    source = df if by is None else df.withColumn("group", F.col(quoted(by)))
     keys = ["column"] if by is None else ["group", "column"]
-    long = source.select(
-        *keys[:-1], *[F.col(quoted(name)).cast("double").alias(name) for name in columns]
-    ).unpivot(keys[:-1], [quoted(name) for name in columns], "column", "value")
-    return _quantiles(
-        weighted(long, keys, F.col("value")), keys, list(probabilities), bins, finish_rows
+    names = list(columns)
+    numbers = df.select(
+        *[F.col(quoted(by)).alias(key) for key in keys[:-1]],
+        *[F.col(quoted(name)).cast("double").alias(name) for name in names],
     )
-
-
-def _quantiles(
-    values: DataFrame, keys: list[str], probabilities: list[float], bins: int, finish_rows: int
-) -> DataFrame:
-    brackets = settle(_first_brackets(values, keys, probabilities))
+    long = numbers.unpivot(keys[:-1], [quoted(name) for name in names], "column", "value")
+    brackets = settle(_first_brackets(numbers, names, keys, list(probabilities)))
+    values = weighted(long, keys, F.col("value"))
     while _any_open(brackets, finish_rows):
         brackets = settle(_narrow(values, brackets, keys, bins, finish_rows))
     return _interpolate(_rank(values, brackets, keys), keys)
 
 
-def _first_brackets(values: DataFrame, keys: list[str], probabilities: list[float]) -> DataFrame:
-    """One row per group, probability and end (0 lower, 1 upper) of the wanted rank."""
-    whole = values.groupBy(*keys).agg(
-        F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("n").alias("inside")
+def _first_brackets(
+    numbers: DataFrame, names: list[str], keys: list[str], probabilities: list[float]
+) -> DataFrame:
+    """One row per group, column, probability and end (0 lower, 1 upper) of the wanted rank."""
+    limits = []
+    for i, name in enumerate(names):
+        x = F.when(~F.isnan(quoted(name)), F.col(quoted(name)))
+        limits += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"), F.count(x).alias(f"n{i}")]
+    per_column = [
+        F.struct(
+            F.lit(name).alias("column"),
+            F.col(f"lo{i}").alias("lo"),
+            F.col(f"hi{i}").alias("hi"),
+            F.col(f"n{i}").alias("inside"),
+        )
+        for i, name in enumerate(names)
+    ]
+    groups = keys[:-1]
+    whole = (
+        numbers.groupBy(*groups)
+        .agg(*limits)
+        .select(*groups, F.inline(F.array(*per_column)))
+        .where(F.col("inside") > 0)
     )
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
     position = F.col("probability") * (F.col("inside") - 1)
@@ -104,8 +118,9 @@ def _bin_of(bins: int) -> Column:
 
 
 def _distinct_brackets(brackets: Settled, condition: Column, keys: list[str]) -> Settled:
+    """Several ranks often share a bracket; its rows must meet it once."""
     frame = brackets.frame.where(condition).select(*keys, "lo", "hi", "before").distinct()
-    return Settled(frame, brackets.small, None)
+    return settle(frame) if brackets.small else Settled(frame, False, None)
 
 
 def _inside(values: DataFrame, side: Settled, keys: list[str]) -> DataFrame:
