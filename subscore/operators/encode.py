@@ -20,16 +20,19 @@ def one_hot(df: DataFrame, options: Mapping[str, Iterable[Any]]) -> DataFrame:
     """
     kept = [F.col(quoted(name)) for name in df.columns if name not in options]
     dummies = [
-        F.when(_equals(F.col(quoted(name)), option), 1).otherwise(0).alias(f"{name}_{option}")
+        _is(F.col(quoted(name)), option).cast("int").alias(f"{name}_{option}")
         for name, values in options.items()
         for option in values
     ]
     return df.select(*kept, *dummies)
 
 
-def _equals(column: Column, option: Any) -> Column:
-    """Text options are compared as text, so that learned options fit numeric columns too."""
-    return (column.cast("string") if isinstance(option, str) else column) == F.lit(option)
+def _is(column: Column, option: Any) -> Column:
+    """True or false, also for NULL.
+
+    Text options are compared as text, so that learned options fit numeric columns too.
+    """
+    return (column.cast("string") if isinstance(option, str) else column).eqNullSafe(option)
 
 
 def learn_options(

@@ -52,10 +52,17 @@ def null_tokens(df: DataFrame, token: str = "?") -> DataFrame:
     )
 
 
-def complete(df: DataFrame, subset: Iterable[str] | None = None) -> Column:
-    """Condition: no column of ``subset`` (default: all) is NULL or NaN."""
-    names = list(df.columns if subset is None else subset)
-    checks = [~is_missing(F.col(quoted(name)), df.schema[name].dataType) for name in names]
+def complete(
+    df: DataFrame, subset: Iterable[str] | None = None, null_token: str | None = None
+) -> Column:
+    """Condition: no column of ``subset`` (default: all) is NULL or NaN, or holds the token."""
+    checks = []
+    for name in df.columns if subset is None else subset:
+        column, data_type = F.col(quoted(name)), df.schema[name].dataType
+        if null_token is not None and isinstance(data_type, T.StringType):
+            checks.append(~F.coalesce(column == F.lit(null_token), F.lit(True)))
+        else:
+            checks.append(~is_missing(column, data_type))
     return reduce(lambda left, right: left & right, checks, F.lit(True))
 
 

@@ -89,12 +89,11 @@ def attributions(
     base = _background_rows(background, features, max_background)
     walks = _walks(len(features), pairs, seed)
     weight = 1.0 / (len(base) * len(walks))
+    keys = [f"_key{i}" for i in range(len(key))]
     numbered = rows.select(
-        *[F.col(quoted(name)).alias(f"_key{i}") for i, name in enumerate(key)],
-        *[F.col(quoted(name)).cast("double").alias(f"_x{i}") for i, name in enumerate(features)],
+        *[F.col(quoted(name)).alias(made) for name, made in zip(key, keys, strict=True)],
+        F.array(*[F.col(quoted(name)).cast("double") for name in features]).alias("_own"),
     )
-    keys = [f"_key{i}" for i in range(len(key))]
-    own = [F.col(f"_x{i}") for i in range(len(features))]
 
     walking = numbered.withColumn(
         "_walk", F.explode(_literal(walks, "array<struct<path:array<int>,place:array<int>>>"))
@@ -102,33 +101,31 @@ def attributions(
     if partitions is not None:
         walking = walking.repartition(partitions, *keys, F.col("_walk.path"))
     starting = walking.withColumn("_base", F.explode(_literal(base, "array<array<double>>")))
-    values = F.array(*own)
     steps = starting.withColumn(
         "_steps",
-        F.filter("_walk.path", lambda i: F.get(values, i) != F.get(F.col("_base"), i)),
+        F.filter("_walk.path", lambda i: F.get("_own", i) != F.get("_base", i)),
     )
     size = F.size("_steps")
     points = steps.withColumn("_at", F.explode(F.when(size > 0, F.sequence(F.lit(0), size))))
     gained, lost = F.get("_steps", F.col("_at") - 1), F.get("_steps", F.col("_at"))
+    reached = F.coalesce(F.get("_walk.place", gained), F.lit(-1))
     points = points.select(
-        *keys,
-        *[f"_x{i}" for i in range(len(features))],
-        "_base",
-        F.col("_walk.place").alias("_place"),
-        gained.alias("_gained"),
-        lost.alias("_lost"),
-        F.coalesce(F.get("_walk.place", gained), F.lit(-1)).alias("_reached"),
+        *keys, "_own", "_base", F.col("_walk.place").alias("_place"), gained.alias("_gained"),
+        lost.alias("_lost"), reached.alias("_reached"),
+    )
+    # Mixed as an array: one expression per feature would compile to a method too long
+    # for the JVM to optimise.
+    switched = F.transform(
+        "_place",
+        lambda place, i: F.when(place <= F.col("_reached"), F.get("_own", i)).otherwise(
+            F.get("_base", i)
+        ),
     )
-    mixed = points.select(
+    mixed = points.select(*keys, "_gained", "_lost", switched.alias("_mixed")).select(
         *keys,
         "_gained",
         "_lost",
-        *[
-            F.when(F.get("_place", F.lit(i)) <= F.col("_reached"), own[i])
-            .otherwise(F.get("_base", F.lit(i)))
-            .alias(name)
-            for i, name in enumerate(features)
-        ],
+        *[F.get("_mixed", F.lit(i)).alias(name) for i, name in enumerate(features)],
     )
     effect = F.col("score") * weight
     nothing = F.lit(None).cast("double")
@@ -154,19 +151,8 @@ def attributions(
         .where(F.col("_feature").isNotNull())
     )
     # Every feature of every row appears, also those that no walk changes.
-    own_values = numbered.select(
-        *keys,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("_feature"), x.alias("value"), F.lit(0.0).alias("attribution")
-                    )
-                    for i, x in enumerate(own)
-                ]
-            )
-        ),
-    )
+    nothing_yet = F.lit(0.0).alias("attribution")
+    own_values = numbered.select(*keys, F.posexplode("_own").alias("_feature", "value"), nothing_yet)
     names = _literal(features, "array<string>")
     return (
         effects.unionByName(own_values)

@@ -39,12 +39,16 @@ class TableSpec:
         return sorted([*self.types, *self.dummies])
 
 
-def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Typed columns, label as a number if there is one, null tokens as NULL. Keeps all rows."""
+def _typed(df: DataFrame, spec: TableSpec) -> DataFrame:
     typed = cast_columns(df, spec.types)
     if spec.label in df.columns:
         typed = cast_columns(map_column(typed, spec.label, spec.label_values), {spec.label: "int"})
-    return null_tokens(typed, spec.null_token)
+    return typed
+
+
+def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Typed columns, label as a number if there is one, null tokens as NULL. Keeps all rows."""
+    return null_tokens(_typed(df, spec), spec.null_token)
 
 
 def prepare(df: DataFrame, spec: TableSpec, keep_key: bool = True) -> DataFrame:
@@ -53,8 +57,10 @@ def prepare(df: DataFrame, spec: TableSpec, keep_key: bool = True) -> DataFrame:
     The whole chain is narrow, so it works alike on tables and streams and costs
     one scan. The key stays so that a score never has to be matched by position.
     """
-    cleaned = clean(df, spec)
-    encoded = one_hot(cleaned.where(complete(cleaned)), spec.options)
+    # Rows with a null token go, so the text that is left needs no replacing. That keeps the
+    # generated code short enough for the JVM to compile it.
+    typed = _typed(df, spec)
+    encoded = one_hot(typed.where(complete(typed, null_token=spec.null_token)), spec.options)
     return sort_columns(encoded if keep_key else encoded.drop(spec.key))
 
 
@@ -71,9 +77,9 @@ def prepare_encode_first(df: DataFrame, spec: TableSpec, keep_key: bool = True)
 
 def rejects(df: DataFrame, spec: TableSpec) -> DataFrame:
     """The raw rows that :func:`prepare` drops, found in the same pass without a join."""
-    flagged = clean(df.withColumn("_raw", F.struct(*map(quoted, df.columns))), spec)
-    parts = flagged.columns[:-1]
-    return flagged.where(~complete(flagged, parts)).select("_raw.*")
+    flagged = _typed(df.withColumn("_raw", F.struct(*map(quoted, df.columns))), spec)
+    kept = complete(flagged, df.columns, spec.null_token)
+    return flagged.where(~kept).select("_raw.*")
 
 
 def model_features(df: DataFrame, spec: TableSpec) -> list[str]:

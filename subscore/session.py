@@ -15,10 +15,13 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
-    builder = builder.config("spark.sql.adaptive.enabled", "true").config(
-        "spark.sql.session.timeZone", "UTC"
-    )
-    for name, value in (conf or {}).items():
+    settings = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        # The JVM never compiles a longer method, so let Spark generate several shorter ones.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
+    }
+    for name, value in (settings | (conf or {})).items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 

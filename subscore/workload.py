@@ -985,12 +985,13 @@ def linear_effects(spark, sf_dir) -> DataFrame:
 
 @query(
     "attribution_linear",
-    f"""{LINEAR_EFFECTS} SELECT o_orderkey, feature, value, coalesce(nullif(round(attribution, 6), 0), 0) AS attribution
+    f"""{LINEAR_EFFECTS} SELECT o_orderkey, feature, value, coalesce(nullif(round(attribution, 8), 0), 0) AS attribution
         FROM effects"""
 )
 def attribution_linear(spark, sf_dir):
+    # The numbers have eight decimals, so nothing is rounded at a tie.
     found = linear_effects(spark, sf_dir)
-    return found.withColumn("attribution", F.round("attribution", 6) + 0.0)
+    return found.withColumn("attribution", F.round("attribution", 8) + 0.0)
 
 
 @query(

@@ -94,7 +94,11 @@ def test_drawn_parameters_stay_in_their_ranges():
 
 
 def test_search_keeps_the_best_and_refits(parts, tmp_path):
-    space = {"regParam": Choice([0.001, 0.3]), "elasticNetParam": Uniform(0.0, 0.3)}
+    space = {
+        "regParam": Choice([0.001, 0.3]),
+        "elasticNetParam": Uniform(0.0, 0.3),
+        "maxIter": Choice([10]),
+    }
     uri = f"file://{tmp_path}/best"
     features = SUBSCRIBERS.features
     first, again = (
@@ -108,9 +112,9 @@ def test_search_keeps_the_best_and_refits(parts, tmp_path):
     assert first.params == first.trials[values.index(max(values))][0]
     assert first.test == pytest.approx(f1(load_model(uri).transform(parts[1])))
     worst = search(
-        *parts, "log_reg", features, "Churn", space, trials=3, seed=4, greater_is_better=False
+        *parts, "log_reg", features, "Churn", space, trials=2, seed=4, greater_is_better=False
     )
-    assert worst.validation == min(values)
+    assert worst.validation == min(values[:2])
 
 
 def test_search_checks_its_arguments(parts):
