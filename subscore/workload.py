@@ -8,8 +8,10 @@ form that preparation has to clean.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import replace
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -714,9 +716,20 @@ def labelled_lines(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ())
     ).withColumnRenamed("named", "segment")
 
 
+@contextmanager
+def kept(df: DataFrame):
+    """The table, stored while models are fitted on it: every fit reads it many times."""
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def fitted(spark, df: DataFrame, family: str, **params):
     """Fitted pipeline after a round trip through the model store."""
-    model = build_pipeline(family, SEGMENT_FEATURES, "label", **params).fit(df)
+    with kept(df) as rows:
+        model = build_pipeline(family, SEGMENT_FEATURES, "label", **params).fit(rows)
     path = scratch_path(spark, f"model-{family}")
     save_model(model, path)
     return load_model(path)
@@ -793,11 +806,13 @@ MODEL_AUC = """sums AS (SELECT share, sum(label) AS pos, sum(1 - label) AS neg F
 )
 def compare_models(spark, sf_dir):
     rows = labelled_lines(spark, sf_dir)
-    models = {
-        "LR": build_pipeline("log_reg", SEGMENT_FEATURES, "label", **PLAIN_LOGIT).fit(rows),
-        "GBDT": build_pipeline("gbdt", SEGMENT_FEATURES, "label", **BOOSTED).fit(rows),
-    }
-    found = evaluate_models(models, rows, "label", num_bins=0)
+    settings = {"LR": ("log_reg", PLAIN_LOGIT), "GBDT": ("gbdt", BOOSTED)}
+    with kept(rows):
+        models = {
+            name: build_pipeline(family, SEGMENT_FEATURES, "label", **params).fit(rows)
+            for name, (family, params) in settings.items()
+        }
+        found = evaluate_models(models, rows, "label", num_bins=0)
     return found.withColumn("value", F.round("value", 6))
 
 
@@ -1038,7 +1053,8 @@ def attribution_curved(spark, sf_dir):
 def explained_model(spark, sf_dir):
     rows = prepare(spread(raw_orders(spark, sf_dir)), ORDERS)
     features = model_features(rows, ORDERS)
-    model = build_pipeline("log_reg", features, ORDERS.label, regParam=0.01).fit(rows)
+    with kept(rows):
+        model = build_pipeline("log_reg", features, ORDERS.label, regParam=0.01).fit(rows)
     found = explain_model(model, rows, features, [ORDERS.key], max_background=4, pairs=1)
     return rows, model, found
 
@@ -1074,10 +1090,11 @@ def attribution_of_models(spark, sf_dir):
         "GBDT": ("gbdt", {"maxIter": 3, "maxDepth": 3}),
         "LR": ("log_reg", {"regParam": 0.01}),
     }
-    models = {
-        name: build_pipeline(family, features, ORDERS.label, **params).fit(rows)
-        for name, (family, params) in settings.items()
-    }
+    with kept(rows):
+        models = {
+            name: build_pipeline(family, features, ORDERS.label, **params).fit(rows)
+            for name, (family, params) in settings.items()
+        }
     found = explain_models(
         models, rows, features, [ORDERS.key], n_samples=100, max_background=20, pairs=2
     )
