@@ -1,21 +1,68 @@
-"""A corpus from raw documents to tokens, stage by stage."""
+"""A corpus from raw documents to tokens, stage by stage.
+
+Every stage but the last returns the columns of ``documents``. ``doc_id`` names a document
+throughout; where a stage changes a text, ``n_chars`` follows it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from subscore.llm.bpe import encode_decode
-from subscore.llm.queries import tokenizer_path
+from subscore.llm.decontaminate import benchmark_spans
+from subscore.llm.line_dedup import remove_repeated_lines
+from subscore.llm.ngram_join import drop_similar_texts
+from subscore.llm.quality import fit_quality, score_quality
+from subscore.llm.queries import table, tokenizer_path
 from subscore.session import scratch_path
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the classifier rejects: a score below 0.7."""
+    weights = fit_quality(docs, table(spark, sf_dir, "labels"))
+    return score_quality(docs, weights, keep=[*docs.columns]).where("score >= 0.7").drop("score")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without later copies of runs of three or more lines; what has nothing left goes."""
+    left = remove_repeated_lines(docs, min_lines=3)
+    changed = F.col("n_removed") > 0
+    left = left.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")))
+    return left.where(~(changed & (F.col("n_removed") == F.col("n_lines")))).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of similar texts."""
+    return drop_similar_texts(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that hold a passage of ten words, or a whole item, of the benchmark."""
+    found = benchmark_spans(docs, table(spark, sf_dir, "benchmark"), keep=docs.columns)
+    return found.where(F.size("spans") == 0).select(*docs.columns)
+
+
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id and token ids of every document."""
-    coded = encode_decode(docs, tokenizer_path(), keep=["doc_id"])
-    return coded.selectExpr("doc_id", "CAST(size(ids) AS BIGINT) AS n_tokens", "ids")
+    """doc_id, number of tokens and token ids of every document, decoded again to be sure."""
+    coded = encode_decode(docs, tokenizer_path(), keep=["doc_id", "text"])
+    same = F.coalesce("text", F.lit("")) == F.col("decoded")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.when(same, F.col("ids"))
+        .otherwise(F.raise_error(F.lit("a text was not decoded to itself")))
+        .alias("ids"),
+    )
 
 
-STAGES = [("bpe", bpe)]
+STAGES = [
+    ("quality", quality),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("bpe", bpe),
+]
 
 #: SQL can say neither the classifier nor the tokenizer; tests hold the stages against plain versions.
 ORACLE_SQL = None
@@ -23,7 +70,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     *others, (_, last) = STAGES
     for name, stage in others:
         path = scratch_path(spark, f"pipeline-{name}")

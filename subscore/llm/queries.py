@@ -8,6 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscore.llm.bpe import encode_decode
+from subscore.llm.decontaminate import benchmark_spans, n_covered
+from subscore.llm.licenses import license_spans
+from subscore.llm.line_dedup import remove_repeated_lines
+from subscore.llm.ngram_join import similar_texts
+from subscore.llm.quality import fit_quality, in_training, score_quality
+from subscore.llm.substring_dedup import remove_repeated_passages
+from subscore.llm.topk import exact_top_k
+from subscore.llm.url_filter import judge_urls
+from subscore.llm.warc import archive_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,3 +54,256 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(numbers, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+#: SQL for the words of a text.
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+
+@query(
+    "op2_decontaminate",
+    f"""
+    WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+    i AS (
+      SELECT item_id::VARCHAR AS item, words, least(10, len(words)) AS n
+      FROM (SELECT item_id, {_WORDS} AS words FROM benchmark)),
+    windows AS (
+      SELECT DISTINCT item, n, list_slice(words, s, s + n - 1) AS run
+      FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS s FROM i WHERE n > 0)),
+    places AS (
+      SELECT doc_id, n, s, list_slice(words, s, s + n - 1) AS run
+      FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS s
+            FROM d, (SELECT DISTINCT n FROM windows) WHERE len(words) >= n)),
+    hits AS (SELECT doc_id, item, p.n, s FROM places p JOIN windows w ON p.run = w.run),
+    words AS (
+      SELECT doc_id, count(DISTINCT s) AS n_hit
+      FROM (SELECT doc_id, unnest(range(s, s + n)) AS s FROM hits) GROUP BY doc_id),
+    items AS (
+      SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+    SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+      coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+      n_hit IS NOT NULL AS contaminated
+    FROM d LEFT JOIN words AS hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+)
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = benchmark_spans(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"]
+    )
+    n_hit = n_covered(F.col("spans"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+#: Verdict, host and start of the path.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+_FITS = " ".join(
+    f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}') "
+    f"THEN '{verdict} {host}{path}'"
+    for verdict, host, path in sorted(URL_RULES, key=lambda r: -len(r[1] + r[2]))
+)
+
+
+@query(
+    "op5_url_filter",
+    f"""
+    WITH parts AS (
+      SELECT page_id,
+        translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''),
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+      FROM pages),
+    judged AS (SELECT *, CASE {_FITS} END AS found FROM parts)
+    SELECT page_id, host, path, split_part(found, ' ', 2) AS rule,
+      coalesce(split_part(found, ' ', 1), 'allow') AS verdict
+    FROM judged""",
+)
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES, keep=["page_id"])
+
+
+@query("op7_licenses")
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_spans(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    labels = lambda *lists: F.array_join(F.array_sort(F.array_distinct(F.concat(*lists))), ",")
+    coverage = F.coalesce(F.array_max("spans.coverage"), F.lit(0.0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.start").cast("long").alias("first_word"),
+        F.array_max("places.start").cast("long").alias("last_word"),
+        labels(F.col("places.label")).alias("base_labels"),
+        labels(F.col("places.label"), F.col("spans.label")).alias("labels"),
+        # A phrase is a template that is covered in full.
+        F.when(F.size("places") > 0, 1.0).otherwise(coverage).alias("score"),
+    )
+
+
+@query(
+    "op9_top_k",
+    """
+    WITH whole AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+      FROM embeddings
+      WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS at FROM whole),
+    scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+      FROM parts q JOIN parts c ON q.at = c.at AND q.vec_id <> c.vec_id
+      WHERE q.vec_id % 100 = 0 GROUP BY ALL),
+    ranked AS (
+      SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT
+        AS rank, vec_id, score FROM scored)
+    SELECT * FROM ranked WHERE rank <= 10""",
+)
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+@query("op10_quality")
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    weights = fit_quality(docs, table(spark, sf_dir, "labels"))
+    scored = score_quality(docs, weights, keep=["doc_id"])
+    return scored.select(
+        "doc_id",
+        (~in_training("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@query(
+    "op6_warc",
+    """
+    WITH payloads AS (
+      SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n
+      FROM pages),
+    kept AS (
+      SELECT *, max(page_id) OVER (PARTITION BY html) AS latest FROM payloads)
+    SELECT page_id, n::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
+      CASE WHEN n >= 1000 AND latest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN n >= 1000 AND latest <> page_id THEN latest END AS refers_to
+    FROM kept""",
+)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The pages carry no time of capture; their number stands for it.
+    captured = F.lit(1_700_000_000) + F.coalesce(F.col("page_id"), F.lit(0)) % 1_000_000_000
+    back = archive_round_trip(table(spark, sf_dir, "pages"), captured)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query(
+    "op4_line_dedup",
+    """
+    WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+    l AS (
+      SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM split),
+    w AS (
+      SELECT doc_id, pos, line, lead(line, 1) OVER d AS b, lead(line, 2) OVER d AS c
+      FROM l WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+    r AS (
+      SELECT doc_id, pos, row_number() OVER (PARTITION BY line, b, c ORDER BY doc_id, pos) AS k
+      FROM w WHERE b IS NOT NULL AND c IS NOT NULL),
+    gone AS (
+      SELECT DISTINCT doc_id, pos + more AS pos
+      FROM r, (VALUES (0), (1), (2)) AS t(more) WHERE k > 1),
+    kept AS (
+      SELECT l.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed,
+        string_agg(line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL) AS text
+      FROM l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos GROUP BY l.doc_id)
+    SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines,
+      coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+    FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id""",
+)
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = remove_repeated_lines(docs, min_lines=3)
+    return left.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+@query(
+    "op8_substring_dedup",
+    """
+    WITH d AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+      FROM documents),
+    w AS (
+      SELECT doc_id, s, md5(array_to_string(list_slice(words, s, s + 49), ' ')) AS run
+      FROM (SELECT *, unnest(range(1, len(words) - 48)) AS s FROM d WHERE len(words) >= 50)),
+    f AS (SELECT run, min(doc_id) AS first FROM w GROUP BY run),
+    gone AS (
+      SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS at
+      FROM w JOIN f ON w.run = f.run AND w.doc_id > f.first),
+    kept AS (
+      SELECT l.doc_id, count(g.at) AS n_removed,
+        string_agg(word, ' ' ORDER BY l.at) FILTER (WHERE g.at IS NULL) AS text
+      FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS at FROM d) l
+      LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.at = l.at GROUP BY l.doc_id)
+    SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+      sha256(coalesce(k.text, '')) AS kept_sha256
+    FROM d LEFT JOIN kept k ON k.doc_id = d.doc_id""",
+)
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = remove_repeated_passages(docs)
+    return left.select(
+        "doc_id",
+        "n_words",
+        "n_removed",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+@query(
+    "op3_ngram_join",
+    f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS words FROM documents),
+    t AS (SELECT text, any_value(words) AS words, min(doc_id) AS id FROM d GROUP BY text),
+    s AS (
+      SELECT DISTINCT id, array_to_string(list_slice(words, p, p + least(5, len(words)) - 1), ' ') AS g
+      FROM (SELECT *, unnest(range(1, len(words) - least(5, len(words)) + 2)) AS p
+            FROM t WHERE len(words) > 0)),
+    n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+    c AS (
+      SELECT a.id AS a, b.id AS b, count(*) AS common
+      FROM s a JOIN s b ON a.g = b.g AND a.id <> b.id GROUP BY ALL),
+    links AS (
+      SELECT a, b FROM c JOIN n x ON x.id = a JOIN n y ON y.id = b
+      WHERE common >= 0.8 * (x.n + y.n - common) - 1e-9),
+    reached AS (
+      WITH RECURSIVE r(id, other) AS (
+        SELECT id, id FROM t UNION SELECT r.id, l.b FROM r JOIN links l ON l.a = r.other)
+      SELECT id, min(other) AS class_id FROM r GROUP BY id),
+    counted AS (SELECT a AS id, count(*) AS n_links FROM links GROUP BY a)
+    SELECT d.doc_id, r.class_id, coalesce(n_links, 0)::BIGINT AS n_links
+    FROM d JOIN t ON t.text = d.text JOIN reached r ON r.id = t.id
+    LEFT JOIN counted k ON k.id = t.id""",
+)
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = similar_texts(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "n_links")
