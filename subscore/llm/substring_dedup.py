@@ -266,6 +266,10 @@ def remove_repeated_passages(
         .where("first < last")
         .select("one", "two", "first")
     )
+    # Read again, both sides of the join are shuffled for it, so that AQE can divide the rows
+    # of a window that very many documents share.
+    earliest.write.parquet(f"{folder}/earliest")
+    earliest = spark.read.parquet(f"{folder}/earliest")
     (
         estimated.join(earliest, ["one", "two"])
         .where("id > first")
