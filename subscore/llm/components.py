@@ -11,7 +11,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternates large and small stars: every node links its larger neighbours, then its
     smaller ones, to the smallest it knows, until the edges stay the same. Each step is one
-    aggregate, reduced before it is shuffled, and one join that AQE can split for hubs.
+    aggregate, reduced before it is shuffled and then written down, and one join with both
+    sides shuffled for it, so that AQE can divide the edges of a hub.
     """
     now = _ordered(edges).checkpoint()
     seen = None
@@ -36,7 +37,7 @@ def _ordered(edges: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).checkpoint()
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
         # The centre of a star stays connected to it.
         least.where("a <> m").select("a", F.col("m").alias("b"))
@@ -44,7 +45,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = edges.groupBy("a").agg(F.min("b").alias("m")).checkpoint()
     return edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
         least.select("a", F.col("m").alias("b"))
     )
