@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from subscore.session import scratch_path, shared_root
 
+#: The columns of a position: document, text within documents of one id, line.
 AT = ["id", "tie", "pos"]
 
 
@@ -65,6 +66,42 @@ def repeated_suffixes(lines: DataFrame, depth: int) -> DataFrame:
     )
 
 
+def repeated_runs(
+    docs: DataFrame, min_lines: int = 3, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Maximal runs of lines that repeat earlier ones, one row for each.
+
+    (id, tie, start, end): the lines from ``start`` up to ``end`` of a document, at least
+    ``min_lines``; (source_id, source_tie, source_start): where the first copies of their
+    stretches of ``min_lines`` lines stand, one after the other. Runs with different sources
+    may overlap. ``tie`` tells rows with the same id apart.
+    """
+    spark = docs.sparkSession
+    shared_root(spark)
+    path = scratch_path(spark, "lines")
+    numbered_lines(docs, doc_id, text).write.parquet(path)
+    repeated = repeated_suffixes(spark.read.parquet(path), min_lines)
+    own, first = (F.struct(*(F.col(f"{mark}{name}") for name in AT)) for mark in ("", "first_"))
+    copies = repeated.where(own != first).drop("rank").distinct()
+    side = ["id", "tie", "first_id", "first_tie", "ahead"]
+    copies = copies.withColumn("ahead", F.col("pos") - F.col("first_pos"))
+    # Copies with the same source follow each other where their positions differ by one.
+    step = F.row_number().over(Window.partitionBy(*side).orderBy("pos"))
+    return (
+        copies.withColumn("run", F.col("pos") - step)
+        .groupBy(*side, "run")
+        .agg(
+            F.min("pos").alias("start"),
+            (F.max("pos") + min_lines).alias("end"),
+            F.min("first_pos").alias("source_start"),
+        )
+        .select(
+            "id", "tie", "start", "end",
+            F.col("first_id").alias("source_id"), F.col("first_tie").alias("source_tie"), "source_start",
+        )
+    )
+
+
 def remove_repeated_lines(
     docs: DataFrame, min_lines: int = 3, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -83,20 +120,15 @@ def remove_repeated_lines(
     columns of ``docs`` stay, except that ``n_lines`` and ``n_removed`` replace columns of
     these names. Only built-in column functions are used.
     """
-    spark = docs.sparkSession
-    shared_root(spark)
-    path = scratch_path(spark, "lines")
-    numbered_lines(docs, doc_id, text).write.parquet(path)
-    repeated = repeated_suffixes(spark.read.parquet(path), min_lines)
-    own, first = (F.struct(*(F.col(f"{mark}{name}") for name in AT)) for mark in ("", "first_"))
-    copies = repeated.where(own != first).select(*AT).distinct()
-
-    by_document = Window.partitionBy("id", "tie").orderBy("pos")
-    apart = F.col("pos") > F.coalesce(F.lag("pos").over(by_document), F.lit(-1 - min_lines)) + min_lines
+    found = repeated_runs(docs, min_lines, doc_id, text)
+    by_document = Window.partitionBy("id", "tie").orderBy("start", "end")
+    before = F.max("end").over(by_document.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.coalesce(F.col("start") > before, F.lit(True))
     runs = (
-        copies.withColumn("run", F.sum(apart.cast("int")).over(by_document))
-        .groupBy("id", "tie", "run")
-        .agg(F.min("pos").alias("start"), (F.max("pos") + min_lines).alias("end"))
+        found.withColumn("apart", apart)
+        .withColumn("span", F.sum(F.col("apart").cast("int")).over(by_document))
+        .groupBy("id", "tie", "span")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
         .groupBy(F.col("id").alias("~id"), F.col("tie").alias("~tie"))
         .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("~runs"))
     )

@@ -308,7 +308,9 @@ def similar_texts(
 
     # Groups of candidates, with their texts.
     weighed = grouped.join(nodes.select("node", "size"), "node")
+    # Written down, as the least ids below: a join can then divide the texts of a large group.
     sizes = weighed.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"))
+    sizes = sizes.checkpoint()
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
     earliest = sketches.groupBy("node").agg(F.min("id").alias("first"))
     wanted = grouped.join(earliest, "node").join(
@@ -384,7 +386,7 @@ def similar_texts(
         .join(about, "node", "left")
         .select("node", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "id")
     )
-    classes = least.groupBy("root").agg(F.min("id").alias("class_id"))
+    classes = least.groupBy("root").agg(F.min("id").alias("class_id")).checkpoint()
     per_text = least.drop("id").join(classes, "root")
     return known.join(per_text, "node").select("id", "node", "root", "class_id", "n_links")
 

@@ -28,7 +28,7 @@ def pack(cells: np.ndarray, more: np.ndarray) -> bytes:
     """Ascending cell numbers and one flag for each, as a short byte string."""
     steps = np.diff(cells, prepend=np.int64(0))
     kind = np.uint16 if not len(steps) or steps.max() < 1 << 16 else np.uint32
-    planes = steps.astype(kind).view(np.uint8).reshape(len(steps), -1).T
+    planes = steps.astype(kind).view(np.uint8).reshape(len(steps), kind().itemsize).T
     data = np.array([len(cells), kind().itemsize], np.uint32).tobytes()
     data += np.ascontiguousarray(planes).tobytes() + np.packbits(more).tobytes()
     size = np.uint64(len(data)).tobytes()
@@ -136,8 +136,11 @@ def remove_repeated_passages(
     # Whole copies.
     digests = words.select("id", F.unhex(F.md5("text")).alias("digest"), F.col("~chunk").alias("chunk"), F.col("~place").alias("place"))
     least = digests.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    # Both sides of this join, and of that further down, are read from tables and shuffled for
+    # it, so that AQE can divide the rows of a text or window that very many documents share.
+    least.where("first < last").select("digest", "first").write.parquet(f"{folder}/least")
     (
-        digests.join(least.where("first < last").drop("last"), "digest")
+        digests.join(spark.read.parquet(f"{folder}/least"), "digest")
         .where("id > first")
         .select("chunk", "place")
         .repartition("chunk")
@@ -266,8 +269,6 @@ def remove_repeated_passages(
         .where("first < last")
         .select("one", "two", "first")
     )
-    # Read again, both sides of the join are shuffled for it, so that AQE can divide the rows
-    # of a window that very many documents share.
     earliest.write.parquet(f"{folder}/earliest")
     earliest = spark.read.parquet(f"{folder}/earliest")
     (
