@@ -16,8 +16,14 @@ def one_hot(df: DataFrame, options: Mapping[str, Iterable[Any]]) -> DataFrame:
     """Replace every listed column by one 0/1 column per option.
 
     All columns are encoded in one projection. No option is left out; a value
-    outside the options, and NULL, gives zeros throughout.
+    outside the options, and NULL, gives zeros throughout. Two columns of the same name
+    (column ``x`` option ``y_z`` and column ``x_y`` option ``z``) are refused.
     """
+    names = [name for name in df.columns if name not in options]
+    names += [f"{name}_{option}" for name, values in options.items() for option in values]
+    twice = sorted({name for name in names if names.count(name) > 1})
+    if twice:
+        raise ValueError(f"more than one column would be named {', '.join(twice)}")
     kept = [F.col(quoted(name)) for name in df.columns if name not in options]
     dummies = [
         _is(F.col(quoted(name)), option).cast("int").alias(f"{name}_{option}")
@@ -36,31 +42,34 @@ def _is(column: Column, option: Any) -> Column:
 
 
 def learn_options(
-    df: DataFrame, columns: Iterable[str], max_options: int = 1000
+    df: DataFrame, columns: Iterable[str], max_options: int | None
 ) -> dict[str, list[str]]:
     """Options of every column in the data, in text order, NULL left out.
 
-    One job for all columns, and the driver takes at most ``max_options`` values
-    per column. Every option becomes a column of the encoded table, so a column
-    beyond that is refused, not cut short.
+    One job for all columns. Every option becomes a column of the encoded table, so the
+    caller says how many a column may have: one with more is refused, not cut short, and the
+    driver takes no more. None sets no limit, for columns known to be narrow.
     """
     columns = list(columns)
-    most = max_options * len(columns)
-    rows = distinct_values(df, columns).limit(most + 1).collect()
+    found = distinct_values(df, columns)
+    if max_options is not None:
+        found = found.limit(max_options * len(columns) + 1)
+    rows = found.collect()
     options: dict[str, list[str]] = {name: [] for name in columns}
     for row in rows:
         options[row["column"]].append(row["value"])
-    too_wide = [name for name, values in options.items() if len(values) > max_options]
-    if too_wide or len(rows) > most:
-        raise ValueError(f"more than {max_options} options in {too_wide or columns}")
+    if max_options is not None:
+        too_wide = [name for name, values in options.items() if len(values) > max_options]
+        if too_wide or len(rows) > max_options * len(columns):
+            raise ValueError(f"more than {max_options} options in {too_wide or columns}")
     return {name: sorted(values) for name, values in options.items()}
 
 
-def one_hot_learned(df: DataFrame, columns: Iterable[str], max_options: int = 1000) -> DataFrame:
+def one_hot_learned(df: DataFrame, columns: Iterable[str], max_options: int | None) -> DataFrame:
     """One-hot with the options found in ``df`` itself."""
     return one_hot(df, learn_options(df, columns, max_options))
 
 
-def one_hot_text(df: DataFrame, max_options: int = 1000) -> DataFrame:
+def one_hot_text(df: DataFrame, max_options: int | None) -> DataFrame:
     """One-hot every text column; columns of other types pass through."""
     return one_hot_learned(df, text_columns(df), max_options)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from subscore.functions import quoted
-from subscore.operators.small import Settled, attach, settle, weighted
+from subscore.operators.small import attach, settle, weighted
 
 
 def _bin_of(x: Column, lo: Column, hi: Column, bins: int) -> Column:
@@ -25,30 +25,30 @@ def histogram(df: DataFrame, column: str, bins: int = 30, by: str | None = None)
     """(group,) bin, left, right, n — empty bins included.
 
     The range runs from the smallest to the largest value, within each group when
-    ``by`` is given; a constant column gets a range of width one around it.
+    ``by`` is given; a constant column gets a range of width one around it. NULL and
+    NaN are left out; a range that ends at infinity has no bins, so that fails.
     Two passes over the column: one for the range, one for the counts.
     """
     keys = [] if by is None else ["group"]
     source = df if by is None else df.withColumn("group", F.col(quoted(by)))
     values = weighted(source, keys, F.col(quoted(column)))
-    finite = F.abs("x") < float("inf")
-    if not keys:
-        limits = values.where(finite).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-        limits = limits.where("lo IS NOT NULL")
-    else:
-        limits = values.where(finite).groupBy(*keys).agg(
-            F.min("x").alias("lo"), F.max("x").alias("hi")
-        )
+    endless = F.raise_error(F.lit(f"the range of {column} is not finite"))
+    limits = (
+        values.groupBy(*keys)
+        .agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+        .where("lo IS NOT NULL")
+        .withColumn("lo", F.when(F.greatest(F.abs("lo"), F.abs("hi")) < float("inf"), F.col("lo")).otherwise(endless))
+    )
     same = F.col("lo") == F.col("hi")
     half = F.when(same, 0.5).otherwise(0.0)
     limits = limits.select(
         *keys, (F.col("lo") - half).alias("lo"), (F.col("hi") + half).alias("hi")
     )
     side = settle(limits)
-    ranged = _with_limits(values.where(finite), side, keys)
+    ranged = attach(values, side, keys) if keys else _with_limits(values, side)
     lo, hi = F.col("lo"), F.col("hi")
     found = ranged.select(*keys, "lo", "hi", _bin_of(F.col("x"), lo, hi, bins).alias("bin"), "n")
-    empty = side.frame.select(
+    empty = side.select(
         *keys,
         "lo",
         "hi",
@@ -66,10 +66,8 @@ def histogram(df: DataFrame, column: str, bins: int = 30, by: str | None = None)
     )
 
 
-def _with_limits(values: DataFrame, side: Settled, keys: list[str]) -> DataFrame:
-    if keys:
-        return attach(values, side, keys)
-    limits = side.rows[0] if side.rows else {"lo": None, "hi": None}
+def _with_limits(values: DataFrame, side: DataFrame) -> DataFrame:
+    limits = side.first() or {"lo": None, "hi": None}
     return values.withColumns(
         {name: F.lit(limits[name]).cast("double") for name in ("lo", "hi")}
     )

@@ -1,24 +1,22 @@
 """Exact quantiles, and what is built on them.
 
 The built-in exact percentile keeps every distinct value of a group in one
-task. Here each pass counts the rows in a few thousand equal-width bins between
-the limits known so far and narrows the limits to the bin that holds the wanted
-rank, until few enough rows are left in it to be ranked directly. Rows are
-never shuffled before that point, only bin counts, so neither the size of a
-group nor its skew matters.
+task. Here two scans suffice whatever the distribution: the first takes
+approximate percentiles a little below and above each wanted rank, whose rank
+error is bounded; the second counts the rows below that bracket and keeps the
+values inside it, a known small share of the rows, which are then ranked.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from subscore.functions import quoted
-from subscore.operators.small import Settled, attach, settle, weighted
+from subscore.operators.small import attach, settle, weighted
 
-BINS = 4096
-FINISH_ROWS = 200_000
+ACCURACY = 10_000
 
 
 def exact_quantiles(
@@ -26,185 +24,122 @@ def exact_quantiles(
     columns: Iterable[str],
     probabilities: Iterable[float],
     by: str | None = None,
-    bins: int = BINS,
-    finish_rows: int = FINISH_ROWS,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """(group,) column, probability, value — linear between the two closest ranks.
 
-    NULL and NaN are left out. ``finish_rows`` bounds the rows ranked in one task.
+    NULL and NaN are left out. A rank is bracketed by percentiles with a rank error of
+    1 / ``accuracy`` of the rows, so at most about 6 / ``accuracy`` of a group's rows are
+    ranked in one task; of groups with fewer than 10 * ``accuracy`` rows, all are.
     """
-    keys = ["column"] if by is None else ["group", "column"]
-    names = list(columns)
+    names, wanted = list(columns), [float(p) for p in probabilities]
+    keys = [] if by is None else ["group"]
     numbers = df.select(
-        *[F.col(quoted(by)).alias(key) for key in keys[:-1]],
-        *[F.col(quoted(name)).cast("double").alias(name) for name in names],
+        *[F.col(quoted(by)).alias(key) for key in keys],
+        *[F.col(quoted(name)).cast("double").alias(f"x{i}") for i, name in enumerate(names)],
     )
-    long = numbers.unpivot(keys[:-1], [quoted(name) for name in names], "column", "value")
-    brackets = settle(_first_brackets(numbers, names, keys, list(probabilities)))
-    values = weighted(long, keys, F.col("value"))
-    while _any_open(brackets, finish_rows):
-        brackets = settle(_narrow(values, brackets, keys, bins, finish_rows))
-    return _interpolate(_rank(values, brackets, keys), keys)
+    brackets = settle(_brackets(numbers, names, wanted, keys, accuracy))
+    counted = _count(numbers, names, brackets, keys)
+    return _rank(counted, brackets, [*keys, "column"])
 
 
-def _first_brackets(
-    numbers: DataFrame, names: list[str], keys: list[str], probabilities: list[float]
+def _brackets(
+    numbers: DataFrame, names: list[str], wanted: list[float], keys: list[str], accuracy: int
 ) -> DataFrame:
-    """One row per group, column, probability and end (0 lower, 1 upper) of the wanted rank."""
-    limits = []
+    """(group,) column, probability, lo, hi, rank, fraction; NULL where a bracket is open."""
+    edge = 2.0 / accuracy
+    # Each rank's lower and upper percentile, held to the range that the function takes.
+    points = [min(max(p + side, 0.0), 1.0) for p in wanted for side in (-edge, edge)]
+    found = []
+    for i in range(len(names)):
+        x = F.when(~F.isnan(f"x{i}"), F.col(f"x{i}"))
+        found += [
+            F.percentile_approx(x, points, accuracy).alias(f"q{i}"),
+            F.count(x).alias(f"n{i}"),
+        ]
+    per_rank = []
     for i, name in enumerate(names):
-        x = F.when(~F.isnan(quoted(name)), F.col(quoted(name)))
-        limits += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"), F.count(x).alias(f"n{i}")]
-    per_column = [
-        F.struct(
-            F.lit(name).alias("column"),
-            F.col(f"lo{i}").alias("lo"),
-            F.col(f"hi{i}").alias("hi"),
-            F.col(f"n{i}").alias("inside"),
-        )
-        for i, name in enumerate(names)
-    ]
-    groups = keys[:-1]
-    whole = (
-        numbers.groupBy(*groups)
-        .agg(*limits)
-        .select(*groups, F.inline(F.array(*per_column)))
-        .where(F.col("inside") > 0)
-    )
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
-    position = F.col("probability") * (F.col("inside") - 1)
+        large = F.col(f"n{i}") >= 10 * accuracy
+        for k, p in enumerate(wanted):
+            lo, hi = (F.get(f"q{i}", F.lit(2 * k + end)) for end in (0, 1))
+            position = F.lit(p) * (F.col(f"n{i}") - 1)
+            per_rank.append(
+                F.struct(
+                    F.lit(name).alias("column"),
+                    F.lit(p).alias("probability"),
+                    F.when(large & F.lit(p > edge), lo).alias("lo"),
+                    F.when(large & F.lit(p < 1 - edge), hi).alias("hi"),
+                    F.floor(position).alias("rank"),
+                    (position - F.floor(position)).alias("fraction"),
+                    F.col(f"n{i}").alias("rows"),
+                )
+            )
     return (
-        whole.withColumn("probability", wanted)
-        .withColumn("end", F.explode(F.array(F.lit(0), F.lit(1))))
-        .select(
-            *keys,
-            "probability",
-            "end",
-            "lo",
-            "hi",
-            F.lit(0).cast("long").alias("before"),
-            "inside",
-            F.when(F.col("end") == 0, F.floor(position)).otherwise(F.ceil(position)).alias("rank"),
-            (position - F.floor(position)).alias("fraction"),
-        )
+        numbers.groupBy(*keys).agg(*found).select(*keys, F.inline(F.array(*per_rank))).where("rows > 0")
     )
 
 
-def _open(finish_rows: int) -> Column:
-    return (F.col("lo") < F.col("hi")) & (F.col("inside") > finish_rows)
-
-
-def _any_open(brackets: Settled, finish_rows: int) -> bool:
-    if brackets.rows is not None:
-        return any(r["lo"] < r["hi"] and r["inside"] > finish_rows for r in brackets.rows)
-    return not brackets.frame.where(_open(finish_rows)).isEmpty()
-
-
-def _bin_of(bins: int) -> Column:
-    """Non-decreasing in x, and different for ``lo`` and ``hi``, so limits always close in.
-
-    Halving first keeps the width finite; infinities get bins of their own.
-    """
-    x, lo, hi = (
-        F.greatest(F.least(F.col(name), F.lit(1.7e308)), F.lit(-1.7e308)) / 2
-        for name in ("x", "lo", "hi")
-    )
-    return (
-        F.when(F.col("x") == F.col("lo"), -1)
-        .when(F.col("x") == F.col("hi"), bins)
-        .otherwise(F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1)))
-        .cast("int")
-    )
-
-
-def _distinct_brackets(brackets: Settled, condition: Column, keys: list[str]) -> Settled:
-    """Several ranks often share a bracket; its rows must meet it once."""
-    frame = brackets.frame.where(condition).select(*keys, "lo", "hi", "before").distinct()
-    return settle(frame) if brackets.small else Settled(frame, False, None)
-
-
-def _inside(values: DataFrame, side: Settled, keys: list[str]) -> DataFrame:
-    return attach(values, side, keys).where(F.col("x").between(F.col("lo"), F.col("hi")))
-
-
-def _narrow(
-    values: DataFrame, brackets: Settled, keys: list[str], bins: int, finish_rows: int
+def _count(
+    numbers: DataFrame, names: list[str], brackets: DataFrame, keys: list[str]
 ) -> DataFrame:
-    is_open = _open(finish_rows)
-    rows = _inside(values, _distinct_brackets(brackets, is_open, keys), keys)
-    counted = (
-        rows.groupBy(*keys, "lo", "hi", "before", _bin_of(bins).alias("bin"))
-        .agg(F.sum("n").alias("n"), F.min("x").alias("new_lo"), F.max("x").alias("new_hi"))
+    """(group,) column, probability, x, n: values inside a bracket, NULL for all below it."""
+    per_column = F.array(
+        *[F.struct(F.lit(name).alias("column"), F.col(f"x{i}").alias("x")) for i, name in enumerate(names)]
     )
-    # At most bins + 2 rows per window: these are counts, not data.
-    running = Window.partitionBy(*keys, "lo").orderBy("bin")
-    placed = counted.select(
-        *[F.col(key).alias(f"bin_{key}") for key in keys],
-        F.col("lo").alias("bin_lo"),
-        "new_lo",
-        "new_hi",
-        (F.col("before") + F.sum("n").over(running) - F.col("n")).alias("new_before"),
-        F.col("n").alias("new_inside"),
-    )
-    target = brackets.frame.where(is_open)
-    hit = target.join(
-        placed,
-        [
-            *[F.col(key).eqNullSafe(F.col(f"bin_{key}")) for key in keys],
-            F.col("lo") == F.col("bin_lo"),
-            F.col("rank") >= F.col("new_before"),
-            F.col("rank") < F.col("new_before") + F.col("new_inside"),
-        ],
-    ).select(
-        *keys,
-        "probability",
-        "end",
-        F.col("new_lo").alias("lo"),
-        F.col("new_hi").alias("hi"),
-        F.col("new_before").alias("before"),
-        F.col("new_inside").alias("inside"),
-        "rank",
-        "fraction",
+    if keys:
+        packed = brackets.groupBy("group").agg(
+            F.collect_list(F.struct("column", "probability", "lo", "hi")).alias("brackets")
+        )
+        rows = attach(numbers, settle(packed), keys)
+    else:
+        # As many as columns times probabilities.
+        few = brackets.select("column", "probability", "lo", "hi").collect()
+        whole = F.array(
+            *[
+                F.struct(
+                    F.lit(r["column"]).alias("column"),
+                    F.lit(r["probability"]).alias("probability"),
+                    F.lit(r["lo"]).cast("double").alias("lo"),
+                    F.lit(r["hi"]).cast("double").alias("hi"),
+                )
+                for r in few
+            ]
+        ).cast("array<struct<column:string,probability:double,lo:double,hi:double>>")
+        rows = numbers.withColumn("brackets", whole)
+    # One scan, whatever the number of columns and ranks: each row is counted where it belongs.
+    met = rows.select(*keys, "brackets", F.inline(per_column)).where("x IS NOT NULL AND NOT isnan(x)")
+    own = F.filter(
+        "brackets",
+        lambda b: (b["column"] == F.col("column")) & (b["hi"].isNull() | (F.col("x") <= b["hi"])),
     )
-    return hit.unionByName(brackets.frame.where(~is_open))
-
-
-def _rank(values: DataFrame, brackets: Settled, keys: list[str]) -> DataFrame:
-    """Add each bracket's wanted value; brackets here hold at most ``finish_rows`` rows."""
-    spread = F.col("lo") < F.col("hi")
-    rows = _inside(values, _distinct_brackets(brackets, spread, keys), keys)
-    counted = rows.groupBy(*keys, "lo", "before", "x").agg(F.sum("n").alias("n"))
-    running = Window.partitionBy(*keys, "lo").orderBy("x")
-    placed = counted.select(
-        *[F.col(key).alias(f"row_{key}") for key in keys],
-        F.col("lo").alias("row_lo"),
-        "x",
-        (F.col("before") + F.sum("n").over(running)).alias("through"),
-        "n",
+    placed = F.transform(
+        own,
+        lambda b: F.struct(
+            b["probability"].alias("probability"),
+            F.when(b["lo"].isNull() | (F.col("x") >= b["lo"]), F.col("x")).alias("value"),
+        ),
     )
-    target = brackets.frame.where(spread)
-    ranked = target.join(
-        placed,
-        [
-            *[F.col(key).eqNullSafe(F.col(f"row_{key}")) for key in keys],
-            F.col("lo") == F.col("row_lo"),
-            F.col("rank") >= F.col("through") - F.col("n"),
-            F.col("rank") < F.col("through"),
-        ],
+    return (
+        met.select(*keys, "column", F.inline(placed))
+        .groupBy(*keys, "column", "probability", F.col("value").alias("x"))
+        .agg(F.count("*").alias("n"))
     )
-    columns = [*keys, "probability", "end", "fraction"]
-    single = brackets.frame.where(~spread).select(*columns, F.col("lo").alias("x"))
-    return ranked.select(*columns, "x").unionByName(single)
 
 
-def _interpolate(ranked: DataFrame, keys: list[str]) -> DataFrame:
+def _rank(counted: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
+    """Linear between the values of the two wanted ranks."""
+    ordered = Window.partitionBy(*keys, "probability").orderBy(F.asc_nulls_first("x"))
+    placed = counted.withColumn("through", F.sum("n").over(ordered))
+    rank = F.col("rank")
+    ranked = attach(placed, brackets, [*keys, "probability"])
+    covers = lambda r: (r >= F.col("through") - F.col("n")) & (r < F.col("through"))
     ends = ranked.groupBy(*keys, "probability", "fraction").agg(
-        F.max(F.when(F.col("end") == 0, F.col("x"))).alias("lower"),
-        F.max(F.when(F.col("end") == 1, F.col("x"))).alias("upper"),
-    )
-    value = F.when(F.col("lower") == F.col("upper"), F.col("lower")).otherwise(
-        F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("fraction")
+        F.max(F.when(covers(rank), F.col("x"))).alias("lower"),
+        F.max(F.when(covers(F.least(rank + 1, F.col("rows") - 1)), F.col("x"))).alias("upper"),
     )
+    value = F.when(
+        (F.col("lower") == F.col("upper")) | (F.col("fraction") == 0), F.col("lower")
+    ).otherwise(F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("fraction"))
     return ends.select(*keys, "probability", value.alias("value"))
 
 
@@ -214,7 +149,7 @@ def medians(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return found.select("column", F.col("value").alias("median"))
 
 
-def _quartiles(df: DataFrame, column: str, by: str, **limits: int) -> Settled:
+def _quartiles(df: DataFrame, column: str, by: str, **limits: int) -> DataFrame:
     found = exact_quantiles(df, [column], [0.25, 0.5, 0.75], by, **limits)
     at = {
         name: F.max(F.when(F.col("probability") == p, F.col("value"))).alias(name)

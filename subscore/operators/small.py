@@ -2,38 +2,20 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from subscore.session import shared_root
-
-SMALL_ROWS = 50_000
-SALTS = 32
-
-
-@dataclass(frozen=True)
-class Settled:
-    """A computed side table, and whether it is known to be small."""
-
-    frame: DataFrame
-    small: bool
-    rows: list | None
+from subscore.session import scratch_path
 
 
-def settle(df: DataFrame) -> Settled:
-    """Compute ``df`` once, so that what follows does not repeat its work.
+def settle(df: DataFrame) -> DataFrame:
+    """``df`` computed once and read back from the shared folder.
 
-    Up to ``SMALL_ROWS`` rows are held as a local table, which is then safe to
-    broadcast. A larger one goes to the checkpoint folder and is never
-    broadcast by this module.
+    What follows neither repeats its work nor guesses its size: Spark knows the bytes
+    written, and broadcasts the table in a join only if they are few.
     """
-    spark = df.sparkSession
-    table = df.limit(SMALL_ROWS + 1).toArrow()
-    if table.num_rows <= SMALL_ROWS:
-        return Settled(spark.createDataFrame(table, df.schema), True, table.to_pylist())
-    shared_root(spark)
-    return Settled(df.checkpoint(), False, None)
+    path = scratch_path(df.sparkSession, "figures")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def weighted(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
@@ -42,25 +24,12 @@ def weighted(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
     return rows.where(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
-def attach(values: DataFrame, side: Settled, keys: list[str]) -> DataFrame:
-    """Rows (keys, x, n) joined with the side table's rows of the same group.
+def attach(values: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows joined with the settled table's rows of the same group, NULL groups included.
 
-    A small side is broadcast and the rows stay where they are. Otherwise equal
-    values are first counted, which no hot group can unbalance because the value
-    is part of the key, and a salt over the value spreads each group over
-    ``SALTS`` parts of the join.
+    Where the table is too large to broadcast, AQE divides the rows of a hot group: both
+    sides are shuffled for this join alone.
     """
-    renamed = side.frame.withColumnsRenamed({key: f"side_{key}" for key in keys})
+    renamed = side.withColumnsRenamed({key: f"side_{key}" for key in keys})
     same_group = [F.col(key).eqNullSafe(F.col(f"side_{key}")) for key in keys]
-    if side.small:
-        joined = values.join(F.broadcast(renamed), same_group)
-    else:
-        counted = values.groupBy(*keys, "x").agg(F.sum("n").alias("n"))
-        salted = counted.withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(SALTS)).cast("int"))
-        copies = renamed.withColumn(
-            "side_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        )
-        joined = salted.join(copies, [*same_group, F.col("salt") == F.col("side_salt")]).drop(
-            "salt", "side_salt"
-        )
-    return joined.drop(*[f"side_{key}" for key in keys])
+    return values.join(renamed, same_group).drop(*[f"side_{key}" for key in keys])

@@ -13,7 +13,7 @@ from subscore.operators.metrics import area_under_roc, class_metrics
 
 
 def evaluate_models(
-    models: Mapping[str, PipelineModel], df: DataFrame, label: str, num_bins: int = 1000
+    models: Mapping[str, PipelineModel], df: DataFrame, label: str, num_bins: int = 0
 ) -> DataFrame:
     """(model, metric, value): area under ROC, f1, accuracy, recall, precision of each model.
 

@@ -2,12 +2,15 @@
 
 A feature's attribution is its average effect on the score when features are
 switched one by one, in a random order, from a background row's values to the
-explained row's. Walks are drawn in pairs, an order and its reverse. Only
-features in which the two rows differ can change the score, so a walk steps
-over those alone; with one-hot columns that is usually a minority.
+explained row's. Every background row has orders of its own, each walked forwards
+and in reverse: the effects of a row still add up exactly, and are exact where
+features act alone or in pairs. Only features in which the two rows differ can
+change the score, so a walk steps over those alone; with one-hot columns that is
+usually a minority.
 
 A walk's points are generated from its own row: nothing is joined, the scored
-rows are never held together, and the effects are summed before the shuffle.
+rows are never held together, all models score the same points, and the effects
+are summed before the shuffle.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from __future__ import annotations
 import json
 import random
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -25,7 +28,31 @@ from subscore.functions import quoted, sigmoid, vector_item
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def class_probability(model: PipelineModel, scored: DataFrame) -> Column:
+@dataclass(frozen=True)
+class Background:
+    """Rows that scores are compared with, as numbers in the order of ``features``."""
+
+    features: list[str]
+    rows: list[list[float]]
+
+
+def sample_background(
+    df: DataFrame, features: Sequence[str], key: Sequence[str], n: int, seed: int = 0
+) -> Background:
+    """``n`` rows drawn evenly from all of ``df``: those whose key has the smallest hash.
+
+    The draw does not depend on order or partitioning, and other engines can repeat it:
+    ``ORDER BY md5(seed | key...), key... LIMIT n``. The ``n`` rows become a constant of every
+    plan that uses them, and each explained row is walked to from all of them.
+    """
+    keys = [F.col(quoted(name)) for name in key]
+    text = F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys])
+    numbers = [F.col(quoted(name)).cast("double") for name in features]
+    rows = df.orderBy(F.md5(text), *keys).limit(n).select(F.array(*numbers)).collect()
+    return Background(list(features), [list(row[0]) for row in rows])
+
+
+def class_probability(scored: DataFrame) -> Column:
     """Probability of class 1; sigmoid of the margin where a model has no probability."""
     if "probability" in scored.columns:
         return vector_item(F.col("probability"))
@@ -37,7 +64,7 @@ def probability_scorer(model: PipelineModel) -> Scorer:
 
     def add_score(df: DataFrame) -> DataFrame:
         scored = model.transform(df)
-        return scored.withColumn("score", class_probability(model, scored))
+        return scored.withColumn("score", class_probability(scored)).select(*map(quoted, df.columns), "score")
 
     return add_score
 
@@ -47,71 +74,61 @@ def _literal(value: list, schema: str) -> Column:
     return F.from_json(F.lit(json.dumps(value)), schema)
 
 
-def _walks(features: int, pairs: int, seed: int) -> list[dict[str, list[int]]]:
+def _walks(base: list[list[float]], features: int, orders: int, seed: int) -> list[dict]:
+    """For each background row, ``orders`` random orders of the features and their reverses."""
     rng = random.Random(seed)
     walks = []
-    for _ in range(pairs):
-        order = rng.sample(range(features), features)
-        for path in (order, order[::-1]):
-            place = [0] * features
-            for position, feature in enumerate(path):
-                place[feature] = position
-            walks.append({"path": path, "place": place})
+    for row in base:
+        for _ in range(orders):
+            order = rng.sample(range(features), features)
+            for path in (order, order[::-1]):
+                place = [0] * features
+                for position, feature in enumerate(path):
+                    place[feature] = position
+                walks.append({"base": row, "path": path, "place": place})
     return walks
 
 
-def _background_rows(background: DataFrame, features: Sequence[str], most: int) -> list[list[float]]:
-    numbers = background.select(*[F.col(quoted(name)).cast("double") for name in features])
-    rows = numbers.limit(most + 1).collect()
-    if not 0 < len(rows) <= most:
-        raise ValueError(f"the background must have 1 to {most} rows")
-    return [list(row) for row in rows]
-
-
 def attributions(
     rows: DataFrame,
-    background: DataFrame,
-    features: Sequence[str],
+    background: Background,
     key: Sequence[str],
-    scorer: Scorer,
-    pairs: int = 5,
+    scorers: Scorer | Mapping[str, Scorer],
+    orders: int = 1,
     seed: int = 0,
-    max_background: int = 100,
     partitions: int | None = None,
 ) -> DataFrame:
-    """(key..., feature, value, attribution) for every row and feature.
+    """(model,) key..., feature, value, attribution for every row, feature and scorer.
 
-    ``key`` must be unique in ``rows``. The attributions of a row add up to its
-    score less the background's mean score. ``partitions`` spreads a short table
-    of rows, which otherwise stays in the few tasks it comes from.
+    ``scorers`` is a function that adds a ``score`` column, or several by name; all of them
+    score the same points. The attributions of a row add up to its score less the
+    background's mean score. A key that comes twice fails. ``partitions`` spreads a short
+    table of rows, which otherwise stays in the few tasks it comes from.
     """
-    features, key = list(features), list(key)
-    base = _background_rows(background, features, max_background)
-    walks = _walks(len(features), pairs, seed)
-    weight = 1.0 / (len(base) * len(walks))
+    features, key = background.features, list(key)
+    if not background.rows:
+        raise ValueError("the background has no rows")
+    named = scorers if isinstance(scorers, Mapping) else {"": scorers}
+    walks = _walks(background.rows, len(features), orders, seed)
+    weight = 1.0 / len(walks)
     keys = [f"_key{i}" for i in range(len(key))]
     numbered = rows.select(
         *[F.col(quoted(name)).alias(made) for name, made in zip(key, keys, strict=True)],
         F.array(*[F.col(quoted(name)).cast("double") for name in features]).alias("_own"),
     )
-
-    walking = numbered.withColumn(
-        "_walk", F.explode(_literal(walks, "array<struct<path:array<int>,place:array<int>>>"))
-    )
     if partitions is not None:
-        walking = walking.repartition(partitions, *keys, F.col("_walk.path"))
-    starting = walking.withColumn("_base", F.explode(_literal(base, "array<array<double>>")))
-    steps = starting.withColumn(
-        "_steps",
-        F.filter("_walk.path", lambda i: F.get("_own", i) != F.get("_base", i)),
+        numbered = numbered.repartition(partitions, *keys)
+    walk = "array<struct<base:array<double>,path:array<int>,place:array<int>>>"
+    steps = numbered.withColumn("_walk", F.explode(_literal(walks, walk))).withColumn(
+        "_steps", F.filter("_walk.path", lambda i: F.get("_own", i) != F.get("_walk.base", i))
     )
     size = F.size("_steps")
     points = steps.withColumn("_at", F.explode(F.when(size > 0, F.sequence(F.lit(0), size))))
     gained, lost = F.get("_steps", F.col("_at") - 1), F.get("_steps", F.col("_at"))
     reached = F.coalesce(F.get("_walk.place", gained), F.lit(-1))
     points = points.select(
-        *keys, "_own", "_base", F.col("_walk.place").alias("_place"), gained.alias("_gained"),
-        lost.alias("_lost"), reached.alias("_reached"),
+        *keys, "_own", F.col("_walk.base").alias("_base"), F.col("_walk.place").alias("_place"),
+        gained.alias("_gained"), lost.alias("_lost"), reached.alias("_reached"),
     )
     # Mixed as an array: one expression per feature would compile to a method too long
     # for the JVM to optimise.
@@ -121,88 +138,95 @@ def attributions(
             F.get("_base", i)
         ),
     )
-    mixed = points.select(*keys, "_gained", "_lost", switched.alias("_mixed")).select(
+    scored = points.select(*keys, "_gained", "_lost", switched.alias("_mixed")).select(
         *keys,
         "_gained",
         "_lost",
         *[F.get("_mixed", F.lit(i)).alias(name) for i, name in enumerate(features)],
     )
-    effect = F.col("score") * weight
+    sums = [f"_score{i}" for i in range(len(named))]
+    for scorer, made in zip(named.values(), sums, strict=True):
+        before = scored.columns
+        scored = scorer(scored).select(*map(quoted, before), F.col("score").alias(made))
     nothing = F.lit(None).cast("double")
-    effects = (
-        scorer(mixed)
-        .select(
-            *keys,
-            F.inline(
-                F.array(
-                    F.struct(
-                        F.col("_gained").alias("_feature"),
-                        nothing.alias("value"),
-                        effect.alias("attribution"),
-                    ),
-                    F.struct(
-                        F.col("_lost").alias("_feature"),
-                        nothing.alias("value"),
-                        (-effect).alias("attribution"),
-                    ),
-                )
-            ),
+
+    def effect(feature: str, sign: float) -> Column:
+        return F.struct(
+            F.col(feature).alias("_feature"),
+            nothing.alias("value"),
+            F.lit(0).alias("_rows"),
+            *[(F.col(made) * (sign * weight)).alias(made) for made in sums],
         )
-        .where(F.col("_feature").isNotNull())
-    )
+
+    effects = scored.select(
+        *keys, F.inline(F.array(effect("_gained", 1.0), effect("_lost", -1.0)))
+    ).where(F.col("_feature").isNotNull())
     # Every feature of every row appears, also those that no walk changes.
-    nothing_yet = F.lit(0.0).alias("attribution")
-    own_values = numbered.select(*keys, F.posexplode("_own").alias("_feature", "value"), nothing_yet)
+    own_values = numbered.select(
+        *keys,
+        F.posexplode("_own").alias("_feature", "value"),
+        F.lit(1).alias("_rows"),
+        *[F.lit(0.0).alias(made) for made in sums],
+    )
+    twice = F.raise_error(F.lit(f"more than one row has the same {', '.join(key)}")).cast("double")
     names = _literal(features, "array<string>")
-    return (
+    found = (
         effects.unionByName(own_values)
         .groupBy(*keys, "_feature")
-        .agg(F.max("value").alias("value"), F.sum("attribution").alias("attribution"))
+        .agg(
+            F.max("value").alias("value"),
+            F.sum("_rows").alias("_rows"),
+            *[F.sum(made).alias(made) for made in sums],
+        )
         .select(
             *[F.col(made).alias(name) for made, name in zip(keys, key, strict=True)],
             F.get(names, F.col("_feature")).alias("feature"),
-            "value",
-            "attribution",
+            F.when(F.col("_rows") > 1, twice).otherwise(F.col("value")).alias("value"),
+            *sums,
         )
     )
+    kept = [*map(quoted, key), "feature", "value"]
+    if not isinstance(scorers, Mapping):
+        return found.select(*kept, F.col(sums[0]).alias("attribution"))
+    each = F.inline(
+        F.array(
+            *[
+                F.struct(F.lit(name).alias("model"), F.col(made).alias("attribution"))
+                for name, made in zip(named, sums, strict=True)
+            ]
+        )
+    )
+    return found.select(*kept, each).select("model", *kept, "attribution")
 
 
 def explain_model(
     model: PipelineModel,
     data: DataFrame,
-    features: Sequence[str],
+    background: Background,
     key: Sequence[str],
     n_samples: int | None = None,
-    max_background: int = 100,
     **options,
 ) -> DataFrame:
-    """Attributions of the probability of class 1 for the first ``n_samples`` rows, or all.
+    """Attributions of the probability of class 1 for all rows, or the first ``n_samples`` by key."""
+    data = _first(data, key, n_samples)
+    return attributions(data, background, key, probability_scorer(model), **options)
 
-    The background is the first ``max_background`` of the explained rows.
-    """
-    order = [F.col(quoted(name)) for name in key]
-    if n_samples is not None:
-        data = data.orderBy(*order).limit(n_samples)
-        options.setdefault("partitions", 4 * data.sparkSession.sparkContext.defaultParallelism)
-    background = data.orderBy(*order).limit(max_background)
-    return attributions(
-        data,
-        background,
-        features,
-        key,
-        probability_scorer(model),
-        max_background=max_background,
-        **options,
-    )
+
+def explain_models(
+    models: Mapping[str, PipelineModel],
+    data: DataFrame,
+    background: Background,
+    key: Sequence[str],
+    n_samples: int | None = None,
+    **options,
+) -> DataFrame:
+    """:func:`explain_model` for several models on the same points, with a ``model`` column."""
+    scorers = {name: probability_scorer(model) for name, model in models.items()}
+    return attributions(_first(data, key, n_samples), background, key, scorers, **options)
 
 
-def explain_models(models: Mapping[str, PipelineModel], data: DataFrame, *args, **options) -> DataFrame:
-    """:func:`explain_model` for several models, with a ``model`` column."""
-    parts = [
-        explain_model(model, data, *args, **options).withColumn("model", F.lit(name))
-        for name, model in models.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def _first(data: DataFrame, key: Sequence[str], n: int | None) -> DataFrame:
+    return data if n is None else data.orderBy(*[F.col(quoted(name)) for name in key]).limit(n)
 
 
 def importance(attributed: DataFrame, top: int = 10, by: Sequence[str] = ()) -> DataFrame:

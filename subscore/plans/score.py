@@ -37,8 +37,12 @@ def score_events(
 
     An empty batch writes nothing.
     """
+    # Kept, so that the look whether it is empty does not read the batch a second time.
+    events = events.persist() if path is not None else events
     raw = parse_messages(decode_messages(events, payload), columns, payload)
     scores = score(raw, model, spec)
-    if path is not None and not events.isEmpty():
-        write_scores(scores, path)
+    if path is not None:
+        if not events.isEmpty():
+            write_scores(scores, path)
+        events.unpersist()
     return scores

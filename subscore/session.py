@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,10 +26,9 @@ def build_session(
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder that every executor can reach, as named by ``spark.checkpoint.dir``.
+    """Folder that every executor can reach: below ``spark.checkpoint.dir``, as the cluster names it.
 
-    A local session without the setting gets a temporary folder. On a cluster
-    that would lose data with its machine, so there the setting is required.
+    Without that setting, below ``spark.sql.warehouse.dir``, which executors share as well.
     """
     context = spark.sparkContext
     root = context.getCheckpointDir()
@@ -38,9 +36,7 @@ def shared_root(spark: SparkSession) -> str:
         return root
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="subscore-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 
@@ -48,3 +44,11 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder; nothing else writes there."""
     return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a path that :func:`scratch_path` gave, once nothing reads it any more."""
+    if not path.startswith(shared_root(spark).rstrip("/") + "/"):
+        raise ValueError(f"{path} is not below the shared folder")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from subscore.functions import decode_base64, parse_json, quoted
+from subscore.functions import decode_base64, parse_json_rows, quoted
 from subscore.sources.tables import text_schema
 
 
@@ -30,13 +30,13 @@ def message_stream(
 def parse_messages(df: DataFrame, columns: Iterable[str], payload: str = "data") -> DataFrame:
     """One text column per field of the JSON object in ``payload`` (text or binary).
 
-    A missing field is NULL; a message that is not JSON gives a row of NULLs, so
-    that it can be reported instead of vanishing.
+    An array of objects gives a row for each. A missing field is NULL; a message that is
+    not JSON gives a row of NULLs, so that it can be reported instead of vanishing.
     """
-    parsed = parse_json(F.col(quoted(payload)), text_schema(columns))
+    parsed = parse_json_rows(F.col(quoted(payload)), text_schema(columns))
     # As a generator, the parse runs once per message. As a plain column it would be
     # copied into every later filter that the optimizer moves below it.
-    return df.select(F.inline(F.array(parsed)))
+    return df.select(F.inline_outer(parsed))
 
 
 def decode_messages(df: DataFrame, payload: str = "data") -> DataFrame:

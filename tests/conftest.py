@@ -10,7 +10,7 @@ from subscore.sources.tables import text_schema
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "subscore-tests",
         "local[8]",
@@ -19,6 +19,7 @@ def spark():
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

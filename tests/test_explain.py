@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
 
@@ -7,12 +8,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from subscore.plans.explain import (
+    Background,
     attributions,
     class_probability,
     explain_model,
     explain_models,
     importance,
     probability_scorer,
+    sample_background,
 )
 from subscore.plans.models import build_pipeline
 from subscore.plans.prepare import prepare
@@ -51,18 +54,20 @@ def exact(row, background):
     return effects
 
 
+def background_of(df, features=FEATURES):
+    rows = df.select(*[F.col(f"`{name}`").cast("double") for name in features]).collect()
+    return Background(list(features), [list(row) for row in rows])
+
+
 @pytest.mark.parametrize("partitions", [None, 6])
-def test_pairs_of_walks_are_exact_for_pairwise_effects(points, partitions):
-    """A walk and its reverse hold both orders of any two features."""
-    background = points.orderBy("k").limit(5)
-    base = [tuple(r[1:]) for r in background.orderBy("k").collect()]
-    found = attributions(
-        points, background, FEATURES, ["k"], product_scorer, pairs=1, partitions=partitions
-    ).collect()
+def test_orders_and_reverses_are_exact_for_pairwise_effects(points, partitions):
+    """An order and its reverse hold both orders of any two features."""
+    background = background_of(points.orderBy("k").limit(5))
+    found = attributions(points, background, ["k"], product_scorer, partitions=partitions).collect()
     assert len(found) == 30 * 3
     got = {(r["k"], r["feature"]): (r["value"], r["attribution"]) for r in found}
     for row in points.collect():
-        for name, effect in exact(tuple(row[1:]), base).items():
+        for name, effect in exact(tuple(row[1:]), background.rows).items():
             assert got[row["k"], name] == (pytest.approx(row[name]), pytest.approx(effect, abs=1e-12))
 
 
@@ -72,25 +77,39 @@ def test_linear_scores_have_known_attributions(points):
     def scorer(df):
         return df.withColumn("score", sum(F.col(f"`{n}`") * w for n, w in weights.items()))
 
-    background = points.where("k < 7")
-    means = background.agg(*[F.avg(f"`{n}`").alias(n) for n in FEATURES]).first()
-    for row in attributions(points, background, FEATURES, ["k"], scorer, pairs=3, seed=8).collect():
+    some = points.where("k < 7")
+    means = some.agg(*[F.avg(f"`{n}`").alias(n) for n in FEATURES]).first()
+    found = attributions(points, background_of(some), ["k"], scorer, orders=3, seed=8)
+    for row in found.collect():
         name = row["feature"]
         expected = weights[name] * (row["value"] - means[name])
         assert row["attribution"] == pytest.approx(expected, abs=1e-12)
 
 
-def test_background_size_is_checked(points):
-    for background in (points, points.where("k < 0")):
-        with pytest.raises(ValueError, match="background"):
-            attributions(points, background, FEATURES, ["k"], product_scorer, max_background=10)
+def test_background_is_drawn_by_hash_from_all_rows(points):
+    drawn = sample_background(points, FEATURES, ["k"], 6, seed=3)
+    order = sorted(range(30), key=lambda k: hashlib.md5(f"3|{k}".encode()).hexdigest())[:6]
+    rows = {row["k"]: list(map(float, row[1:])) for row in points.collect()}
+    assert drawn.rows == [rows[k] for k in order]
+    assert drawn == sample_background(points.repartition(7), FEATURES, ["k"], 6, seed=3)
+    with pytest.raises(ValueError, match="background"):
+        attributions(points, Background(FEATURES, []), ["k"], product_scorer)
+
+
+def test_repeated_keys_fail(points):
+    twice = points.unionByName(points.where("k = 3"))
+    found = attributions(twice, background_of(points.limit(2)), ["k"], product_scorer)
+    with pytest.raises(Exception, match="more than one row has the same k"):
+        found.collect()
 
 
 def test_no_join_and_sums_before_the_shuffle(points):
-    found = attributions(points, points.where("k < 2"), FEATURES, ["k"], product_scorer)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert not any(word in plan for word in ("Join", "Cartesian", "Window", "Python"))
-    assert "partial_sum" in plan and plan.count("Exchange hashpartitioning") == 1
+    background = background_of(points.where("k < 2"))
+    for scorers in (product_scorer, {"one": product_scorer, "two": product_scorer}):
+        found = attributions(points, background, ["k"], scorers)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert not any(word in plan for word in ("Join", "Cartesian", "Window", "Python"))
+        assert "partial_sum" in plan and plan.count("Exchange hashpartitioning") == 1
 
 
 @pytest.fixture(scope="module")
@@ -109,23 +128,25 @@ def models(prepared):
 
 def test_probability_of_both_kinds_of_model(prepared, models):
     scored = models["gbdt"].transform(prepared)
-    row = scored.select("probability", class_probability(models["gbdt"], scored)).first()
+    row = scored.select("probability", class_probability(scored)).first()
     assert row[1] == row[0][1]
     scored = models["svm"].transform(prepared)
-    row = scored.select("rawPrediction", class_probability(models["svm"], scored)).first()
+    row = scored.select("rawPrediction", class_probability(scored)).first()
     assert row[1] == pytest.approx(1 / (1 + math.exp(-row[0][1])))
 
 
 def test_models_are_explained(prepared, models):
-    found = explain_models(
-        models, prepared, SUBSCRIBERS.features, ["customerID"], n_samples=12, max_background=6, pairs=2
-    ).cache()
+    background = sample_background(prepared, SUBSCRIBERS.features, ["customerID"], 6)
+    base_rows = prepared.sparkSession.createDataFrame(
+        [tuple(row) for row in background.rows], ", ".join(f"`{n}` double" for n in background.features)
+    )
+    found = explain_models(models, prepared, background, ["customerID"], n_samples=12, orders=2).cache()
     assert found.count() == 2 * 12 * 46
     for name, model in models.items():
         add_score = probability_scorer(model)
         first = prepared.orderBy("customerID")
         scores = {r["customerID"]: r["score"] for r in add_score(first.limit(12)).collect()}
-        base = add_score(first.limit(6)).agg(F.avg("score")).first()[0]
+        base = add_score(base_rows).agg(F.avg("score")).first()[0]
         sums = found.where(F.col("model") == name).groupBy("customerID").agg(F.sum("attribution"))
         for key, total in sums.collect():
             assert total == pytest.approx(scores[key] - base, abs=1e-9)
@@ -138,5 +159,6 @@ def test_models_are_explained(prepared, models):
 
 def test_explaining_every_row(prepared, models):
     some = prepared.where(F.col("customerID") < "C00020")
-    found = explain_model(models["svm"], some, SUBSCRIBERS.features, ["customerID"], max_background=2, pairs=1)
+    background = sample_background(prepared, SUBSCRIBERS.features, ["customerID"], 2)
+    found = explain_model(models["svm"], some, background, ["customerID"])
     assert found.count() == 20 * 46

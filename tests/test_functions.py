@@ -15,6 +15,7 @@ from subscore.functions import (
     to_double,
     to_int,
 )
+from subscore.sources.messages import parse_messages
 
 TEXTS = [
     "12.7", "-3.", ".5", "+.5", ".", "-.", "1e2", "99999999999", "2147483648", "-2147483648",
@@ -57,6 +58,21 @@ def test_base64_payloads_decode_row_by_row(spark):
     assert rows == ['{"name": "Zoë"}', '{"name": "Zoë"}', None, "", None]
 
 
+def test_base64_ignores_quotes_and_line_breaks_only(spark):
+    good = base64.b64encode(b"a longer text").decode()
+    texts = [f"{good[:6]}\r\n{good[6:]}", f"'{good}' ", f"{good[:6]}*{good[6:]}", f"é{good}"]
+    df = spark.createDataFrame([(text,) for text in texts], "d string")
+    rows = [row[0] for row in df.select(decode_base64(F.col("d"))).collect()]
+    assert rows == ["a longer text", "a longer text", None, None]
+
+
+def test_arrays_of_objects_are_rows(spark):
+    texts = ['[{"a": "1"}, {"a": "2", "b": "x"}]', '{"a": "3"}', "[no", "[]", None]
+    df = spark.createDataFrame([(text,) for text in texts], "data string")
+    rows = sorted(map(tuple, parse_messages(df, ["a", "b"]).collect()), key=str)
+    assert rows == sorted([("1", None), ("2", "x"), ("3", None)] + [(None, None)] * 3, key=str)
+
+
 def test_json_keeps_unreadable_rows_as_nulls(spark):
     texts = ['{"a": "1", "b": 2}', '{"b": "x"}', "no json", "", None]
     df = spark.createDataFrame([(text,) for text in texts], "d string")

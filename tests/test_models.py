@@ -115,6 +115,27 @@ def test_search_keeps_the_best_and_refits(parts, tmp_path):
         *parts, "log_reg", features, "Churn", space, trials=2, seed=4, greater_is_better=False
     )
     assert worst.validation == min(values[:2])
+    assert first.chosen == values.index(max(values))
+
+
+def test_search_does_not_depend_on_partitioning(parts):
+    space = {"regParam": Choice([0.001, 0.3])}
+    few, many = (
+        search(
+            parts[0].repartition(n), parts[1], "log_reg", SUBSCRIBERS.features, "Churn", space,
+            trials=2, keys=["customerID"],
+        )
+        for n in (3, 7)
+    )
+    assert few.params == many.params and few.test == pytest.approx(many.test)
+    assert [v for _, v in few.trials] == pytest.approx([v for _, v in many.trials])
+
+
+@pytest.mark.parametrize("family", SPACES)
+def test_settings_of_the_whole_space_can_be_fitted(parts, family):
+    some = parts[0].limit(300).cache()
+    found = search(some, parts[1], family, SUBSCRIBERS.features, "Churn", trials=1, seed=6)
+    assert 0 <= found.validation <= 1 and set(found.params) == set(SPACES[family])
 
 
 def test_search_checks_its_arguments(parts):
@@ -136,7 +157,7 @@ def test_training_from_raw_tables(spark, subscribers):
 
 
 def test_model_comparison(parts, models):
-    table = evaluate_models(models, parts[1], "Churn", num_bins=0)
+    table = evaluate_models(models, parts[1], "Churn")
     values = {(row["model"], row["metric"]): row["value"] for row in table.collect()}
     assert len(values) == 20
     for family, model in models.items():

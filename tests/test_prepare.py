@@ -83,7 +83,7 @@ def test_encode_first_keeps_tokens_and_null_categories(raw_frame):
             raw_row(customerID="?"),
         ]
     )
-    learned = {"Contract": learn_options(raw, ["Contract"])["Contract"]}
+    learned = {"Contract": learn_options(raw, ["Contract"], None)["Contract"]}
     assert learned["Contract"] == sorted({"?", raw_row()["Contract"]})
     rows = prepare_encode_first(raw, replace(SUBSCRIBERS, options=OPTIONS | learned)).collect()
     assert [row["Contract_?"] for row in rows] == [1, 0]
@@ -92,7 +92,7 @@ def test_encode_first_keeps_tokens_and_null_categories(raw_frame):
 
 def test_options_learned_once_fit_other_tables(spark):
     train = spark.createDataFrame([(1, "b", 2.0), (0, "a", 3.0), (1, None, 4.0)], "n int, s string, x double")
-    options = learn_options(train, ["s", "n"])
+    options = learn_options(train, ["s", "n"], max_options=5)
     assert options == {"s": ["a", "b"], "n": ["0", "1"]}
     other = spark.createDataFrame([(7, "b", 1.0), (1, "z", 1.0)], "n int, s string, x double")
     rows = one_hot(other, options).collect()
@@ -109,9 +109,15 @@ def test_too_many_options_are_refused(spark):
     assert len(one_hot_learned(df, ["id"], max_options=50).columns) == 51
 
 
+def test_columns_of_the_same_name_are_refused(spark):
+    df = spark.createDataFrame([("y_z", "z")], "x string, x_y string")
+    with pytest.raises(ValueError, match="x_y_z"):
+        one_hot(df, {"x": ["y_z"], "x_y": ["z"]})
+
+
 def test_text_columns_are_encoded_and_numbers_pass(spark):
     df = spark.createDataFrame([("u", 1, "p"), ("v", 2, "p")], "`a.b` string, n int, c string")
-    encoded = one_hot_text(df)
+    encoded = one_hot_text(df, max_options=10)
     assert encoded.columns == ["n", "a.b_u", "a.b_v", "c_p"]
     assert [tuple(row) for row in encoded.orderBy("n").collect()] == [(1, 1, 0, 1), (2, 0, 1, 1)]
 

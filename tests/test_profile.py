@@ -5,7 +5,6 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from subscore.operators import small
 from subscore.operators.correlation import correlation_matrix, label_correlation
 from subscore.operators.histogram import histogram
 from subscore.operators.profile import (
@@ -88,11 +87,14 @@ def test_histogram_equals_numpy(skewed, column):
     assert [row["right"] for row in rows] == pytest.approx(edges[1:])
 
 
-@pytest.fixture(params=["broadcast", "salted"])
-def join_kind(request, monkeypatch):
-    """Both ways of joining with group figures: small side, and too many groups for that."""
-    if request.param == "salted":
-        monkeypatch.setattr(small, "SMALL_ROWS", 1)
+@pytest.fixture(params=["broadcast", "shuffled"])
+def join_kind(request, spark):
+    """Both ways of joining with group figures: few bytes, and too many to broadcast."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    if request.param == "shuffled":
+        spark.conf.set(name, "-1")
+    yield
+    spark.conf.unset(name)
 
 
 def test_grouped_histogram_equals_numpy(skewed, join_kind):
@@ -103,12 +105,35 @@ def test_grouped_histogram_equals_numpy(skewed, join_kind):
         assert [row["n"] for row in rows if row["group"] == group] == counts.tolist()
 
 
+def test_histogram_counts_all_or_fails(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "x double")
+    assert sum(row["n"] for row in histogram(df, "x").collect()) == 2
+    endless = df.unionByName(spark.createDataFrame([(float("inf"),)], "x double"))
+    with pytest.raises(Exception, match="range of x is not finite"):
+        histogram(endless, "x").collect()
+
+
+def test_quantiles_take_as_many_jobs_whatever_the_distribution(spark):
+    rng = np.random.default_rng(4)
+    columns = {"even": rng.random(20_000), "tail": rng.lognormal(0, 4, 20_000)}
+    jobs = []
+    for name, values in columns.items():
+        df = spark.createDataFrame(pd.DataFrame({"x": values}))
+        spark.sparkContext.setJobGroup(name, name)
+        rows = exact_quantiles(df, ["x"], [0.25, 0.5, 0.99], accuracy=200).collect()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)))
+        for row in rows:
+            assert row["value"] == pytest.approx(np.quantile(values, row["probability"]))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]
+
+
 def test_histogram_of_a_constant(spark):
     rows = histogram(spark.range(5).select(F.lit(2).alias("x")), "x", bins=4).orderBy("bin").collect()
     assert [(row["left"], row["n"]) for row in rows] == [(1.5, 0), (1.75, 0), (2.0, 5), (2.25, 0)]
 
 
-@pytest.mark.parametrize("limits", [{}, {"bins": 40, "finish_rows": 10}])
+@pytest.mark.parametrize("limits", [{}, {"accuracy": 20}, {"accuracy": 100}])
 def test_quantiles_equal_pandas(skewed, join_kind, limits):
     frame, df = skewed
     probabilities = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
@@ -122,7 +147,7 @@ def test_quantiles_equal_pandas(skewed, join_kind, limits):
 def test_quantiles_of_extreme_values(spark):
     values = [float("-inf"), -1.7e308, -1.0, -1.0, 5e-324, 1.0, 1.7e308, float("inf")]
     df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "x double")
-    rows = exact_quantiles(df, ["x"], [i / 7 for i in range(8)], bins=2, finish_rows=1).collect()
+    rows = exact_quantiles(df, ["x"], [i / 7 for i in range(8)], accuracy=1).collect()
     assert [r["value"] for r in sorted(rows, key=lambda r: r["probability"])] == values
 
 
@@ -148,9 +173,10 @@ def test_box_stats(skewed, join_kind):
 
 
 def test_quantile_plan_ranks_without_moving_rows(skewed):
-    """Rows meet the limits by broadcast; only counts are exchanged."""
+    """Rows meet few brackets by broadcast; only counts are exchanged."""
     plan = exact_quantiles(skewed[1], ["x"], [0.5], by="g")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert "SortMergeJoin" not in plan
 
 
 def test_correlation(skewed):

@@ -145,6 +145,13 @@ def test_command_line(spark, subscribers, model, tmp_path, capsys):
     shared = ["--models", str(tmp_path / "models"), "--families", "log_reg", "--input", data]
     main(["evaluate", *shared])
     assert "roc_auc" in capsys.readouterr().out
-    main(["explain", *shared, "--samples", "3", "--top", "4"])
+    main(["explain", *shared, "--background", "3", "--samples", "3", "--top", "4"])
     assert "importance" in capsys.readouterr().out
-    assert parse(["train", "--train", "a", "--test", "b", "--models", "c"]).trials == 40
+    main(["profile", "--input", data])
+    assert "median" in capsys.readouterr().out
+    parts = [str(tmp_path / name) for name in ("train", "test")]
+    main(["split", "--input", data, "--train", parts[0], "--test", parts[1], "--ratio", "0.7"])
+    assert sum(read_csv(spark, part).count() for part in parts) == subscribers.count()
+    main(["rejects", "--input", data, "--output", str(tmp_path / "dropped")])
+    given = parse(["train", "--train", "a", "--test", "b", "--models", "c", "--metric", "hammingLoss", "--smaller-is-better"])
+    assert (given.trials, given.ratio, given.smaller_is_better) == (40, 0.8, True)
