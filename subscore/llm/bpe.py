@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Callable, Iterable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ def byte_letters() -> dict[str, int]:
 class Bpe:
     """A vocabulary with its merges. Encoded words are remembered up to a bounded number."""
 
-    def __init__(self, file: bytes, remembered: int = 150_000):
+    def __init__(self, file: bytes, remembered: int = 300_000):
         described = json.loads(file)
         letters = byte_letters()
         vocab = described["model"]["vocab"]
@@ -68,19 +69,16 @@ class Bpe:
 
     def merge_short(self, ids: list[int]) -> list[int]:
         """Scan the ranks of neighbouring parts for the least, join there, refresh its neighbours."""
-        rank = self.rank
-        ranks = [rank.get(pair, NO_RANK) for pair in zip(ids, ids[1:])]
-        while ranks:
-            least = min(ranks)
-            if least == NO_RANK:
-                break
+        get, merged = self.rank.get, self.merged
+        ranks = list(map(get, zip(ids, ids[1:]), repeat(NO_RANK)))
+        while ranks and (least := min(ranks)) < NO_RANK:
             at = ranks.index(least)
-            ids[at] = self.merged[least]
+            ids[at] = merged[least]
             del ids[at + 1], ranks[at]
             if at < len(ranks):
-                ranks[at] = rank.get((ids[at], ids[at + 1]), NO_RANK)
+                ranks[at] = get((ids[at], ids[at + 1]), NO_RANK)
             if at:
-                ranks[at - 1] = rank.get((ids[at - 1], ids[at]), NO_RANK)
+                ranks[at - 1] = get((ids[at - 1], ids[at]), NO_RANK)
         return ids
 
     def merge_long(self, ids: list[int]) -> list[int]:
