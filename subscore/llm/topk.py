@@ -71,7 +71,8 @@ class Pivots:
     def bound(self, queries: np.ndarray, nearest: np.ndarray) -> np.ndarray:
         """Highest inner product at a distance of ``nearest`` or more, with room for rounding."""
         square = (queries.astype(np.float64) ** 2).sum(1) + self.radius2
-        return (square - nearest**2) / 2 + 1e-9 * square + 1
+        # A distance near 0 is off by up to 1e-8 of the radius.
+        return (square - nearest**2) / 2 + 1e-7 * square + 1
 
 
 def exact_top_k(
