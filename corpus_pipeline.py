@@ -1,7 +1,8 @@
 """A corpus from raw documents to tokens, stage by stage.
 
-Every stage but the last returns the columns of ``documents``. ``doc_id`` names a document
-throughout; where a stage changes a text, ``n_chars`` follows it.
+Every stage but the last returns the columns of ``documents``, and others that the table may
+have, whatever their names. ``doc_id`` names a document throughout; where a stage changes a
+text, ``n_chars`` follows it.
 """
 
 from __future__ import annotations
@@ -18,29 +19,43 @@ from subscore.llm.queries import table, tokenizer_path
 from subscore.session import scratch_path
 
 
+#: What the stages themselves look at.
+OWN = ("doc_id", "text", "n_chars")
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with its other columns named by their place, so that no operator replaces them."""
+    return docs.toDF(*(name if name in OWN else f"~{at}" for at, name in enumerate(docs.columns)))
+
+
+def named(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` out of what an operator made of ``numbered(docs)``."""
+    return found.select(*(f"`{name}`" for name in numbered(docs).columns)).toDF(*docs.columns)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the classifier rejects: a score below 0.7."""
     weights = fit_quality(docs, table(spark, sf_dir, "labels"))
-    return score_quality(docs, weights, keep=[*docs.columns]).where("score >= 0.7").drop("score")
+    return named(score_quality(numbered(docs), weights).where("score >= 0.7"), docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without later copies of runs of three or more lines; what has nothing left goes."""
-    left = remove_repeated_lines(docs, min_lines=3)
+    left = remove_repeated_lines(numbered(docs), min_lines=3)
     changed = F.col("n_removed") > 0
     left = left.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")))
-    return left.where(~(changed & (F.col("n_removed") == F.col("n_lines")))).select(*docs.columns)
+    return named(left.where(~(changed & (F.col("n_removed") == F.col("n_lines")))), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of similar texts."""
-    return drop_similar_texts(docs)
+    return named(drop_similar_texts(numbered(docs)), docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that hold a passage of ten words, or a whole item, of the benchmark."""
-    found = benchmark_spans(docs, table(spark, sf_dir, "benchmark"), keep=docs.columns)
-    return found.where(F.size("spans") == 0).select(*docs.columns)
+    found = benchmark_spans(numbered(docs), table(spark, sf_dir, "benchmark"))
+    return named(found.where(F.size("spans") == 0), docs)
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -123,9 +123,9 @@ def remove_repeated_passages(
     total = total or 0
     each = max(1, int(CHUNK_BYTES / max(1, total / max(1, rows))))
     source.write.option("maxRecordsPerFile", each).option("compression", "zstd").parquet(f"{folder}/chunks")
-    chunked = spark.read.schema(source.schema).parquet(f"{folder}/chunks").withColumns(
-        {"~chunk": F.xxhash64("_metadata.file_path"), "~place": F.col("_metadata.row_index")}
-    )
+    chunked = spark.read.schema(source.schema).parquet(f"{folder}/chunks")
+    file = chunked.metadataColumn("_metadata")
+    chunked = chunked.withColumns({"~chunk": F.xxhash64(file["file_path"]), "~place": file["row_index"]})
     words = chunked.select(
         F.col(f"`{doc_id}`").cast("long").alias("id"),
         F.col(f"`{text}`").cast("string").alias("text"),
@@ -323,4 +323,6 @@ def remove_repeated_passages(
                 )
 
     typed = chunked.withColumn(text, F.col(f"`{text}`").cast("string"))
-    return typed.select(*(f"`{n}`" for n in names), "~chunk", "~place").mapInArrow(cut, schema)
+    typed = typed.select(*(f"`{n}`" for n in names), "~chunk", "~place")
+    # Named by place, as mapInArrow looks its columns up without quoting their names.
+    return typed.toDF(*(f"~{at}" for at in range(len(names))), "~chunk", "~place").mapInArrow(cut, schema)

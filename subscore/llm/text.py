@@ -123,4 +123,5 @@ def append_columns(
                 arrays = compute(as_bytes(part.column(last)))
                 yield pa.RecordBatch.from_arrays([*part.columns[:last], *arrays], names=names)
 
-    return source.mapInArrow(run, schema)
+    # Named by place, as mapInArrow looks its columns up without quoting their names.
+    return source.toDF(*(f"~{at}" for at in range(last + 1))).mapInArrow(run, schema)

@@ -6,13 +6,22 @@ import hashlib
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from subscore.llm.bpe import encode_decode
+from subscore.llm.decontaminate import benchmark_spans
+from subscore.llm.licenses import license_spans
+from subscore.llm.line_dedup import remove_repeated_lines
+from subscore.llm.ngram_join import drop_similar_texts
+from subscore.llm.quality import score_quality
 from subscore.llm.queries import ORACLES, QUERIES, tokenizer_path
+from subscore.llm.substring_dedup import remove_repeated_passages
+from subscore.llm.url_filter import judge_urls
 
 from .test_operators import classes_by_hand, covered, lines_by_hand
 
@@ -105,3 +114,51 @@ def test_pipeline_equals_plain_stages(spark):
     found = corpus_pipeline.run(spark, SF_DIR)
     assert ordered(tuple(r) for r in found.select("doc_id", "ids", "text").collect()) == ordered(want)
     assert 0 < len(want) < len(kept)
+
+
+#: Names that operators use for columns of their own, and names that need quoting.
+CLASHING = [
+    "id", "node", "root", "rank", "tie", "pos", "line", "first", "score", "spans", "items", "ids", "decoded",
+    "n_words", "n_lines", "n_removed", "chunk", "place", "label", "size", "_metadata", "a b", "c.d",
+]
+
+
+@pytest.mark.parametrize("rows", [0, 12])
+def test_stages_keep_clashing_columns(spark, rows):
+    words = ["one two three four five six", "a different text of other words", None, ""]
+    texts = [words[n % 4] if n < 8 else f"own {n}\nlines {n}\nof {n}" for n in range(rows)]
+    data = [(n, t, None, *(n * 100 + k for k in range(len(CLASHING)))) for n, t in enumerate(texts)]
+    schema = "doc_id long, text string, n_chars long, " + ", ".join(f"`{c}` int" for c in CLASHING)
+    docs = spark.createDataFrame(data, schema).repartition(3)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, docs, SF_DIR)
+        assert left.columns == docs.columns, name
+        found = {r[0]: tuple(r) for r in left.collect()}
+        assert all(row == data[key] for key, row in found.items()), name
+        assert name == "quality" or len(found) >= min(rows, 7), name
+    assert corpus_pipeline.bpe(spark, docs, SF_DIR).count() == rows
+
+
+def test_operators_keep_clashing_columns(spark):
+    data = [(n, f"text {n}", *(n * 100 + k for k in range(len(CLASHING)))) for n in range(9)]
+    schema = "doc_id long, text string, " + ", ".join(f"`{c}` int" for c in CLASHING)
+    docs = spark.createDataFrame(data, schema).repartition(3)
+    items = spark.createDataFrame([("b", "other")], "item_id string, text string")
+    made = [
+        encode_decode(docs, tokenizer_path()),
+        benchmark_spans(docs, items),
+        license_spans(docs),
+        remove_repeated_lines(docs),
+        remove_repeated_passages(docs),
+        drop_similar_texts(docs),
+        judge_urls(docs, [("block", "x.org", "/")], url="text"),
+        score_quality(docs, np.zeros((1 << 20) + 1)),
+    ]
+    for found in made:
+        own = {"ids", "decoded", "n_words", "spans", "items", "n_lines", "n_removed", "score"}
+        kept = [c for c in docs.columns if c not in own]
+        assert set(kept) <= set(found.columns)
+        names = [f"`{c}`" for c in kept]
+        assert ordered(map(tuple, found.select(*names).collect())) == ordered(
+            map(tuple, docs.select(*names).collect())
+        )
