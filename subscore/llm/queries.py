@@ -23,12 +23,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+#: Queries with other settings of an operator, beside the one that each has above, and their SQL.
+MORE_QUERIES: dict[str, Query] = {}
+MORE_ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None, more: bool = False) -> Callable[[Query], Query]:
+    queries, oracles = (MORE_QUERIES, MORE_ORACLES) if more else (QUERIES, ORACLES)
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[name] = function
+        queries[name] = function
         if sql is not None:
-            ORACLES[name] = sql
+            oracles[name] = sql
         return function
 
     return register
@@ -246,6 +252,56 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Fixed value: words of a repeated run of lines, from a single line on.
+RUN_WORDS = 5
+
+
+@query(
+    "op4_line_dedup_words",
+    f"""
+    WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+    l AS (
+      SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM split),
+    n AS (SELECT *, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n FROM l),
+    a AS (
+      SELECT *, (count(*) FILTER (WHERE n > 0) OVER d - (n > 0)::INT)::BIGINT AS place,
+        count(*) FILTER (WHERE n > 0) OVER (PARTITION BY doc_id) AS n_full
+      FROM n WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+    f AS (
+      SELECT doc_id, list(line ORDER BY place) AS lines, list(n ORDER BY place) AS ns
+      FROM a WHERE n > 0 GROUP BY doc_id),
+    p AS (SELECT *, unnest(range(1, len(lines) + 1)) AS s FROM f),
+    w AS (
+      SELECT doc_id, s - 1 AS place, k, list_slice(lines, s, s + k - 1) AS run
+      FROM (SELECT *, unnest(range(1, {RUN_WORDS} + 1)) AS k FROM p)
+      WHERE s + k - 1 <= len(lines) AND list_sum(list_slice(ns, s, s + k - 1)) >= {RUN_WORDS}),
+    r AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, place) AS copy FROM w),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(place, place + k)) AS place FROM r WHERE copy > 1),
+    judged AS (
+      SELECT a.*, CASE WHEN a.n > 0 THEN g.place IS NOT NULL ELSE n_full > 0
+          AND (a.place = 0 OR b.place IS NOT NULL) AND (a.place = n_full OR g.place IS NOT NULL) END AS out
+      FROM a LEFT JOIN gone g ON g.doc_id = a.doc_id AND g.place = a.place
+        LEFT JOIN gone b ON b.doc_id = a.doc_id AND b.place = a.place - 1),
+    kept AS (
+      SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE out) AS n_removed,
+        string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT out) AS text
+      FROM judged GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines,
+      coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+    FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id""",
+    more=True,
+)
+def op4_line_dedup_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = remove_repeated_lines(docs, min_lines=1, min_words=RUN_WORDS)
+    return left.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 @query(
     "op8_substring_dedup",
     """

@@ -201,6 +201,50 @@ def test_maximal_runs(spark):
     ]
 
 
+def lines_by_words(rows, least, words):
+    """The rule for runs that count by their words, every run of every length compared."""
+    order = sorted({(i is not None, i or 0, t) for i, t in rows if t is not None}, key=lambda r: r[:2])
+    seen, gone = set(), {}
+    for key in order:
+        lines = key[2].split("\n")
+        full = [at for at, line in enumerate(lines) if line.split()]
+        out = set()
+        for start in range(len(full)):
+            for end in range(start + least, len(full) + 1):
+                run = tuple(lines[at] for at in full[start:end])
+                if sum(len(line.split()) for line in run) >= words:
+                    out |= set(range(start, end)) if run in seen else set()
+                    seen.add(run)
+        for at, line in enumerate(lines):
+            sides = [*[n for n, x in enumerate(full) if x < at][-1:], *[n for n, x in enumerate(full) if x > at][:1]]
+            if not line.split() and sides and all(n in out for n in sides):
+                out.add(-1 - at)
+        removed = {full[n] if n >= 0 else -1 - n for n in out}
+        left = "\n".join(x for n, x in enumerate(lines) if n not in removed)
+        gone[key] = (left, len(lines), len(removed))
+    return [(i, *((None, 0, 0) if t is None else gone[(i is not None, i or 0, t)])) for i, t in rows]
+
+
+@pytest.mark.parametrize("least, words", [(1, 1), (1, 3), (1, 5), (2, 3), (4, 3), (1, 9)])
+def test_repeated_lines_by_words(spark, least, words):
+    rng = random.Random(words)
+    lines = ["a", "b c", "", " ", "d e f", "g h i j k l m", "n o p q r"]
+    rows = [(n * 3, "\n".join(rng.choices(lines, k=rng.randint(1, 9)))) for n in range(40)]
+    rows += [(n + 200, f"own words {n} of this line") for n in range(9)]
+    rows += [(500, None), (501, ""), (None, rows[3][1]), rows[4], rows[4], (502, "\n" * 40), rows[41]]
+    found = remove_repeated_lines(docs(spark, rows), least, min_words=words)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(lines_by_words(rows, least, words), key=str)
+
+
+def test_single_lines_and_short_texts_repeat(spark):
+    rows = [(n, f"text {n}\n\nall rights are reserved by us") for n in range(5)]
+    rows += [(9, "all rights are reserved by us\n"), (10, "text 0")]
+    found = remove_repeated_lines(docs(spark, rows), 1, min_words=5)
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in found.collect()}
+    assert got[0] == (rows[0][1], 3, 0) and got[4] == ("text 4\n", 3, 1)
+    assert got[9] == ("", 2, 2) and got[10] == ("text 0", 1, 0)
+
+
 def test_repeated_lines_use_no_python(spark):
     found = remove_repeated_lines(docs(spark, [(1, "a\nb\nc"), (2, "a\nb\nc")]), 2)
     plan = found._jdf.queryExecution().executedPlan().toString()

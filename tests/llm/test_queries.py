@@ -19,7 +19,7 @@ from subscore.llm.licenses import license_spans
 from subscore.llm.line_dedup import remove_repeated_lines
 from subscore.llm.ngram_join import drop_similar_texts
 from subscore.llm.quality import score_quality
-from subscore.llm.queries import ORACLES, QUERIES, tokenizer_path
+from subscore.llm.queries import MORE_ORACLES, MORE_QUERIES, ORACLES, QUERIES, RUN_WORDS, tokenizer_path
 from subscore.llm.substring_dedup import remove_repeated_passages
 from subscore.llm.url_filter import judge_urls
 
@@ -55,6 +55,24 @@ def test_query_equals_sql(spark, name):
     assert ordered(tuple(row[c] for c in columns) for row in found.collect()) == ordered(want)
 
 
+@pytest.mark.parametrize("name", sorted(MORE_ORACLES))
+def test_other_setting_equals_sql(spark, name):
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    found = MORE_QUERIES[name](spark, SF_DIR)
+    want = database.execute(f"SELECT {', '.join(found.columns)} FROM ({MORE_ORACLES[name]})").fetchall()
+    assert ordered(map(tuple, found.collect())) == ordered(want)
+    assert MORE_QUERIES.items() <= contract.queries().items()
+    assert MORE_ORACLES.items() <= contract.oracle_sql().items()
+
+
+def test_no_line_with_words_stays_twice(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").dropDuplicates(["text"])
+    left = remove_repeated_lines(docs, 1, min_words=RUN_WORDS).select(F.explode(F.split("text", "\n")).alias("line"))
+    long = left.where(F.size(F.split(F.trim("line"), " +")) >= RUN_WORDS)
+    assert long.groupBy("line").count().where("count > 1").isEmpty() and not long.isEmpty()
+
+
 def test_bpe_equals_the_library(spark):
     library = Tokenizer.from_file(tokenizer_path())
     digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
