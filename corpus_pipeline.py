@@ -15,7 +15,7 @@ from subscore.llm.decontaminate import benchmark_spans
 from subscore.llm.line_dedup import remove_repeated_lines
 from subscore.llm.ngram_join import drop_similar_texts
 from subscore.llm.quality import fit_quality, score_quality
-from subscore.llm.queries import table, tokenizer_path
+from subscore.llm.queries import RUN_WORDS, table, tokenizer_path
 from subscore.session import scratch_path
 
 
@@ -39,14 +39,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return named(score_quality(numbered(docs), weights).where("score >= 0.7"), docs)
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without later copies of runs of three or more lines; what has nothing left goes."""
-    left = remove_repeated_lines(numbered(docs), min_lines=3)
+def without_repeated_lines(docs: DataFrame, min_lines: int, min_words: int = 0) -> DataFrame:
+    """Without later copies of runs of lines that count; what has nothing left goes."""
+    left = remove_repeated_lines(numbered(docs), min_lines, min_words=min_words)
     changed = F.col("n_removed") > 0
     left = left.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")))
     return named(left.where(~(changed & (F.col("n_removed") == F.col("n_lines")))), docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without later copies of runs of three or more lines."""
+    return without_repeated_lines(docs, min_lines=3)
+
+
+def line_dedup_words(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without later copies of runs of five or more words, be they one line."""
+    return without_repeated_lines(docs, min_lines=1, min_words=RUN_WORDS)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of similar texts."""
     return named(drop_similar_texts(numbered(docs)), docs)
@@ -73,16 +83,25 @@ STAGES = [
     ("bpe", bpe),
 ]
 
+#: The same with runs of lines that count by their words.
+STAGES_BY_WORDS = [
+    ("line_dedup_words", line_dedup_words) if name == "line_dedup" else (name, stage) for name, stage in STAGES
+]
+
 #: SQL can say neither the classifier nor the tokenizer; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, stages: list = STAGES) -> DataFrame:
     """All stages over ``documents``; each result is written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
-    *others, (_, last) = STAGES
+    *others, (_, last) = stages
     for name, stage in others:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return last(spark, docs, sf_dir)
+
+
+def run_by_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir, STAGES_BY_WORDS)
