@@ -160,7 +160,8 @@ def repeated_runs(
     numbered_lines(docs, doc_id, text, blank=min_words <= 0).write.parquet(path)
     repeated = repeated_suffixes(spark.read.parquet(path), min_lines, min_words).checkpoint()
     interval, place = ["size", "head", "then"], F.struct(*AT, "start")
-    first = repeated.groupBy(*interval).agg(F.min(place).alias("first"))
+    # Written down, so that both sides are shuffled for the join and AQE can divide a hot run.
+    first = repeated.groupBy(*interval).agg(F.min(place).alias("first")).checkpoint()
     copies = repeated.join(first, interval).where(place != F.col("first"))
     copies = copies.select(*AT, "start", "size", "end", "first").distinct()
     side = ["id", "tie", "first.id", "first.tie", F.col("pos") - F.col("first.pos")]

@@ -245,6 +245,14 @@ def test_single_lines_and_short_texts_repeat(spark):
     assert got[9] == ("", 2, 2) and got[10] == ("text 0", 1, 0)
 
 
+@pytest.mark.parametrize("words", [0, 5])
+def test_hot_runs_are_divided(spark, words):
+    """The side with the first copies is no aggregate above the shuffle of their join."""
+    found = repeated_runs(docs(spark, [(1, "a\nb\nc"), (2, "a\nb\nc")]), 3, min_words=words)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "Aggregate" not in plan[plan.index("Join") :]
+
+
 def test_repeated_lines_use_no_python(spark):
     found = remove_repeated_lines(docs(spark, [(1, "a\nb\nc"), (2, "a\nb\nc")]), 2)
     plan = found._jdf.queryExecution().executedPlan().toString()
