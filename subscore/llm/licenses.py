@@ -158,32 +158,46 @@ class LicenseScanner:
             if at != before + 1:
                 state = length = 0
             before = at
-            kept, kept_length = state, length
             while state and word not in a.next[state]:
                 state = a.link[state]
                 length = a.length[state]
             following = a.next[state].get(word)
-            if kept_length >= self.shortest and (following is None or length < kept_length):
-                matches.append((at - kept_length, kept_length, kept))
             if following is None:
                 state = length = 0
                 continue
             state, length = following, length + 1
-            if length >= self.shortest and (at + 1 == len(words) or words[at + 1] not in vocabulary):
-                matches.append((at - length + 1, length, state))
+            if length >= self.shortest:
+                then = words[at + 1] if at + 1 < len(words) else None
+                matches += self.ending(at, state, length, then)
             for phrase in self.phrase_ends[state]:
                 label, run = self.phrases[phrase]
                 if len(run) <= length:
                     places.append((label, at - len(run) + 1, at + 1))
         return sorted(places, key=lambda p: p[1:]), self.chains(matches)
 
-    def chains(self, matches: list[tuple[int, int, int]]):
+    def ending(self, at: int, state: int, length: int, then: bytes | None):
+        """(start, length, template, place in it) of all matches that go up to ``at`` and no further.
+
+        Suffix links lead to shorter runs, which other places and templates hold; each place
+        counts with the longest run that ends there, unless ``then`` goes on with it.
+        """
+        a, seen, found = self.automaton, set(), []
+        while state and length >= self.shortest:
+            for number, end in a.ends[state] - seen:
+                if number < len(self.templates):
+                    words = self.templates[number][1]
+                    if end + 1 == len(words) or words[end + 1] != then:
+                        found.append((at - length + 1, length, number, end - length + 1))
+            seen = a.ends[state]
+            state = a.link[state]
+            length = a.length[state]
+        return found
+
+    def chains(self, matches: list[tuple[int, int, int, int]]):
         """Matches in the order of a template, ``gap`` words apart at most, as spans."""
         by_template: dict[int, list[tuple[int, int, int]]] = {}
-        for start, length, state in matches:
-            for number, end in self.automaton.ends[state]:
-                if number < len(self.templates):
-                    by_template.setdefault(number, []).append((start, length, end - length + 1))
+        for start, length, number, place in matches:
+            by_template.setdefault(number, []).append((start, length, place))
         spans = []
         for number, found in by_template.items():
             label, words = self.templates[number]

@@ -158,6 +158,21 @@ def test_components(spark):
     assert {tuple(r) for r in found.collect()} == {(n, r) for n, r in root.items() if n in linked}
 
 
+# --- licences inside longer matches -------------------------------------------
+
+
+def test_template_inside_a_longer_match(spark):
+    templates = [("long", "a b c d e f g h i j k l m n o p q r s t"), ("short", "d e f g"), ("other", "f g x y")]
+    rows = [(1, "a b c d e f g h i and more"), (2, "d e f g"), (3, "a b c d e f g x y z")]
+    found = license_spans(docs(spark, rows), [], templates)
+    got = {r.doc_id: {(s.label, s.start, s.end, s.coverage) for s in r.spans} for r in found.collect()}
+    assert got[1] == {("short", 3, 7, 1.0)} and got[2] == {("short", 0, 4, 1.0)}
+    assert got[3] == {("short", 3, 7, 1.0), ("other", 5, 9, 1.0)}
+    line = "Licensed under the Apache License, Version 2.0. The rest is ours."
+    spans = license_spans(docs(spark, [(1, line)])).first().spans
+    assert [(s.label, s.start, s.end) for s in spans] == [("apache", 0, 8)]
+
+
 # --- lines --------------------------------------------------------------------
 
 
