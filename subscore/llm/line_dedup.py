@@ -145,12 +145,13 @@ def repeated_suffixes(lines: DataFrame, min_lines: int, min_words: int = 0) -> D
 def repeated_runs(
     docs: DataFrame, min_lines: int = 3, doc_id: str = "doc_id", text: str = "text", min_words: int = 0
 ) -> DataFrame:
-    """Maximal runs of lines that repeat earlier ones, one row for each.
+    """Runs of lines that repeat earlier ones, as long as they follow the same first copy.
 
     (id, tie, start, end): the lines from ``start`` up to ``end`` of a document, at least
     ``min_lines`` with at least ``min_words`` words; (source_id, source_tie, source_start):
     where the first copies of their shortest stretches that count stand, one after the other.
-    Runs with different sources may overlap. ``tie`` tells rows with the same id apart. With
+    Where stretches of a repeated run have different first copies, it comes in pieces, which
+    may overlap; the same lines are covered either way. ``tie`` tells rows with the same id apart. With
     ``min_words``, lines without words are passed over, and ``from_pos`` and ``to_pos`` are
     places among the other lines; otherwise they are ``start`` and ``end``.
     """
