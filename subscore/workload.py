@@ -857,8 +857,9 @@ def fit_lr_numeric(spark, sf_dir):
     return spark.createDataFrame(list(zip(OPTIMUM, rounded)), "feature string, gradient double")
 
 
-# Each space holds settings that learn the segments and one that learns nothing: a tree
-# without a split, or weights held at 0. What each trial scores is known.
+# Each space but that of the SVM, whose settings both learn, holds settings that learn the
+# segments and one that learns nothing: a tree without a split, or weights held at 0. What
+# each trial scores is known.
 GOOD_OR_BAD = {
     "rf": {"maxDepth": Choice([8, 0]), "numTrees": Choice([20]), "seed": Choice([1])},
     "log_reg": {
