@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 
 from subscore.llm.bpe import encode_decode
 from subscore.llm.decontaminate import benchmark_spans, n_covered
+from subscore.llm.hard_negatives import mine_hard_negatives
 from subscore.llm.licenses import license_spans
 from subscore.llm.line_dedup import remove_repeated_lines
 from subscore.llm.ngram_join import similar_texts
 from subscore.llm.quality import fit_quality, in_training, score_quality
+from subscore.llm.secret_ledger import BASE, RULES, digest_spans, findings, scan_versions
 from subscore.llm.substring_dedup import remove_repeated_passages
 from subscore.llm.topk import exact_top_k
 from subscore.llm.url_filter import judge_urls
 from subscore.llm.warc import archive_round_trip
+from subscore.llm.whitening import whiten
+from subscore.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -363,3 +367,95 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = similar_texts(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "class_id", "n_links")
+
+
+@query(
+    "op11_hard_negatives",
+    """
+    WITH whole AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+      FROM embeddings
+      WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS (
+      SELECT vec_id, label, unnest(v) AS x, generate_subscripts(v, 1) AS at FROM whole),
+    scored AS (
+      SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, any_value(a.label = c.label) AS same,
+        sum(a.x * c.x)::BIGINT AS score
+      FROM parts a JOIN parts c ON a.at = c.at AND a.vec_id <> c.vec_id
+      WHERE a.vec_id % 100 = 0 GROUP BY ALL),
+    near AS (
+      SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) AS place
+      FROM scored WHERE same),
+    hard AS (
+      SELECT p.anchor_id, p.other_id AS positive_id, n.other_id AS negative_id,
+        p.score AS positive_score, n.score AS negative_score,
+        row_number() OVER (
+          PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id)::INT AS rank
+      FROM near p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+        AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+      WHERE place <= 5)
+    SELECT * FROM hard WHERE rank <= 5""",
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def _secrets_sql() -> str:
+    """SQL for the spans of every rule, with the rules' own patterns; places are prefix sums."""
+    made = []
+    for place, rule in enumerate(RULES):
+        pattern = "'" + rule.pattern.replace("'", "''") + "'"
+        made.append(
+            f"SELECT row, {place} AS place, '{rule.kind}' AS kind, string_split_regex(text, {pattern}) AS gaps, "
+            f"regexp_extract_all(text, {pattern}, 0) AS found, "
+            f"regexp_extract_all(text, {pattern}, {rule.group}) AS value, {rule.least} AS least "
+            f"FROM d WHERE regexp_matches(text, {pattern})"
+        )
+    base = len(BASE)
+    counts = ", ".join(
+        f"count(*) FILTER (WHERE kind = '{rule.kind}') AS n_{rule.kind}" for rule in BASE
+    )
+    told = "kind || ':' || start_at || ':' || end_at, ',' ORDER BY start_at, place"
+    return f"""
+    WITH d AS (
+      SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+    matched AS ({" UNION ALL ".join(made)}),
+    places AS (
+      SELECT row, place, kind, least, value[i] AS value, length(found[i]) AS size,
+        (list_sum(list_transform(list_slice(gaps, 1, i), lambda x: length(x)))
+          + list_sum(list_transform(list_slice(found, 1, i), lambda x: length(x))))::BIGINT AS end_at
+      FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM matched)),
+    spans AS (
+      SELECT row, place, kind, end_at - size AS start_at, end_at FROM places
+      WHERE length(value) >= least),
+    told AS (
+      SELECT row, {counts},
+        string_agg({told}) FILTER (WHERE place < {base}) AS base, string_agg({told}) AS spans
+      FROM spans GROUP BY row)
+    SELECT doc_id, {", ".join(f"coalesce(n_{rule.kind}, 0)::BIGINT AS n_{rule.kind}" for rule in BASE)},
+      sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM d LEFT JOIN told USING (row)"""
+
+
+@query("op13_secrets", _secrets_sql())
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = scratch_path(spark, "ledger")
+    run = scan_versions(table(spark, sf_dir, "documents"), ledger, RULES)
+    found = findings(spark, ledger, RULES, run)
+    of_kind = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda x: x["place"] < len(BASE))
+    return found.select(
+        F.col("path").alias("doc_id"),
+        *(of_kind(rule.kind).alias(f"n_{rule.kind}") for rule in BASE),
+        F.sha2(digest_spans(base), 256).alias("base_sha256"),
+        digest_spans(F.col("spans")).alias("spans"),
+    )

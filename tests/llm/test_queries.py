@@ -38,7 +38,7 @@ def ordered(rows):
 
 def test_all_are_registered():
     numbers = {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES}
-    assert numbers == set(range(1, 11)) and len(QUERIES) == 10
+    assert numbers == set(range(1, 14)) and len(QUERIES) == 13
     assert QUERIES.items() <= contract.queries().items()
     assert contract.queries()["pipeline"] is corpus_pipeline.run
 
