@@ -3,17 +3,19 @@
 The built-in exact percentile keeps every distinct value of a group in one
 task. Here two scans suffice whatever the distribution: the first takes
 approximate percentiles a little below and above each wanted rank, whose rank
-error is bounded; the second counts the rows below that bracket and keeps the
-values inside it, a known small share of the rows, which are then ranked.
+error is bounded; the second counts the rows below that bracket and, per value,
+those inside it. These counts are added up by ranges of values, so that however
+many values a bracket holds, no task ranks more than a range of them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from subscore.functions import quoted
+from subscore.operators.ranks import running_sums
 from subscore.operators.small import attach, settle, weighted
 
 ACCURACY = 10_000
@@ -29,8 +31,9 @@ def exact_quantiles(
     """(group,) column, probability, value — linear between the two closest ranks.
 
     NULL and NaN are left out. A rank is bracketed by percentiles with a rank error of
-    1 / ``accuracy`` of the rows, so at most about 6 / ``accuracy`` of a group's rows are
-    ranked in one task; of groups with fewer than 10 * ``accuracy`` rows, all are.
+    1 / ``accuracy`` of the rows, so at most about 6 / ``accuracy`` of a group's rows lie in a
+    bracket; of groups with fewer than 10 * ``accuracy`` rows, all do. Their values are ranked by
+    ranges, each in a task of its own.
     """
     names, wanted = list(columns), [float(p) for p in probabilities]
     keys = [] if by is None else ["group"]
@@ -39,7 +42,7 @@ def exact_quantiles(
         *[F.col(quoted(name)).cast("double").alias(f"x{i}") for i, name in enumerate(names)],
     )
     brackets = settle(_brackets(numbers, names, wanted, keys, accuracy))
-    counted = _count(numbers, names, brackets, keys)
+    counted = settle(_count(numbers, names, wanted, brackets, keys))
     return _rank(counted, brackets, [*keys, "column"])
 
 
@@ -80,59 +83,47 @@ def _brackets(
 
 
 def _count(
-    numbers: DataFrame, names: list[str], brackets: DataFrame, keys: list[str]
+    numbers: DataFrame, names: list[str], wanted: list[float], brackets: DataFrame, keys: list[str]
 ) -> DataFrame:
     """(group,) column, probability, x, n: values inside a bracket, NULL for all below it."""
-    per_column = F.array(
-        *[F.struct(F.lit(name).alias("column"), F.col(f"x{i}").alias("x")) for i, name in enumerate(names)]
-    )
+    per_rank = [(i, k) for i in range(len(names)) for k in range(len(wanted))]
     if keys:
-        packed = brackets.groupBy("group").agg(
-            F.collect_list(F.struct("column", "probability", "lo", "hi")).alias("brackets")
-        )
-        rows = attach(numbers, settle(packed), keys)
+        # One row per group: its limits by column and probability.
+        limits = [
+            F.max(F.when((F.col("column") == names[i]) & (F.col("probability") == wanted[k]), F.col(end))).alias(
+                f"{end}{i}_{k}"
+            )
+            for i, k in per_rank
+            for end in ("lo", "hi")
+        ]
+        rows = attach(numbers, settle(brackets.groupBy("group").agg(*limits)), keys)
+        limit = lambda end, i, k: F.col(f"{end}{i}_{k}")
     else:
         # As many as columns times probabilities.
-        few = brackets.select("column", "probability", "lo", "hi").collect()
-        whole = F.array(
-            *[
-                F.struct(
-                    F.lit(r["column"]).alias("column"),
-                    F.lit(r["probability"]).alias("probability"),
-                    F.lit(r["lo"]).cast("double").alias("lo"),
-                    F.lit(r["hi"]).cast("double").alias("hi"),
-                )
-                for r in few
-            ]
-        ).cast("array<struct<column:string,probability:double,lo:double,hi:double>>")
-        rows = numbers.withColumn("brackets", whole)
+        few = {(r["column"], r["probability"]): r for r in brackets.collect()}
+        rows = numbers
+        limit = lambda end, i, k: F.lit(
+            few[names[i], wanted[k]][end] if (names[i], wanted[k]) in few else None
+        ).cast("double")
     # One scan, whatever the number of columns and ranks: each row is counted where it belongs.
-    met = rows.select(*keys, "brackets", F.inline(per_column)).where("x IS NOT NULL AND NOT isnan(x)")
-    own = F.filter(
-        "brackets",
-        lambda b: (b["column"] == F.col("column")) & (b["hi"].isNull() | (F.col("x") <= b["hi"])),
-    )
-    placed = F.transform(
-        own,
-        lambda b: F.struct(
-            b["probability"].alias("probability"),
-            F.when(b["lo"].isNull() | (F.col("x") >= b["lo"]), F.col("x")).alias("value"),
-        ),
-    )
+    met = []
+    for i, k in per_rank:
+        x, lo, hi = F.col(f"x{i}"), limit("lo", i, k), limit("hi", i, k)
+        value = F.when(lo.isNull() | (x >= lo), x)
+        place = F.struct(F.lit(names[i]).alias("column"), F.lit(wanted[k]).alias("probability"), value.alias("x"))
+        met.append(F.when(x.isNotNull() & ~F.isnan(x) & (hi.isNull() | (x <= hi)), place))
     return (
-        met.select(*keys, "column", F.inline(placed))
-        .groupBy(*keys, "column", "probability", F.col("value").alias("x"))
+        rows.select(*keys, F.inline(F.array_compact(F.array(*met))))
+        .groupBy(*keys, "column", "probability", "x")
         .agg(F.count("*").alias("n"))
     )
 
 
 def _rank(counted: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
     """Linear between the values of the two wanted ranks."""
-    ordered = Window.partitionBy(*keys, "probability").orderBy(F.asc_nulls_first("x"))
-    placed = counted.withColumn("through", F.sum("n").over(ordered))
-    rank = F.col("rank")
-    ranked = attach(placed, brackets, [*keys, "probability"])
-    covers = lambda r: (r >= F.col("through") - F.col("n")) & (r < F.col("through"))
+    ranked = attach(running_sums(counted, [*keys, "probability"], "x", ["n"]), brackets, [*keys, "probability"])
+    rank, before = F.col("rank"), F.col("before_n")
+    covers = lambda r: (r >= before) & (r < before + F.col("n"))
     ends = ranked.groupBy(*keys, "probability", "fraction").agg(
         F.max(F.when(covers(rank), F.col("x"))).alias("lower"),
         F.max(F.when(covers(F.least(rank + 1, F.col("rows") - 1)), F.col("x"))).alias("upper"),

@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from subscore.functions import quoted, vector_item
-from subscore.operators.metrics import area_under_roc, class_metrics
+from subscore.operators.metrics import area_under_roc, class_metrics, roc_areas
 
 
 def evaluate_models(
@@ -18,7 +18,8 @@ def evaluate_models(
     """(model, metric, value): area under ROC, f1, accuracy, recall, precision of each model.
 
     The models score the table one after the other in a single scan. Only label,
-    prediction and score are kept of that, and all metrics are taken from there.
+    prediction and score are kept of that, and all metrics are taken from there: the areas
+    of all models in one pass, or with ``num_bins`` thresholds one after the other.
     """
     outcomes = [f"_outcome{i}" for i in range(len(models))]
     wide = df
@@ -34,7 +35,10 @@ def evaluate_models(
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = [tuple(row) for row in class_metrics(scored, "label", by=["model"]).collect()]
-        for name in models:
+        if not num_bins:
+            areas = roc_areas(scored, "label", "score", by=["model"]).collect()
+            rows += [(row["model"], "roc_auc", row["roc_auc"]) for row in areas]
+        for name in models if num_bins else ():
             part = scored.where(F.col("model") == name)
             rows.append((name, "roc_auc", area_under_roc(part, "label", "score", num_bins)))
     finally:

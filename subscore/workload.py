@@ -26,7 +26,7 @@ from subscore.operators import prep
 from subscore.operators.correlation import correlation_matrix, label_correlation
 from subscore.operators.encode import learn_options, one_hot, one_hot_learned, one_hot_text
 from subscore.operators.histogram import histogram
-from subscore.operators.metrics import area_under_roc, class_metrics
+from subscore.operators.metrics import class_metrics, roc_areas
 from subscore.operators.profile import (
     column_summary,
     distinct_values,
@@ -691,8 +691,7 @@ def auc(spark, sf_dir):
     scored = table(spark, sf_dir, "lineitem").select(
         (F.col("l_returnflag") == "R").cast("double").alias("label"), "l_quantity"
     )
-    value = area_under_roc(scored, "label", "l_quantity")
-    return spark.createDataFrame([(round(value, 6),)], "roc_auc double")
+    return roc_areas(scored, "label", "l_quantity").withColumn("roc_auc", F.round("roc_auc", 6))
 
 
 # Share of label 1 differs by segment: the label is 1 above these quantities.

@@ -144,6 +144,14 @@ def test_quantiles_equal_pandas(skewed, join_kind, limits):
         assert row["value"] == pytest.approx(expected.loc[(row["group"], row["probability"]), row["column"]])
 
 
+def test_quantiles_of_many_distinct_values_in_a_wide_bracket(spark):
+    """Brackets of six hundredths of a million distinct values, ranked by ranges."""
+    df = spark.range(1_000_000, numPartitions=4).select((F.col("id") * 7919 % 1_000_003).cast("double").alias("x"))
+    values = np.arange(1_000_000) * 7919 % 1_000_003
+    for row in exact_quantiles(df, ["x"], [0.25, 0.5, 0.999], accuracy=100).collect():
+        assert row["value"] == pytest.approx(np.quantile(values, row["probability"]), rel=1e-12)
+
+
 def test_quantiles_of_extreme_values(spark):
     values = [float("-inf"), -1.7e308, -1.0, -1.0, 5e-324, 1.0, 1.7e308, float("inf")]
     df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "x double")
