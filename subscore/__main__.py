@@ -28,7 +28,7 @@ from subscore.plans.prepare import clean, prepare, rejects
 from subscore.plans.score import score, score_events
 from subscore.plans.subscribers import COLUMNS, SUBSCRIBERS
 from subscore.plans.train import train
-from subscore.plans.tune import selections_frame
+from subscore.plans.tune import RUNGS, selections_frame
 from subscore.session import build_session
 from subscore.sources.messages import event_records, message_stream
 from subscore.sources.tables import load_model, read_csv, write_csv, write_scores
@@ -65,6 +65,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     command.add_argument("--metric", default="f1")
     command.add_argument("--smaller-is-better", action="store_true")
     command.add_argument("--seed", type=int, default=0)
+    command.add_argument("--halving", action="store_true", help="fit all settings on few rows, the best on all")
 
     for name in ("score", "events", "stream"):
         command = commands.add_parser(name)
@@ -125,6 +126,7 @@ def main(arguments: list[str] | None = None) -> None:
             greater_is_better=False if given.smaller_is_better else None,
             seed=given.seed,
             save_to=given.models,
+            rungs=RUNGS if given.halving else (1.0,),
         )
         selections_frame(spark, selections).show(truncate=False)
     elif given.command == "score":

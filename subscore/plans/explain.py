@@ -1,4 +1,4 @@
-"""Sampled Shapley attributions of model scores.
+"""Shapley attributions of model scores, by random walks; those of trees are in ``trees``.
 
 A feature's attribution is its average effect on the score when features are
 switched one by one, in a random order, from a background row's values to the
@@ -18,24 +18,16 @@ from __future__ import annotations
 import json
 import random
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from subscore.functions import quoted, sigmoid, vector_item
+from subscore.plans.trees import Background, is_boosted, is_forest, tree_attributions
 
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-@dataclass(frozen=True)
-class Background:
-    """Rows that scores are compared with, as numbers in the order of ``features``."""
-
-    features: list[str]
-    rows: list[list[float]]
-
-
 def sample_background(
     df: DataFrame, features: Sequence[str], key: Sequence[str], n: int, seed: int = 0
 ) -> Background:
@@ -69,6 +61,18 @@ def probability_scorer(model: PipelineModel) -> Scorer:
     return add_score
 
 
+def explained_scorer(model: PipelineModel, boosted: str = "margin") -> Scorer:
+    """What :func:`explain_models` explains: the probability of class 1, of boosted trees what it is told."""
+    if not (is_boosted(model) and boosted == "margin"):
+        return probability_scorer(model)
+
+    def add_score(df: DataFrame) -> DataFrame:
+        scored = model.transform(df).withColumn("score", vector_item(F.col("rawPrediction")))
+        return scored.select(*map(quoted, df.columns), "score")
+
+    return add_score
+
+
 def _literal(value: list, schema: str) -> Column:
     """A nested list as a constant, folded once when the plan is optimised."""
     return F.from_json(F.lit(json.dumps(value)), schema)
@@ -207,9 +211,8 @@ def explain_model(
     n_samples: int | None = None,
     **options,
 ) -> DataFrame:
-    """Attributions of the probability of class 1 for all rows, or the first ``n_samples`` by key."""
-    data = _first(data, key, n_samples)
-    return attributions(data, background, key, probability_scorer(model), **options)
+    """Attributions of one model, as by :func:`explain_models`, without the ``model`` column."""
+    return explain_models({"": model}, data, background, key, n_samples, **options).drop("model")
 
 
 def explain_models(
@@ -218,11 +221,31 @@ def explain_models(
     background: Background,
     key: Sequence[str],
     n_samples: int | None = None,
+    boosted: str = "probability",
     **options,
 ) -> DataFrame:
-    """:func:`explain_model` for several models on the same points, with a ``model`` column."""
-    scorers = {name: probability_scorer(model) for name, model in models.items()}
-    return attributions(_first(data, key, n_samples), background, key, scorers, **options)
+    """Attributions of each model's probability of class 1 for all rows, or the first ``n_samples`` by key.
+
+    Forests are explained exactly by the paths to their leaves, in one narrow pass. All other
+    models score the same points of random walks (``options`` of :func:`attributions`). Boosted
+    trees add up to a margin, not to a probability: with ``boosted="margin"`` that is explained
+    instead, exactly and by their leaves as well.
+    """
+    if boosted not in ("probability", "margin"):
+        raise ValueError(f"boosted trees have a probability and a margin, not {boosted!r}")
+    data = _first(data, key, n_samples)
+    exact = {
+        name: model
+        for name, model in models.items()
+        if is_forest(model) or (boosted == "margin" and is_boosted(model))
+    }
+    walked = {name: probability_scorer(model) for name, model in models.items() if name not in exact}
+    found = []
+    if exact:
+        found.append(tree_attributions(data, background, key, exact))
+    if walked:
+        found.append(attributions(data, background, key, walked, **options))
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
 def _first(data: DataFrame, key: Sequence[str], n: int | None) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
@@ -13,6 +14,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.sql import DataFrame
 
 FAMILIES = {
     "rf": RandomForestClassifier,
@@ -41,3 +43,21 @@ def build_pipeline(
         stages.append(StandardScaler(inputCol="features", outputCol="features_scaled"))
         estimator = estimator.setFeaturesCol("features_scaled")
     return Pipeline(stages=[*stages, estimator])
+
+
+def fit_models(
+    rows: DataFrame,
+    settings: Mapping[str, tuple[str, Mapping[str, Any]]],
+    features: Sequence[str],
+    label: str,
+) -> dict[str, PipelineModel]:
+    """Models by name, from (family, params) by name, fitted side by side.
+
+    A fit is a long row of short jobs; several of them keep the executors busy.
+    """
+    with ThreadPoolExecutor(max(1, len(settings))) as pool:
+        fits = {
+            name: pool.submit(build_pipeline(family, features, label, **params).fit, rows)
+            for name, (family, params) in settings.items()
+        }
+        return {name: fit.result() for name, fit in fits.items()}

@@ -7,6 +7,7 @@ form that preparation has to clean.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import replace
@@ -37,6 +38,7 @@ from subscore.operators.profile import (
     value_shares,
 )
 from subscore.operators.quantiles import box_outliers, box_stats, medians
+from subscore.operators.small import settle
 from subscore.operators.split import first_rows, random_split, split_by_key, union_by_name
 from subscore.plans.evaluate import evaluate_models
 from subscore.plans.explain import (
@@ -44,11 +46,12 @@ from subscore.plans.explain import (
     class_probability,
     explain_model,
     explain_models,
+    explained_scorer,
     importance,
     probability_scorer,
     sample_background,
 )
-from subscore.plans.models import build_pipeline
+from subscore.plans.models import build_pipeline, fit_models
 from subscore.plans.prepare import (
     TableSpec,
     clean,
@@ -58,9 +61,13 @@ from subscore.plans.prepare import (
     rejects,
 )
 from subscore.plans.score import score, score_events
+from subscore.plans.trees import tree_attributions
 from subscore.plans.tune import (
+    RUNGS,
     Choice,
     draw_params,
+    rung_sizes,
+    rungs_frame,
     search_families,
     selections_frame,
     trials_frame,
@@ -744,7 +751,7 @@ def fitted(spark, df: DataFrame, family: str, **params):
 FOREST = {"numTrees": 20, "maxDepth": 8, "seed": 1}
 BOOSTED = {"maxDepth": 3, "maxIter": 20, "stepSize": 0.1, "seed": 1}
 PLAIN_LOGIT = {"regParam": 0.0, "maxIter": 100, "tol": 1e-9}
-MARGINS = {"regParam": 0.01, "maxIter": 15}
+MARGINS = {"regParam": 0.01}
 
 SEGMENT_MEANS = f"""WITH {LABELLED} SELECT segment, count(*) AS n,
     CAST(avg(label) > 0.5 AS DOUBLE) AS prediction,
@@ -786,7 +793,7 @@ def fit_gbdt(spark, sf_dir):
 @query("fit_svm", SEGMENT_CLASSES)
 def fit_svm(spark, sf_dir):
     rows = labelled_lines(spark, sf_dir)
-    model = fitted(spark, rows, "svm", regParam=0.01)
+    model = fitted(spark, rows, "svm", **MARGINS)
     return by_segment(model.transform(rows), probability=False)
 
 
@@ -816,10 +823,7 @@ def compare_models(spark, sf_dir):
         "SVM": ("svm", MARGINS),
     }
     with kept(rows):
-        models = {
-            name: build_pipeline(family, SEGMENT_FEATURES, "label", **params).fit(rows)
-            for name, (family, params) in settings.items()
-        }
+        models = fit_models(rows, settings, SEGMENT_FEATURES, "label")
         found = evaluate_models(models, rows, "label")
     known = ~((F.col("model") == "SVM") & (F.col("metric") == "roc_auc"))
     return found.where(known).withColumn("value", F.round("value", 6))
@@ -856,40 +860,31 @@ def fit_lr_numeric(spark, sf_dir):
     return spark.createDataFrame(list(zip(OPTIMUM, rounded)), "feature string, gradient double")
 
 
-# Each space but that of the SVM, whose settings both learn, holds settings that learn the
-# segments and one that learns nothing: a tree without a split, or weights held at 0. What
-# each trial scores is known.
+# One setting that learns the segments and one whose weights are held at 0: what each trial
+# scores is known.
 GOOD_OR_BAD = {
-    "rf": {"maxDepth": Choice([8, 0]), "numTrees": Choice([20]), "seed": Choice([1])},
     "log_reg": {
         "regParam": Choice([0.0, 1000.0]),
         "elasticNetParam": Choice([1.0]),
         "tol": Choice([1e-9]),
     },
-    "gbdt": {"maxDepth": Choice([3, 0]), "maxIter": Choice([20]), "stepSize": Choice([0.1])},
-    "svm": {"regParam": Choice([0.01, 0.001]), "maxIter": Choice([15])},
 }
-TRIALS, SEARCH_SEED = 4, 3
+# Fixed value: the trials that the reference draws from each family's ranges.
+TRIALS, SEARCH_SEED = 40, 3
+FEW_TRIALS = 4
 LEARNS = [
     params["regParam"] == 0.0
-    for params in draw_params(GOOD_OR_BAD["log_reg"], TRIALS, SEARCH_SEED)
+    for params in draw_params(GOOD_OR_BAD["log_reg"], FEW_TRIALS, SEARCH_SEED)
 ]
 
 
 def searched(spark, sf_dir, families: list[str], **options):
+    """Forty settings of each family from its whole ranges, by halving, unless told otherwise."""
     rows = labelled_lines(spark, sf_dir, tuple(ROW_KEY))
     train, test = split_by_key(rows, ROW_KEY, 0.8)
+    options = {"trials": TRIALS, "rungs": RUNGS, "parallelism": 8} | options
     return search_families(
-        train,
-        test,
-        SEGMENT_FEATURES,
-        "label",
-        families,
-        spaces=GOOD_OR_BAD,
-        trials=TRIALS,
-        seed=SEARCH_SEED,
-        keys=ROW_KEY,
-        **options,
+        train, test, SEGMENT_FEATURES, "label", families, seed=SEARCH_SEED, keys=ROW_KEY, **options
     )
 
 
@@ -938,10 +933,44 @@ def search_all(spark, sf_dir):
         FROM t, good, bad"""
 )
 def search_trials(spark, sf_dir):
-    found = trials_frame(spark, searched(spark, sf_dir, ["log_reg"]))
+    few = {"spaces": GOOD_OR_BAD, "trials": FEW_TRIALS, "rungs": (1.0,)}
+    found = trials_frame(spark, searched(spark, sf_dir, ["log_reg"], **few))
     return found.select("family", "trial", F.round("validation", 6).alias("validation"), "chosen")
 
 
+def drawn_sql(name: str) -> str:
+    fraction = f"CAST(('0x' || substr(md5('{SEARCH_SEED}|' || trial || '|{name}'), 1, 8)) AS BIGINT) / 4294967296.0"
+    return f"SELECT 'log_reg' AS family, trial, '{name}' AS name, round(0.3 - 0.3 * ({fraction}), 9) AS value FROM t"
+
+
+@query(
+    "search_draws",
+    f"WITH t AS (SELECT unnest(range({TRIALS}))::INT AS trial) "
+    + " UNION ALL ".join(map(drawn_sql, ["regParam", "elasticNetParam"])),
+)
+def search_draws(spark, sf_dir):
+    """The settings that the trials of a search were fitted with."""
+    found = trials_frame(spark, searched(spark, sf_dir, ["log_reg"]))
+    setting = found.select("family", "trial", F.explode("params").alias("name", "value"))
+    return setting.withColumn("value", F.round(F.col("value").cast("double"), 9))
+
+
+@query(
+    "search_rungs",
+    f"WITH {LABELLED}, placed AS (SELECT {fraction_sql(SEARCH_SEED, *ROW_KEY)} AS f FROM labelled "
+    f"WHERE {fraction_sql(0, *ROW_KEY)} < 0.8) "
+    + " UNION ALL ".join(
+        f"SELECT 'log_reg' AS family, {rung} AS rung, {trials}::BIGINT AS trials, "
+        f"count(*) FILTER (WHERE f < {0.8 * share!r}) AS fitted_rows, "
+        f"count(*) FILTER (WHERE f >= 0.8 AND f < {0.8 + (1 - 0.8) * share!r}) AS measured_rows FROM placed"
+        for rung, (share, trials) in enumerate(zip(RUNGS, rung_sizes(TRIALS, RUNGS)), 1)
+    ),
+)
+def search_rungs(spark, sf_dir):
+    """How many trials and rows each rung of a search had."""
+    return rungs_frame(spark, searched(spark, sf_dir, ["log_reg"])).drop("share")
+
+
 @query(
     "search_smallest",
     f"""WITH {LABELLED},
@@ -986,10 +1015,20 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dirty_lines(table(spark, sf_dir, "lineitem"))
 
 
+#: Where each table's scoring model was saved, for the queries that share it.
+_SAVED: dict[tuple[str, str], str] = {}
+
+
 def segment_model(spark: SparkSession, sf_dir: str):
-    """Logistic regression on the segments of the usable raw lines, saved and loaded again."""
-    rows = prepare(raw_lines(spark, sf_dir).drop("order"), LINES)
-    return fitted(spark, spread(rows), "log_reg", **PLAIN_LOGIT)
+    """Logistic regression on the segments of the usable raw lines, fitted once, loaded each time."""
+    place = spark.sparkContext.applicationId, sf_dir
+    if place not in _SAVED:
+        with kept(spread(prepare(raw_lines(spark, sf_dir).drop("order"), LINES))) as rows:
+            model = build_pipeline("log_reg", SEGMENT_FEATURES, "label", **PLAIN_LOGIT).fit(rows)
+        path = scratch_path(spark, "scoring-model")
+        save_model(model, path)
+        _SAVED[place] = path
+    return load_model(_SAVED[place])
 
 
 def scores_sql(cut: bool) -> str:
@@ -1236,17 +1275,15 @@ def attribution_model(spark, sf_dir):
     return found.withColumn("attribution", F.round("attribution", 5) + 0.0)
 
 
-def sum_errors(rows: DataFrame, models: dict, background, found: DataFrame) -> DataFrame:
+def sum_errors(rows: DataFrame, scorers: dict, background, found: DataFrame) -> DataFrame:
     """(key, model, difference): each row's attributions less (score - the background's mean)."""
     fields = ", ".join(f"`{name}` double" for name in background.features)
     base = rows.sparkSession.createDataFrame([tuple(row) for row in background.rows], fields)
     expected = []
-    for name, model in models.items():
-        add_score = probability_scorer(model)
+    for name, add_score in scorers.items():
         mean = add_score(base).agg(F.avg("score")).first()[0]
         expected.append(F.struct(F.lit(name).alias("model"), (F.col(f"_{name}") - mean).alias("expected")))
-        wanted = add_score(rows).withColumnRenamed("score", f"_{name}")
-        rows = wanted
+        rows = add_score(rows).withColumnRenamed("score", f"_{name}")
     wide = rows.select(ORDERS.key, F.inline(F.array(*expected)))
     totals = found.groupBy(ORDERS.key, "model").agg(F.sum("attribution").alias("total"))
     difference = F.round(F.col("total") - F.col("expected"), 6) + 0.0
@@ -1271,25 +1308,82 @@ def attribution_sum(spark, sf_dir):
         model = build_pipeline("log_reg", features, ORDERS.label, regParam=0.01).fit(rows)
     background = sample_background(rows, features, [ORDERS.key], 4, seed=4)
     found = explain_model(model, rows, background, [ORDERS.key]).withColumn("model", F.lit("LR"))
-    return sum_errors(rows, {"LR": model}, background, found)
+    return sum_errors(rows, {"LR": probability_scorer(model)}, background, found)
 
 
 @query("attribution_of_models", sum_sql("RF", "SVM", "GBDT", "LR"))
 def attribution_of_models(spark, sf_dir):
-    """All models score the same points; the sums must be right for each of them."""
+    """Trees by their leaves, the others by walks, all against the same 20 rows; the sums must be right."""
     rows = usable_orders(spark, sf_dir)
     features = model_features(rows, ORDERS)
     settings = {
-        "RF": ("rf", {"numTrees": 10, "maxDepth": 4, "seed": 1}),
-        "SVM": ("svm", {"regParam": 0.01, "maxIter": 10}),
-        "GBDT": ("gbdt", {"maxIter": 5, "maxDepth": 3, "seed": 1}),
+        "RF": ("rf", FOREST),
+        "SVM": ("svm", MARGINS),
+        "GBDT": ("gbdt", BOOSTED),
         "LR": ("log_reg", {"regParam": 0.01}),
     }
     with kept(rows):
-        models = {
-            name: build_pipeline(family, features, ORDERS.label, **params).fit(rows)
-            for name, (family, params) in settings.items()
-        }
-    background = sample_background(rows, features, [ORDERS.key], 2, seed=5)
-    found = explain_models(models, rows, background, [ORDERS.key])
-    return sum_errors(rows, models, background, found)
+        models = fit_models(rows, settings, features, ORDERS.label)
+    background = sample_background(rows, features, [ORDERS.key], 20, seed=5)
+    found = explain_models(models, rows, background, [ORDERS.key], boosted="margin")
+    return sum_errors(rows, {name: explained_scorer(model) for name, model in models.items()}, background, found)
+
+
+def by_subsets(rows: DataFrame, key: str, background, scorer) -> DataFrame:
+    """(key, feature, exact): Shapley values by scoring every subset of the features, for a few rows."""
+    n = len(background.features)
+    own = F.array(*[F.col(f"`{name}`").cast("double") for name in background.features])
+    bases = F.array(*[F.array(*map(F.lit, row)) for row in background.rows])
+    mixed = rows.select(key, own.alias("_own"), F.explode(bases).alias("_base")).withColumn(
+        "_in", F.explode(F.sequence(F.lit(0), F.lit(2**n - 1)))
+    )
+    inside = lambda i: F.col("_in").bitwiseAND(1 << i) > 0
+    mixed = mixed.select(
+        key,
+        "_in",
+        *[
+            F.when(inside(i), F.get("_own", F.lit(i))).otherwise(F.get("_base", F.lit(i))).alias(name)
+            for i, name in enumerate(background.features)
+        ],
+    )
+    size = F.bit_count("_in")
+    share = lambda k: F.factorial(k) * F.factorial(n - 1 - k) / math.factorial(n)
+    parts = [
+        F.struct(
+            F.lit(name).alias("feature"),
+            F.when(inside(i), share(size - 1)).otherwise(-share(size)).alias("share"),
+        )
+        for i, name in enumerate(background.features)
+    ]
+    scored = scorer(mixed).select(key, "score", F.inline(F.array(*parts)))
+    total = F.sum(F.col("score") * F.col("share")) / len(background.rows)
+    return scored.groupBy(key, "feature").agg(total.alias("exact"))
+
+
+@query(
+    "attribution_trees",
+    f"""WITH {LABELLED} SELECT model, segment, feature, count(*) AS n, 0.0::DOUBLE AS difference
+        FROM labelled, (VALUES ('RF'), ('GBDT')) AS m(model),
+          (VALUES {", ".join(f"('{name}')" for name in SEGMENT_FEATURES)}) AS f(feature)
+        GROUP BY ALL"""
+)
+def attribution_trees(spark, sf_dir):
+    """Attributions by leaves of every line, against those by all subsets of the features."""
+    rows = labelled_lines(spark, sf_dir, tuple(ROW_KEY))
+    with kept(rows):
+        models = fit_models(rows, {"RF": ("rf", FOREST), "GBDT": ("gbdt", BOOSTED)}, SEGMENT_FEATURES, "label")
+        background = sample_background(rows, SEGMENT_FEATURES, ROW_KEY, 20, seed=6)
+        patterns = settle(rows.select("segment", *SEGMENT_FEATURES).distinct())
+    exact = [
+        by_subsets(patterns, "segment", background, explained_scorer(model)).withColumn("model", F.lit(name))
+        for name, model in models.items()
+    ]
+    exact = settle(exact[0].unionByName(exact[1]))
+    found = tree_attributions(rows, background, ["segment"], models)
+    limits = found.groupBy("model", "segment", "feature").agg(
+        F.count("*").alias("n"), F.min("attribution").alias("least"), F.max("attribution").alias("most")
+    )
+    off = F.greatest(F.abs(F.col("least") - F.col("exact")), F.abs(F.col("most") - F.col("exact")))
+    return limits.join(exact, ["model", "segment", "feature"]).select(
+        "model", "segment", "feature", "n", (F.round(off, 9) + 0.0).alias("difference")
+    )

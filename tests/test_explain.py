@@ -3,7 +3,9 @@ from __future__ import annotations
 import hashlib
 import itertools
 import math
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,13 +15,15 @@ from subscore.plans.explain import (
     class_probability,
     explain_model,
     explain_models,
+    explained_scorer,
     importance,
     probability_scorer,
     sample_background,
 )
-from subscore.plans.models import build_pipeline
+from subscore.plans.models import build_pipeline, fit_models
 from subscore.plans.prepare import prepare
 from subscore.plans.subscribers import SUBSCRIBERS
+from subscore.plans.trees import tree_attributions, tree_leaves
 
 FEATURES = ["a", "b", "c.d"]
 
@@ -162,3 +166,96 @@ def test_explaining_every_row(prepared, models):
     background = sample_background(prepared, SUBSCRIBERS.features, ["customerID"], 2)
     found = explain_model(models["svm"], some, background, ["customerID"])
     assert found.count() == 20 * 46
+
+
+def by_all_subsets(score, row, base):
+    """Shapley values of each feature, from the score of every mix of two rows."""
+    n = len(row)
+    value = {
+        inside: score([row[i] if i in inside else base[i] for i in range(n)])
+        for size in range(n + 1)
+        for inside in itertools.combinations(range(n), size)
+    }
+    found = []
+    for i in range(n):
+        total = 0.0
+        for inside, worth in value.items():
+            if i not in inside:
+                share = math.factorial(len(inside)) * math.factorial(n - 1 - len(inside)) / math.factorial(n)
+                total += share * (value[tuple(sorted((*inside, i)))] - worth)
+        found.append(total)
+    return found
+
+
+@pytest.fixture(scope="module")
+def tree_models(spark):
+    rng = random.Random(2)
+    rows = []
+    for key in range(400):
+        a, b, c, d = rng.random(), rng.randint(0, 3), rng.gauss(0, 1), float(rng.random() < 0.5)
+        rows.append((key, a, b, c, d, int(a * b + c * d + rng.gauss(0, 0.3) > 1)))
+    df = spark.createDataFrame(rows, "k int, a double, `b.b` int, c double, d double, y int").repartition(3).cache()
+    names = ["a", "b.b", "c", "d"]
+    settings = {"rf": ("rf", {"numTrees": 7, "maxDepth": 6, "seed": 1}), "gbdt": ("gbdt", {"maxIter": 6, "maxDepth": 4, "seed": 1})}
+    plain = df.withColumnRenamed("b.b", "b_b")
+    models = fit_models(plain, settings, ["a", "b_b", "c", "d"], "y")
+    return plain, ["a", "b_b", "c", "d"], models, names
+
+
+def test_trees_equal_all_subsets(spark, tree_models):
+    df, features, models, _ = tree_models
+    background = sample_background(df, features, ["k"], 9, seed=1)
+    some = df.where("k < 25")
+    found = tree_attributions(some, background, ["k"], models)
+    assert found.columns == ["model", "k", "feature", "value", "attribution"]
+    got = {(r.model, r.k, r.feature): r.attribution for r in found.collect()}
+    assert len(got) == 2 * 25 * 4
+    rows = {r.k: [float(r[name]) for name in features] for r in some.collect()}
+    for name, model in models.items():
+        leaves = tree_leaves(spark, model)
+        score = lambda row: float(leaves.score(np.array([row], float))[0])  # noqa: B023, E731
+        scored = explained_scorer(model)(some).collect()
+        assert all(score(rows[r.k]) == pytest.approx(r.score, abs=1e-12) for r in scored)
+        for key, row in rows.items():
+            exact = np.mean([by_all_subsets(score, row, base) for base in background.rows], axis=0)
+            assert [got[name, key, f] for f in features] == pytest.approx(exact.tolist(), abs=1e-10)
+
+
+def test_trees_need_no_shuffle_and_keep_repeated_keys(spark, tree_models):
+    df, features, models, _ = tree_models
+    background = sample_background(df, features, ["k"], 3, seed=1)
+    twice = df.where("k < 5").withColumn("k", F.lit(1))
+    found = tree_attributions(twice, background, ["k"], models["rf"])
+    assert found.columns == ["k", "feature", "value", "attribution"] and found.count() == 5 * 4
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString().split("Exchange RoundRobin")[0]
+    with pytest.raises(ValueError, match="background"):
+        tree_attributions(df, Background(features, []), ["k"], models)
+    missing = df.where("k < 3").withColumn("a", F.lit(None).cast("double"))
+    high = df.where("k < 3").withColumn("a", F.lit(math.inf))
+    one, other = (sorted(map(tuple, tree_attributions(x, background, ["k"], models["rf"]).drop("value").collect())) for x in (missing, high))
+    assert one == other
+    assert tree_attributions(df.limit(0), background, ["k"], models).collect() == []
+
+
+def test_a_tree_without_a_split_explains_nothing(spark):
+    df = spark.createDataFrame([(1, 0.0, 1), (2, 1.0, 1), (3, 2.0, 0)], "k int, x double, y int")
+    model = build_pipeline("rf", ["x"], "y", maxDepth=0, numTrees=2, seed=1).fit(df)
+    found = tree_attributions(df, Background(["x"], [[0.5]]), ["k"], model).collect()
+    assert [r.attribution for r in found] == [0.0] * 3
+
+
+def test_forests_are_explained_by_their_leaves(tree_models):
+    df, features, models, _ = tree_models
+    background = sample_background(df, features, ["k"], 4, seed=1)
+    some = df.where("k < 6")
+    for boosted in ("probability", "margin"):
+        found = explain_models(models, some, background, ["k"], boosted=boosted)
+        base = df.sparkSession.createDataFrame([tuple(r) for r in background.rows], ", ".join(f"{f} double" for f in features))
+        for name, model in models.items():
+            add_score = explained_scorer(model, boosted)
+            mean = add_score(base).agg(F.avg("score")).first()[0]
+            scores = {r.k: r.score - mean for r in add_score(some).collect()}
+            sums = dict(map(tuple, found.where(F.col("model") == name).groupBy("k").agg(F.sum("attribution")).collect()))
+            assert sums == pytest.approx(scores, abs=1e-9)
+    with pytest.raises(ValueError, match="margin"):
+        explain_models(models, some, background, ["k"], boosted="class")

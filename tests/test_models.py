@@ -17,6 +17,8 @@ from subscore.plans.tune import (
     Choice,
     Uniform,
     draw_params,
+    rung_sizes,
+    rungs_frame,
     search,
     selections_frame,
     trials_frame,
@@ -118,6 +120,35 @@ def test_search_keeps_the_best_and_refits(parts, tmp_path):
     assert first.chosen == values.index(max(values))
 
 
+def test_halving_finds_the_winner_of_all(parts):
+    """Settings far apart: the best of all on all rows is the one that the rungs leave."""
+    space = {"regParam": Uniform(0.0, 3.0), "elasticNetParam": Uniform(0.0, 1.0), "maxIter": Choice([20])}
+    common = {"space": space, "trials": 12, "seed": 5, "keys": ["customerID"], "parallelism": 8}
+    every = search(*parts, "log_reg", SUBSCRIBERS.features, "Churn", **common)
+    halved = search(*parts, "log_reg", SUBSCRIBERS.features, "Churn", rungs=(1 / 4, 1 / 2, 1.0), **common)
+    assert every.reached == [1] * 12 and sorted(halved.reached) == [1] * 8 + [2] * 2 + [3] * 2
+    assert (halved.chosen, halved.params, halved.test) == (every.chosen, every.params, every.test)
+    assert halved.validation == pytest.approx(every.validation)
+    assert [n for _, n, _ in halved.rungs] == sorted({n for _, n, _ in halved.rungs})
+    assert halved.rungs[-1] == every.rungs[0]
+    last = {n for n, reached in enumerate(halved.reached) if reached == 3}
+    assert halved.validation == max(halved.trials[n][1] for n in last)
+    rungs = rungs_frame(parts[0].sparkSession, [halved]).orderBy("rung").collect()
+    assert [row["trials"] for row in rungs] == rung_sizes(12, (1 / 4, 1 / 2, 1.0)) == [12, 4, 2]
+
+
+def test_halving_takes_the_smallest_where_told(parts):
+    space = {"regParam": Choice([0.001, 1000.0])}
+    found = search(
+        *parts, "log_reg", SUBSCRIBERS.features, "Churn", space, trials=4, seed=3, metric="hammingLoss",
+        greater_is_better=False, rungs=(1 / 2, 1.0),
+    )
+    assert found.params == {"regParam": 0.001} and 0 < found.reached.count(2) < 4
+    for rungs in ((), (0.5,), (1.0, 0.5), (0.0, 1.0)):
+        with pytest.raises(ValueError, match="rungs"):
+            search(*parts, "log_reg", SUBSCRIBERS.features, "Churn", space, trials=1, rungs=rungs)
+
+
 def test_search_does_not_depend_on_partitioning(parts):
     space = {"regParam": Choice([0.001, 0.3])}
     few, many = (
