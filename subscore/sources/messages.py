@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from subscore.functions import decode_base64, parse_json_rows, quoted
+from subscore.sources.message_log import register_message_log
 from subscore.sources.tables import text_schema
 
 
@@ -17,10 +18,12 @@ def message_stream(
     schema: str | None = None,
     path: str | None = None,
 ) -> DataFrame:
-    """Stream of messages from any connector on the class path.
+    """Stream of messages from any connector on the class path, or from a ``message_log``.
 
     Start position, endpoint and credentials are the connector's own options.
     """
+    if source == "message_log":
+        register_message_log(spark)
     reader = spark.readStream.format(source).options(**options)
     if schema is not None:
         reader = reader.schema(schema)

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from subscore.plans.prepare import TableSpec
 from subscore.plans.score import Scorer, score
 from subscore.sources.messages import parse_messages
+from subscore.sources.model_store import load_version, newest_version
 from subscore.sources.tables import write_scores
 
 
@@ -67,3 +68,40 @@ def start_batch_scoring(
             write_scores(scores, f"{path}/batch_id={batch_id}", mode="overwrite")
 
     return _start(messages.writeStream.foreachBatch(write), checkpoint, once, every)
+
+
+def start_versioned_scoring(
+    messages: DataFrame,
+    columns: Iterable[str],
+    store: str,
+    spec: TableSpec,
+    path: str,
+    checkpoint: str,
+    once: bool = False,
+    every: str | None = None,
+    payload: str = "data",
+) -> StreamingQuery:
+    """Like :func:`start_batch_scoring`, with the newest model of a store and its number.
+
+    At the beginning of each micro-batch the store is asked for its newest committed version,
+    which then scores the whole batch: (key, prediction, model_version). A batch that is
+    replayed after a failure may find a newer version than before; its folder is overwritten as
+    a whole, so no batch is ever scored by two. A store without a committed version fails.
+    """
+    columns = list(columns)
+    held: dict[int, PipelineModel] = {}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        spark = batch.sparkSession
+        version = newest_version(spark, store)
+        if version not in held:
+            model = load_version(spark, store, version)
+            held.clear()
+            held[version] = model
+        scores = score(parse_messages(batch, columns, payload), held[version], spec)
+        scores = scores.withColumn("model_version", F.lit(version).cast("long"))
+        write_scores(scores, f"{path}/batch_id={batch_id}", mode="overwrite")
+
+    return _start(messages.writeStream.foreachBatch(write), checkpoint, once, every)

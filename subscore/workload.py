@@ -73,7 +73,9 @@ from subscore.plans.tune import (
     trials_frame,
 )
 from subscore.session import remove_scratch, scratch_path
+from subscore.sources.message_log import append_messages
 from subscore.sources.messages import decode_messages, message_stream, parse_messages
+from subscore.sources.model_store import publish_model
 from subscore.sources.tables import (
     load_model,
     read_csv,
@@ -82,7 +84,7 @@ from subscore.sources.tables import (
     write_csv,
     write_scores,
 )
-from subscore.streaming import start_batch_scoring, start_scoring
+from subscore.streaming import start_batch_scoring, start_scoring, start_versioned_scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1109,6 +1111,72 @@ def stream_score_batches(spark, sf_dir):
     return streamed(spark, sf_dir, start_batch_scoring, once=False)
 
 
+def line_log(spark, sf_dir, log: str, wanted: str = "true") -> int:
+    """Add the raw lines that are ``wanted`` to a message log, in the order of their key; its end."""
+    lines = raw_lines(spark, sf_dir).where(wanted)
+    messages = lines.select("line", F.to_json(F.struct(*LINE_COLUMNS)).alias("value"))
+    return append_messages(messages, log, ["line"])
+
+
+START = 1000
+
+
+def numbered_sql(condition: str, version: str = "") -> str:
+    key = " || '-' || ".join(f"CAST({name} AS VARCHAR)" for name in ROW_KEY)
+    return f"""WITH {LABELLED}, n AS (SELECT *, {key} AS line, row_number() OVER (ORDER BY {key}) - 1 AS number FROM labelled),
+        good AS (SELECT * FROM n WHERE l_orderkey % 97 <> 0 AND l_orderkey % 89 <> 0),
+        best AS (SELECT segment, CAST(avg(label) > 0.5 AS DOUBLE) AS prediction FROM good GROUP BY 1)
+      SELECT line, prediction{version} FROM good JOIN best USING (segment) WHERE {condition}"""
+
+
+@query("stream_from_offset", numbered_sql(f"number >= {START}"))
+def stream_from_offset(spark, sf_dir):
+    """A log of all raw lines, scored from a given message on."""
+    log, path, checkpoint = (scratch_path(spark, name) for name in ("log", "stream-scores", "stream-state"))
+    line_log(spark, sf_dir, log)
+    messages = message_stream(spark, "message_log", {"startingOffset": str(START)}, path=log)
+    model = segment_model(spark, sf_dir)
+    start_scoring(
+        messages, LINE_COLUMNS, model, LINES, path, checkpoint, once=True, payload="value"
+    ).awaitTermination()
+    remove_scratch(spark, log)
+    remove_scratch(spark, checkpoint)
+    return written_scores(spark, path)
+
+
+@query(
+    "stream_versions",
+    f"""SELECT line, CASE WHEN model_version = 1 THEN prediction ELSE usual END AS prediction, model_version
+        FROM ({numbered_sql("true", ", CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE 2 END::BIGINT AS model_version")}),
+          (WITH {LABELLED} SELECT CAST(avg(label) > 0.5 AS DOUBLE) AS usual FROM labelled
+           WHERE l_orderkey % 97 <> 0 AND l_orderkey % 89 <> 0)"""
+)
+def stream_versions(spark, sf_dir):
+    """A running stream takes up the next model when it is complete: lines of odd orders come after."""
+    log, store, path, checkpoint = (
+        scratch_path(spark, name) for name in ("log", "store", "stream-scores", "stream-state")
+    )
+    publish_model(spark, segment_model(spark, sf_dir), store)
+    line_log(spark, sf_dir, log, "order % 2 = 0")
+    running = start_versioned_scoring(
+        message_stream(spark, "message_log", {}, path=log), LINE_COLUMNS, store, LINES, path, checkpoint, payload="value"
+    )
+    running.processAllAvailable()
+    # A model that knows no segment, and one that is never finished.
+    with kept(prepare(raw_lines(spark, sf_dir).drop("order"), LINES)) as rows:
+        constant = {"regParam": 1000.0, "elasticNetParam": 1.0}
+        publish_model(spark, build_pipeline("log_reg", SEGMENT_FEATURES, "label", **constant).fit(rows), store)
+    segment_model(spark, sf_dir).write().save(f"{store}/version=000003/model")
+    line_log(spark, sf_dir, log, "order % 2 = 1")
+    running.processAllAvailable()
+    running.stop()
+    for name in (log, store, checkpoint):
+        remove_scratch(spark, name)
+    return spark.read.schema("line string, prediction double, model_version long").json(path).select(
+        "line", "prediction", "model_version"
+    )
+
+
 # --- probabilities and attribution ------------------------------------------
 
 
