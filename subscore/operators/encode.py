@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from subscore.functions import quoted
 from subscore.operators.prep import text_columns
 from subscore.operators.profile import distinct_values
+from subscore.operators.ranks import running_sums
+from subscore.operators.small import attach, settle
+from subscore.session import scratch_path
 
 
 def one_hot(df: DataFrame, options: Mapping[str, Iterable[Any]]) -> DataFrame:
@@ -73,3 +77,54 @@ def one_hot_learned(df: DataFrame, columns: Iterable[str], max_options: int | No
 def one_hot_text(df: DataFrame, max_options: int | None) -> DataFrame:
     """One-hot every text column; columns of other types pass through."""
     return one_hot_learned(df, text_columns(df), max_options)
+
+
+def number_options(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """(column, option, index): the options of every column as text, NULL left out, numbered from 0.
+
+    Numbers follow text order within a column. They are counted over ranges of options, so a
+    column may have any number of them: nothing is collected, and no task holds a column.
+    """
+    found = distinct_values(df, list(columns)).select("column", F.col("value").alias("option"), F.lit(1).alias("n"))
+    numbered = running_sums(found.where("option IS NOT NULL"), ["column"], "option", ["n"])
+    return settle(numbered.select("column", "option", F.col("before_n").alias("index")))
+
+
+def encode_sparse(
+    df: DataFrame, columns: Iterable[str], options: DataFrame | None = None, output: str = "features"
+) -> DataFrame:
+    """``df`` with the columns replaced by one sparse vector, a place per option of each column.
+
+    ``options`` are those of :func:`number_options`, by default of ``df`` itself; those of a
+    training table encode any other one alike. The places of the columns follow each other in
+    the order given. A value outside the options, and NULL, gives zeros in its column's places;
+    a column without options has no place. Rows meet the options of a column in a join whose
+    size Spark knows: few are broadcast, many are shuffled, and a value that many rows share is
+    divided. The driver takes one number per column.
+    """
+    names = list(columns)
+    if output in [name for name in df.columns if name not in names]:
+        raise ValueError(f"there is a column {output} already")
+    options = number_options(df, names) if options is None else options
+    sizes = {row["column"]: row["n"] for row in options.groupBy("column").agg((F.max("index") + 1).alias("n")).collect()}
+    total, places, found = 0, [], df
+    for at, name in enumerate(names):
+        own = options.where(F.col("column") == name)
+        side = own.select(F.col("option").alias(f"_option{at}"), F.col("index").alias(f"_index{at}"))
+        found = attach(found.withColumn(f"_option{at}", F.col(quoted(name)).cast("string")), side, [f"_option{at}"], "left")
+        places.append((F.col(f"_index{at}") + total).cast("int"))
+        total += sizes.get(name, 0)
+    indices = F.array_compact(F.array(*places)) if places else F.array().cast("array<int>")
+    vector = F.struct(
+        F.lit(0).cast("byte").alias("type"),
+        F.lit(total).cast("int").alias("size"),
+        indices.alias("indices"),
+        F.transform(indices, lambda _: F.lit(1.0)).alias("values"),
+    )
+    kept = [name for name in df.columns if name not in names]
+    packed = found.select(*map(quoted, kept), vector.alias(output))
+    # A vector is stored as just this struct; reading it back makes it one without Python code.
+    path = scratch_path(df.sparkSession, "vectors")
+    packed.write.parquet(path)
+    schema = T.StructType([*packed.schema.fields[:-1], T.StructField(output, VectorUDT())])
+    return df.sparkSession.read.schema(schema).parquet(path)

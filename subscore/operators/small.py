@@ -24,7 +24,7 @@ def weighted(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
     return rows.where(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
-def attach(values: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
+def attach(values: DataFrame, side: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Rows joined with the settled table's rows of the same group, NULL groups included.
 
     Where the table is too large to broadcast, AQE divides the rows of a hot group: both
@@ -32,4 +32,4 @@ def attach(values: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
     """
     renamed = side.withColumnsRenamed({key: f"side_{key}" for key in keys})
     same_group = [F.col(key).eqNullSafe(F.col(f"side_{key}")) for key in keys]
-    return values.join(renamed, same_group).drop(*[f"side_{key}" for key in keys])
+    return values.join(renamed, same_group, how).drop(*[f"side_{key}" for key in keys])

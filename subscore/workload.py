@@ -24,8 +24,8 @@ from subscore.functions import (
     vector_item,
 )
 from subscore.operators import prep
-from subscore.operators.correlation import correlation_matrix, label_correlation
-from subscore.operators.encode import learn_options, one_hot, one_hot_learned, one_hot_text
+from subscore.operators.correlation import correlation_matrix, label_correlation, wide_correlation
+from subscore.operators.encode import encode_sparse, learn_options, one_hot, one_hot_learned, one_hot_text
 from subscore.operators.histogram import histogram
 from subscore.operators.metrics import class_metrics, roc_areas
 from subscore.operators.profile import (
@@ -271,6 +271,26 @@ def run_one_hot_text(spark, sf_dir):
     )
 
 
+@query(
+    "one_hot_sparse",
+    """WITH options AS (
+          SELECT 'o_custkey' AS name, CAST(o_custkey AS VARCHAR) AS option FROM orders WHERE o_custkey IS NOT NULL
+          UNION SELECT 'o_orderpriority', o_orderpriority FROM orders WHERE o_orderpriority IS NOT NULL),
+        numbered AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY option) - 1 AS index FROM options),
+        size AS (SELECT count(*) AS size, count(*) FILTER (WHERE name = 'o_custkey') AS first FROM options)
+        SELECT o_orderkey, size::INT AS size, index::INT AS place FROM orders, size
+          JOIN numbered ON name = 'o_custkey' WHERE option = CAST(o_custkey AS VARCHAR)
+        UNION ALL SELECT o_orderkey, size::INT, (first + index)::INT FROM orders, size
+          JOIN numbered ON name = 'o_orderpriority' WHERE option = o_orderpriority"""
+)
+def one_hot_sparse(spark, sf_dir):
+    """A place for every customer and priority, without a column for each."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    vectors = encode_sparse(orders, ["o_custkey", "o_orderpriority"])
+    parts = vectors.select("o_orderkey", F.unwrap_udt("features").alias("v"))
+    return parts.select("o_orderkey", "v.size", F.explode("v.indices").alias("place"))
+
+
 @query(
     "prepare_full",
     f"""WITH {TYPED} SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus,
@@ -477,6 +497,9 @@ def run_label_correlation(spark, sf_dir):
     return found.withColumn("correlation", F.round("correlation", 6))
 
 
+WIDE = [*NUMBERS, "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+
+
 @query(
     "correlation_matrix",
     "WITH c AS (SELECT "
@@ -493,6 +516,23 @@ def run_correlation_matrix(spark, sf_dir):
     return found.withColumn("correlation", F.round("correlation", 6))
 
 
+@query(
+    "correlation_wide",
+    "WITH c AS (SELECT "
+    + ", ".join(f"corr({a}, {b}) AS {a}__{b}" for a in WIDE for b in WIDE)
+    + " FROM lineitem) "
+    + " UNION ALL ".join(
+        f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", round({a}__{b}, 6) AS correlation FROM c"
+        for a in WIDE
+        for b in WIDE
+    )
+)
+def run_correlation_wide(spark, sf_dir):
+    """By blocks of three columns, as tables of thousands of columns are done in larger ones."""
+    found = wide_correlation(table(spark, sf_dir, "lineitem"), WIDE, block=3)
+    return found.withColumn("correlation", F.round("correlation", 6))
+
+
 @query(
     "medians",
     " UNION ALL ".join(

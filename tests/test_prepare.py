@@ -4,10 +4,18 @@ import random
 from dataclasses import replace
 
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from subscore.operators import prep
-from subscore.operators.encode import learn_options, one_hot, one_hot_learned, one_hot_text
+from subscore.operators.encode import (
+    encode_sparse,
+    learn_options,
+    number_options,
+    one_hot,
+    one_hot_learned,
+    one_hot_text,
+)
 from subscore.plans.prepare import clean, prepare, prepare_encode_first, rejects
 from subscore.plans.subscribers import COLUMNS, OPTIONS, SUBSCRIBERS
 from tests.conftest import subscriber
@@ -140,3 +148,41 @@ def test_small_operators(spark):
 
 
 SUBSCRIBERS_LIKE = type(SUBSCRIBERS)("customerID", "Churn", {"n": "double"}, {}, {})
+
+
+def test_sparse_encoding(spark):
+    rows = [(1, "b", 7), (2, None, 10), (3, "a", 9), (4, "ä", None), (5, "b", 7), (None, "", 8)]
+    df = spark.createDataFrame(rows, "k int, `x.y` string, n int").repartition(3)
+    options = number_options(df, ["x.y", "n"])
+    assert {(r.column, r.option): r["index"] for r in options.collect()} == {
+        ("x.y", ""): 0, ("x.y", "a"): 1, ("x.y", "b"): 2, ("x.y", "ä"): 3,
+        ("n", "10"): 0, ("n", "7"): 1, ("n", "8"): 2, ("n", "9"): 3,
+    }
+    found = {r.k: r.features for r in encode_sparse(df, ["x.y", "n"]).collect()}
+    wanted = {1: [2, 5], 2: [4], 3: [1, 7], 4: [3], 5: [2, 5], None: [0, 6]}
+    assert {k: [int(i) for i in v.indices] for k, v in found.items()} == wanted
+    assert {v.size for v in found.values()} == {8} and set(found[1].values) == {1.0}
+    other = spark.createDataFrame([(1, "new", 9), (2, "a", 4)], "k int, `x.y` string, n int")
+    encoded = {r.k: list(r.features.indices) for r in encode_sparse(other, ["x.y", "n"], options, "v").withColumnRenamed("v", "features").collect()}
+    assert encoded == {1: [7], 2: [1]}
+    assert encode_sparse(df.limit(0), ["n"]).collect() == []
+    with pytest.raises(ValueError, match="features"):
+        encode_sparse(df.withColumn("features", F.lit(1)), ["n"])
+
+
+def test_a_million_options(spark):
+    df = spark.range(1_000_000, numPartitions=4).select("id", F.concat(F.lit("o"), F.col("id")).alias("x"))
+    found = encode_sparse(df, ["x"])
+    place = F.unwrap_udt("features")["indices"][0]
+    told = found.agg(F.count_distinct(place), F.min(place), F.max(place), F.max(F.unwrap_udt("features")["size"])).first()
+    assert tuple(told) == (1_000_000, 0, 999_999, 1_000_000)
+    in_order = found.where("x IS NOT NULL") if "x" in found.columns else found
+    first = in_order.where(place == 0).first()
+    assert first.id == 0
+
+
+def test_models_take_sparse_vectors(spark):
+    rows = spark.createDataFrame([(n, f"v{n % 7}", int(n % 7 > 3)) for n in range(200)], "k int, x string, y int")
+    encoded = encode_sparse(rows, ["x"])
+    scored = LogisticRegression(labelCol="y").fit(encoded).transform(encoded)
+    assert scored.where("prediction <> y").isEmpty()

@@ -5,7 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from subscore.operators.correlation import correlation_matrix, label_correlation
+from subscore.operators import correlation
+from subscore.operators.correlation import correlation_matrix, label_correlation, wide_correlation
 from subscore.operators.histogram import histogram
 from subscore.operators.profile import (
     column_summary,
@@ -197,3 +198,33 @@ def test_correlation(skewed):
     assert {row["column"]: row["correlation"] for row in rows} == pytest.approx(expected["y"].to_dict())
     for row in correlation_matrix(encoded, ["x", "t", "y"]).collect():
         assert row["correlation"] == pytest.approx(expected.loc[row["left"], row["right"]])
+
+
+def test_wide_correlation(spark, monkeypatch):
+    """Large means, several strips and blocks, columns without variance, rows with holes."""
+    monkeypatch.setattr(correlation, "STRIP", 37)
+    monkeypatch.setattr(correlation, "HELD", 2)
+    rng = np.random.default_rng(8)
+    data = rng.normal(0, 1, (500, 7)) @ rng.normal(0, 1, (7, 7)) + np.arange(7) * 1e7
+    data[:, 4] = 3.0
+    frame = pd.DataFrame(data, columns=list("abcdefg")).astype(object)
+    frame.iloc[3, 1], frame.iloc[9, 2] = None, float("nan")
+    df = spark.createDataFrame([tuple(r) for r in frame.itertuples(index=False)], ", ".join(f"{c} double" for c in frame))
+    expected = pd.DataFrame(data, columns=list("abcdefg")).drop([3, 9]).corr()
+    found = wide_correlation(df.repartition(3), list("abcdefg"), block=3).collect()
+    assert len(found) == 49
+    for row in found:
+        assert row["correlation"] == pytest.approx(expected.loc[row["left"], row["right"]], abs=1e-9, nan_ok=True)
+    assert wide_correlation(df.limit(0), ["a", "b"]).collect() == []
+
+
+def test_two_thousand_columns_stay_on_the_executors(spark):
+    names = [f"c{i}" for i in range(2000)]
+    df = spark.range(1500, numPartitions=2).select(*[((F.col("id") * (i + 1)) % 101).alias(n) for i, n in enumerate(names)])
+    found = wide_correlation(df, names).persist()
+    same = found.where("left = right").agg(F.count("*"), F.min("correlation")).first()
+    assert tuple(same) == (2000, 1.0)
+    a, b = (np.arange(1500) * k % 101 for k in (3, 1999))
+    pair = found.where("left = 'c1998' AND right = 'c2'").collect()
+    assert [row["correlation"] for row in pair] == [pytest.approx(np.corrcoef(a, b)[0, 1])]
+    found.unpersist()
