@@ -15,6 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from subscore.llm.text import small_batches
 from subscore.session import scratch_path, shared_root
 
 #: Fixed bounds: vectors that reference directions are drawn from, rows and anchors of a block,
@@ -170,6 +171,7 @@ def mine_hard_negatives(
     """
     spark = rows.sparkSession
     shared_root(spark)
+    small_batches(spark)
     own = F.col(f"`{vector}`")
     stored = rows.where(F.col(f"`{key}`").isNotNull() & F.col(f"`{label}`").isNotNull() & usable(own)).select(
         F.col(f"`{key}`").cast("long").alias("id"),

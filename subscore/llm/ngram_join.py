@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subscore.llm.components import connected_components
-from subscore.llm.text import WordHashes, as_bytes, window_hashes, words_of
+from subscore.llm.text import WordHashes, as_bytes, small_batches, window_hashes, words_of
 from subscore.session import scratch_path, shared_root
 
 #: Bands and values in a band: texts of similarity 0.8 share no band with probability 5e-8.
@@ -22,8 +22,8 @@ STEP = 16
 #: A pair is dropped when similarity above the threshold is less likely than this.
 TOLERANCE = 1e-6
 #: Texts of a block; larger groups are compared block by block.
-BLOCK = 1024
-BLOCK_SHINGLES = 2_000_000
+BLOCK = 256
+BLOCK_SHINGLES = 250_000
 
 
 def shingles_of(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -210,8 +210,9 @@ def similar_texts(
        and verified exactly by their shingles, again in the task: each text comes out with the
        number of its links and the least text that it is connected to.
 
-    A group of any size, a third of all texts included, is compared block by block (1,024
-    texts or 2 million shingles) in as many tasks as it has pairs of blocks.
+    A group of any size, a third of all texts included, is compared block by block (256
+    texts or 250,000 shingles) in as many tasks as it has pairs of blocks. A text of any
+    length is one row, shingled in one task.
 
     A null text counts as the empty one; texts without words equal only the same text. A
     missing id is never a class id, unless all ids of a class are missing. Repeated rows come
@@ -220,6 +221,7 @@ def similar_texts(
     """
     spark = docs.sparkSession
     shared_root(spark)
+    small_batches(spark)
     folder = scratch_path(spark, "similar")
     source = docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("id"),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from subscore.llm.text import append_columns, as_bytes, mixed
+from subscore.llm.text import append_columns, as_bytes, mixed, small_batches
 
 #: Words and runs of other characters.
 TOKENS = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^\s0-9A-Za-z\x80-\xff]+")
@@ -42,7 +42,7 @@ class Settings:
 class _Tokens(dict):
     """Hash of each token, its last 8 bits telling its shape, for a bounded number of tokens."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 60_000):
         super().__init__()
         self.limit = limit
 
@@ -145,6 +145,7 @@ def fit_quality(
     the model is the mean of their weights, and what reaches the driver is bounded by the
     number of buckets. Without any usable label all weights are 0 and every score is 0.5.
     """
+    small_batches(docs.sparkSession)
     usable = labels.where(F.col(f"`{label}`").isin(0, 1) & F.col(f"`{doc_id}`").isNotNull()).where(
         in_training(doc_id)
     )
@@ -170,7 +171,7 @@ def fit_quality(
         for batch in batches:
             for document, mark in zip(as_bytes(batch.column(1)), batch.column(2).to_pylist()):
                 at, values = features.sparse(document, settings.scale)
-                rows.append((np.append(at, bias), np.append(values, 1.0), mark))
+                rows.append((np.append(at, bias).astype(np.int32), np.append(values, 1.0), mark))
         for _ in range(settings.epochs):
             for at, values, mark in rows:
                 model.learn(at, values, mark)

@@ -7,12 +7,14 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructField, StructType
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 #: Text handed to Python code at once; one longer text makes a slice of its own.
 SLICE_BYTES = 4 << 20
+#: Bytes of an Arrow batch on its way to or from a Python worker, unless the session says otherwise.
+BATCH_BYTES = 8 << 20
 
 
 def _word_table() -> bytes:
@@ -33,9 +35,9 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class WordHashes(dict):
-    """64-bit hash of each word, remembered for at most ``limit`` words."""
+    """64-bit hash of each word, remembered for at most ``limit`` words (some 10 MB)."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 60_000):
         super().__init__()
         self.limit = limit
 
@@ -95,6 +97,13 @@ def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
         start = stop
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of Arrow batches, of which the JVM and each Python worker hold several."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if name not in spark.conf.getAll:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def append_columns(
     df: DataFrame,
     column: str,
@@ -105,23 +114,26 @@ def append_columns(
     """Columns ``keep`` of ``df`` (None: all) and ``added`` ones, computed from a text column.
 
     ``prepare`` runs once per task and gives the function from texts to arrays.
-    A kept column named like an added one is replaced by it.
+    A kept column named like an added one is replaced by it. A text that is kept is sent once.
     """
+    small_batches(df.sparkSession)
     new = {name.lower() for name, _ in added}
     kept = [name for name in (df.columns if keep is None else keep) if name.lower() not in new]
+    own = [at for at, name in enumerate(kept) if name == column and df.schema[name].dataType == StringType()]
     source = df.select(
-        *(F.col(f"`{name}`") for name in kept), F.col(f"`{column}`").cast("string").alias("~text")
+        *(F.col(f"`{name}`") for name in kept),
+        *(() if own else [F.col(f"`{column}`").cast("string").alias("~text")]),
     )
-    last = len(kept)
-    schema = StructType([*source.schema.fields[:-1], *(StructField(*field) for field in added)])
+    place = own[0] if own else len(kept)
+    schema = StructType([*source.schema.fields[: len(kept)], *(StructField(*field) for field in added)])
     names = schema.names
 
     def run(batches):
         compute = prepare()
         for batch in batches:
-            for part in slices(batch, last):
-                arrays = compute(as_bytes(part.column(last)))
-                yield pa.RecordBatch.from_arrays([*part.columns[:last], *arrays], names=names)
+            for part in slices(batch, place):
+                arrays = compute(as_bytes(part.column(place)))
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *arrays], names=names)
 
     # Named by place, as mapInArrow looks its columns up without quoting their names.
-    return source.toDF(*(f"~{at}" for at in range(last + 1))).mapInArrow(run, schema)
+    return source.toDF(*(f"~{at}" for at in range(len(source.columns)))).mapInArrow(run, schema)

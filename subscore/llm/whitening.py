@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subscore.llm.hard_negatives import matrix, usable
+from subscore.llm.text import small_batches
 from subscore.session import scratch_path, shared_root
 
 #: Added to every entry, so that entries are positive numbers far from zero.
@@ -292,6 +293,7 @@ def whiten(
     """
     spark = df.sparkSession
     shared_root(spark)
+    small_batches(spark)
     source = whole_entries(df, vector, scale, offset).select(F.col(f"`{key}`").alias(key), F.col("`~x`").alias("x"))
     dims = source.agg(F.max(F.size("x"))).first()[0] or 0
     result = (

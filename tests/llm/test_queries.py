@@ -121,20 +121,6 @@ def test_quality_on_held_out_rows(spark):
 
 
 def test_pipeline_equals_plain_stages(spark):
-    library = Tokenizer.from_file(tokenizer_path())
-    kept = {r.doc_id for r in QUERIES["op10_quality"](spark, SF_DIR).where("predicted = 1").collect()}
-    docs = [(i, t) for i, t in rows_of(spark, "documents", "doc_id", "text") if i in kept]
-    docs = [(i, t) for i, t, n, gone in lines_by_hand(docs, 3) if not gone or gone < n]
-    first = {i for i, c, _ in classes_by_hand(docs) if i == c}
-    benchmark = rows_of(spark, "benchmark", "item_id", "text")
-    docs = [(i, t) for i, t in docs if i in first and not covered(t, benchmark)[1]]
-    want = [(i, library.encode(t, add_special_tokens=False).ids, t) for i, t in docs]
-    found = corpus_pipeline.run(spark, SF_DIR)
-    assert ordered(tuple(r) for r in found.select("doc_id", "ids", "text").collect()) == ordered(want)
-    assert 0 < len(want) < len(kept)
-
-
-def test_pipeline_by_words_equals_plain_stages(spark):
     library = Tokenizer.from_file(tokenizer_path())
     kept = {r.doc_id for r in QUERIES["op10_quality"](spark, SF_DIR).where("predicted = 1").collect()}
     docs = [(i, t) for i, t in rows_of(spark, "documents", "doc_id", "text") if i in kept]
@@ -143,20 +129,18 @@ def test_pipeline_by_words_equals_plain_stages(spark):
     benchmark = rows_of(spark, "benchmark", "item_id", "text")
     docs = [(i, t) for i, t in docs if i in first and not covered(t, benchmark)[1]]
     want = [(i, library.encode(t, add_special_tokens=False).ids, t) for i, t in docs]
-    found = contract.queries()["pipeline_by_words"](spark, SF_DIR).select("doc_id", "ids", "text").collect()
+    found = corpus_pipeline.run(spark, SF_DIR).select("doc_id", "ids", "text").collect()
     assert ordered(tuple(r) for r in found) == ordered(want)
     lines = [x for r in found for x in r.text.split("\n") if len(x.split()) >= RUN_WORDS]
     assert 0 < len(lines) == len(set(lines))
-    fixed = corpus_pipeline.run(spark, SF_DIR).collect()
-    lines = [x for r in fixed for x in r.text.split("\n") if len(x.split()) >= RUN_WORDS]
-    assert len(lines) > len(set(lines))
+    assert 0 < len(want) < len(kept)
 
 
-def test_line_stage_by_words_keeps_columns(spark):
+def test_line_stage_keeps_columns(spark):
     rows = [(1, "one two three four five\nx", 25, 7), (2, "one two three four five\n", 24, 8), (3, None, 0, 9)]
     rows += [(4, "y\none two three four five", 25, 10)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, n_removed int")
-    left = corpus_pipeline.line_dedup_words(spark, docs, SF_DIR)
+    left = corpus_pipeline.line_dedup(spark, docs, SF_DIR)
     assert left.columns == docs.columns
     assert ordered(map(tuple, left.collect())) == ordered([rows[0], rows[2], (4, "y", 1, 10)])
 
