@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+#: Paths given out within each open :func:`scratch_scope`, the innermost last.
+_scopes: list[list[str]] = []
+
 
 def build_session(
     app_name: str = "subscore", master: str | None = None, conf: dict[str, str] | None = None
@@ -43,7 +48,25 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder; nothing else writes there."""
-    return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, all paths that :func:`scratch_path` gives out within.
+
+    Results that still have to be read from them must be written elsewhere by then, to a path
+    that was taken outside. Scopes may lie within each other, in one thread.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove_scratch(spark, path)
 
 
 def remove_scratch(spark: SparkSession, path: str) -> None:
