@@ -3,77 +3,121 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from subscore.llm.text import append_columns, words_of
+from subscore.llm.text import WordHashes, append_columns, mixed, window_hashes, words_of
 
-#: Benchmark text searched for in one pass over the documents; a larger benchmark takes more passes.
-BLOCK_BYTES = 32 << 20
+#: Windows searched for in one pass over the documents, some 40 bytes each in every Python
+#: worker; a larger benchmark takes more passes.
+BLOCK_WINDOWS = 2_000_000
+#: Slots of a shift table, a byte each, for every window and at most.
+SLOTS, MOST_SLOTS = 8, 1 << 26
+
+#: A word before A-Z are lower-cased.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 SPAN = StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])
 
 
+def pair_hashes(words: np.ndarray, block: int) -> np.ndarray:
+    """Hash of the last ``block`` words (1 or 2) at each position, the first one undefined for two."""
+    if block == 1:
+        return mixed(words)
+    before = np.concatenate([words[:1], words[:-1]])
+    return mixed(before * np.uint64(0x9E3779B97F4A7C15) + words)
+
+
 class WuManber:
-    """All windows of equal length, for one scan over a text's words.
+    """All windows of equal length of some texts, for one scan over a document's words.
 
-    ``shift`` says, by the two last words of a position, how many positions no window can end
-    at. Where it is 0, ``buckets`` gives the windows with these two last words, by their first
-    two, and the words in between are compared directly.
+    ``shift`` has a byte per slot of the hash of two words: how many positions no window can end
+    at when a position ends with them. Where it is 0, the windows whose last two words have this
+    hash, a bucket of the sorted ``suffixes``, are those whose ``hashes`` are compared, and of
+    those that agree the words themselves. All of it lies in arrays.
     """
 
-    def __init__(self, length: int):
-        self.length = length
-        self.block = min(2, length)
-        self.skip = length - self.block + 1
-        self.shift: dict[bytes, dict[bytes, int]] = {}
-        self.buckets: dict[tuple, dict[tuple, dict[tuple, set[str]]]] = {}
-
-    def add(self, words: tuple[bytes, ...], item: str) -> None:
-        for end in range(self.block - 1, self.length):
-            by_last = self.shift.setdefault(words[end], {})
-            before = words[end - 1] if self.block > 1 else b""
-            by_last[before] = min(by_last.get(before, self.skip), self.length - 1 - end)
-        suffix, prefix = words[-self.block :], words[: self.block]
-        same = self.buckets.setdefault(suffix, {}).setdefault(prefix, {})
-        same.setdefault(words, set()).add(item)
-
-    def occurrences(self, words: list[bytes]) -> Iterator[tuple[int, set[str]]]:
-        """(start, items) of every occurrence of a window."""
-        shift, skip, length, block = self.shift, self.skip, self.length, self.block
-        at, size = length - 1, len(words)
+    def __init__(self, length: int, texts: Sequence[tuple[int, list[bytes]]]):
+        self.length, self.block = length, min(2, length)
+        hashes = WordHashes()
+        sizes = np.array([len(words) for _, words in texts], np.int64)
+        # Word w of a text begins at offsets[first + w] of the blob, where words stand between blanks.
+        self.blob = b" ".join(b" ".join(words) for _, words in texts) + b" "
+        lengths = np.fromiter((len(word) + 1 for _, words in texts for word in words), np.int64, int(sizes.sum()))
+        self.offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+        firsts = np.cumsum(sizes) - sizes
+        own = hashes.of([word for _, words in texts for word in words])
+        places = [np.arange(size - length + 1) + first for size, first in zip(sizes, firsts)]
+        starts = np.concatenate(places) if places else np.empty(0, np.int64)
+        which = np.repeat(np.array([number for number, _ in texts], np.int32), [len(x) for x in places])
+        pairs, whole = pair_hashes(own, self.block), window_hashes(own, length, 5)[starts]
+        suffixes = pairs[starts + length - 1]
+        order = np.lexsort((which, whole, suffixes))
+        self.suffixes, self.hashes = suffixes[order], whole[order]
+        self.starts, self.texts = starts[order].astype(np.uint32 if len(own) < 2**32 else np.int64), which[order]
+        slots = 1 << min(MOST_SLOTS, max(256, SLOTS * len(starts))).bit_length() - 1
+        self.mask = np.uint64(slots - 1)
+        self.shift = np.full(slots, min(255, length - self.block + 1), np.uint8)
+        for end in range(self.block - 1, length):  # later ends shift less, and overwrite
+            slot = (pairs[starts + end] & self.mask).astype(np.int64)
+            self.shift[slot] = np.minimum(self.shift[slot], min(255, length - 1 - end))
+
+    def occurrences(self, words: list[bytes], hashes: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(start, text) of every occurrence of a window of a text."""
+        length = self.length
+        if len(words) < length:
+            return
+        pairs = pair_hashes(hashes, self.block)
+        shifts = self.shift[(pairs[length - 1 :] & self.mask).astype(np.int64)]
+        if shifts.all():
+            return
+        found, at, steps = [], 0, shifts.tolist()
+        size = len(steps)
         while at < size:
-            by_last = shift.get(words[at])
-            if by_last is None:
-                at += skip
-                continue
-            far = by_last.get(words[at - 1] if block > 1 else b"", skip)
-            if far:
-                at += far
+            step = steps[at]
+            if step:
+                at += step
+            else:
+                found.append(at)
+                at += 1
+        if not found:
+            return
+        starts = np.array(found)
+        ends = pairs[starts + length - 1]
+        low, high = np.searchsorted(self.suffixes, ends, "left"), np.searchsorted(self.suffixes, ends, "right")
+        filled = low < high
+        if not filled.any():
+            return
+        whole = window_hashes(hashes, length, 5)
+        for start, first, last in zip(starts[filled].tolist(), low[filled].tolist(), high[filled].tolist()):
+            bucket = self.hashes[first:last]
+            left, right = (int(np.searchsorted(bucket, whole[start], side)) for side in ("left", "right"))
+            if left == right:
                 continue
-            start = at - length + 1
-            same = self.buckets[tuple(words[at - block + 1 : at + 1])].get(
-                tuple(words[start : start + block])
-            )
-            if same and (items := same.get(tuple(words[start : at + 1]))):
-                yield start, items
-            at += 1
+            text = b" ".join(words[start : start + length]) + b" "
+            for at in range(first + left, first + right):
+                place = int(self.starts[at])
+                if self.blob[self.offsets[place] : self.offsets[place + length]] == text:
+                    yield start, int(self.texts[at])
+
+    @property
+    def nbytes(self) -> int:
+        arrays = (self.offsets, self.suffixes, self.hashes, self.starts, self.texts, self.shift)
+        return len(self.blob) + sum(array.nbytes for array in arrays)
 
 
-def searches(items: Iterable[tuple[str, list[bytes]]], window: int) -> list[WuManber]:
-    """One search per window length: ``window``, and the lengths of shorter items."""
-    by_length: dict[int, WuManber] = {}
-    for item, words in items:
-        length = min(window, len(words))
-        if length:
-            search = by_length.setdefault(length, WuManber(length))
-            for start in range(len(words) - length + 1):
-                search.add(tuple(words[start : start + length]), item)
-    return list(by_length.values())
+def searches(texts: Iterable[list[bytes]], window: int) -> list[WuManber]:
+    """One search per window length: ``window``, and the lengths of shorter texts."""
+    by_length: dict[int, list[tuple[int, list[bytes]]]] = {}
+    for number, words in enumerate(texts):
+        if words:
+            by_length.setdefault(min(window, len(words)), []).append((number, words))
+    return [WuManber(length, own) for length, own in by_length.items()]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -103,9 +147,11 @@ def benchmark_spans(
     sorted, each once) of the items with an occurrence. Words are compared whole and in lower
     case (A-Z), so punctuation and spacing do not matter.
 
-    The benchmark is broadcast in blocks of at most 32 MB of text plus one item, measured
-    before; each further block is one more narrow pass over the documents, so neither the
-    documents nor a benchmark of any size are shuffled.
+    Equal item texts are searched for once. The benchmark is broadcast as arrays, in blocks of
+    about 2 million windows (some 80 MB in each Python worker), counted before; a single item
+    is never divided. Each further block is one more narrow pass over the documents, so neither
+    the documents nor a benchmark of any size are shuffled. Documents of any length are searched
+    whole, one in one task.
 
     Null and empty texts have no words and no spans, as have items without words, which never
     occur. Repeated items or ids count once; an item without id is named by the empty text.
@@ -114,12 +160,16 @@ def benchmark_spans(
     and ``items`` replace columns of these names.
     """
     context = docs.sparkSession.sparkContext
-    wanted = benchmark.select(
-        F.coalesce(F.col(f"`{item}`").cast("string"), F.lit("")).alias("item"),
-        F.col(f"`{item_text}`").cast("string").alias("text"),
-    ).where("text IS NOT NULL")
-    total = wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(total / BLOCK_BYTES))
+    item_id = F.coalesce(F.col(f"`{item}`").cast("string"), F.lit("")).alias("item")
+    wanted = (
+        benchmark.select(item_id, F.col(f"`{item_text}`").cast("string").alias("text"))
+        .where("text IS NOT NULL")
+        .groupBy("text")
+        .agg(F.array_sort(F.collect_set("item")).alias("items"))
+    )
+    n_words = F.regexp_count("text", F.lit(WORD))
+    total = wanted.agg(F.sum(F.greatest(n_words - window + 1, F.least(n_words, F.lit(1))))).first()[0] or 0
+    blocks = max(1, math.ceil(total / BLOCK_WINDOWS))
     kept = list(docs.columns if keep is None else keep)
     added = [
         ("n_words", LongType()),
@@ -129,26 +179,23 @@ def benchmark_spans(
     carried: list[str] = []
     found = docs
     for block in range(blocks):
-        here = wanted.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
-        shared = context.broadcast({"items": [(r.item, r.text.encode()) for r in here.collect()]})
+        here = wanted.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()
+        tables = searches((words_of(row.text.encode()) for row in here), window)
+        shared = context.broadcast((tables, [row["items"] for row in here]))
 
         def prepare(shared=shared):
-            value = shared.value
-            tables = value.get("tables")
-            if tables is None:
-                tables = value["tables"] = searches(
-                    ((item, words_of(text)) for item, text in value["items"]), window
-                )
+            (tables, named), hashes = shared.value, WordHashes()
 
             def compute(texts):
                 counts, spans, items = [], [], []
                 for text in texts:
                     words = words_of(text)
-                    hits, ids = [], set()
+                    own, hits, found = hashes.of(words), [], set()
                     for search in tables:
-                        for start, which in search.occurrences(words):
+                        for start, which in search.occurrences(words, own):
                             hits.append((start, start + search.length))
-                            ids |= which
+                            found.add(which)
+                    ids = {name for which in found for name in named[which]}
                     counts.append(len(words))
                     spans.append([{"start": a, "end": b} for a, b in merged(hits)])
                     items.append(sorted(ids))

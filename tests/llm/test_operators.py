@@ -66,9 +66,10 @@ def covered(text, items, window=10):
     return len(words), len(hit), sorted(ids)
 
 
-@pytest.mark.parametrize("block", [1 << 25, 100])
+@pytest.mark.parametrize("block", [1 << 20, 30])
 def test_benchmark_spans(spark, monkeypatch, block):
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", block)
+    monkeypatch.setattr(decontaminate, "MOST_SLOTS", 256)
     rng = random.Random(1)
     words = random_words(rng, 400, "abc")
     items = [(n, " ".join(words[n * 17 : n * 17 + rng.randint(1, 30)])) for n in range(12)]
@@ -278,9 +279,9 @@ def test_repeated_lines_use_no_python(spark):
 # --- URLs ---------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("block", [1 << 25, 0])
+@pytest.mark.parametrize("block", [1_000_000, 1])
 def test_urls(spark, monkeypatch, block):
-    monkeypatch.setattr(url_filter, "BLOCK_BYTES", block)
+    monkeypatch.setattr(url_filter, "BLOCK_RULES", block)
     rules = [("allow", "org", "/"), ("block", "a.org", "/x"), ("block", "org", "/"), ("allow", "com", "")]
     rows = [(1, None), (2, "x"), (3, "h://B.A.org/xy?q#f"), (3, "h://B.A.org/xy?q#f"), (None, "h://c.org/"), (4, "h://z.com")]
     pages = spark.createDataFrame([(*r, 7) for r in rows], "page_id long, url string, host int")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import pickle
 import random
 import re
 
@@ -108,11 +109,11 @@ def test_wu_manber_finds_every_occurrence():
             for n in range(rng.randint(0, 4))
         ]
         words = [rng.choice(letters) for _ in range(rng.randint(0, 30))]
+        hashes = WordHashes().of(words)
         got = {
-            (start, search.length, item)
-            for search in searches(items, 4)
-            for start, found in search.occurrences(words)
-            for item in found
+            (start, search.length, items[which][0])
+            for search in searches([own for _, own in items], 4)
+            for start, which in search.occurrences(words, hashes)
         }
         want = set()
         for item, own in items:
@@ -124,6 +125,18 @@ def test_wu_manber_finds_every_occurrence():
         assert got == want
 
 
+def test_eight_megabytes_of_benchmark_stay_small():
+    rng = random.Random(4)
+    vocabulary = [bytes(rng.choices(range(97, 123), k=rng.randint(3, 9))) for _ in range(50_000)]
+    texts = [rng.choices(vocabulary, k=100) for _ in range(14_000)]
+    assert sum(len(word) + 1 for words in texts for word in words) > 8 << 20
+    (search,) = searches(texts, 10)
+    assert search.nbytes < 90 << 20 and len(pickle.dumps(search)) < 90 << 20
+    words = rng.choices(vocabulary, k=30) + texts[77][20:45] + rng.choices(vocabulary, k=30)
+    found = list(search.occurrences(words, WordHashes().of(words)))
+    assert found == [(start, 77) for start in range(30, 46)]
+
+
 def test_spans_merge():
     assert merged([(5, 8), (0, 2), (2, 3), (6, 7)]) == [(0, 3), (5, 8)]
 
@@ -298,3 +311,12 @@ def test_features_see_shapes_and_repeats():
     assert forms(b"ONE!! TWO!!") != forms(b"one!! two!!")
     assert forms(b"a a a") != forms(b"a b c")
     assert [len(x) for x in features.of(None)] == [0, 0]
+
+
+def test_a_million_rules_stay_small():
+    names = [f"site{n}.example{n % 97}.com" for n in range(250_000)]
+    rules = [("block" if k else "allow", name, f"/p{n % 50}/{k}") for n, name in enumerate(names) for k in range(4)]
+    trie = RuleTrie(rules)
+    assert len(rules) == 1_000_000 and trie.nbytes < 130 << 20 and len(pickle.dumps(trie)) < 130 << 20
+    assert trie.best(b"a.site77.example77.com", b"/p27/2x/y") == ("block", "site77.example77.com/p27/2", (3, 6))
+    assert trie.best(b"a.site77.example77.com", b"/p28/2") is None
