@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterable, Sequence
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from subscore.llm.text import append_columns
 
-#: Rules broadcast at once, in bytes of their text; more rules take more narrow passes.
-BLOCK_BYTES = 32 << 20
+#: Rules broadcast at once, about 100 bytes each in every Python worker; more take more narrow passes.
+BLOCK_RULES = 1_000_000
 
 RULE = StructType(
     [
@@ -43,55 +47,124 @@ def host_and_path(url: bytes | None) -> tuple[bytes, bytes]:
 
 
 class RuleTrie:
-    """Host labels from the last to the first, then whole path segments, then the start of one."""
+    """Host labels from the last to the first, then whole path segments, then the start of one.
+
+    A node is the 64-bit hash of the labels and segments that lead to it, and an edge is followed
+    by hashing one more and looking the result up among the sorted ``nodes``. Rules end at a node
+    with the start of a segment; what is found by hash is compared with the rule's own text. All
+    of it lies in arrays: about 100 bytes for a rule.
+    """
+
+    ROOT, PATHS = 0, b"/paths"
 
     def __init__(self, rules: Iterable[tuple[str, str, str]]):
-        self.root: dict = {}
+        nodes, ends, at_nodes, sizes = array("Q"), array("Q"), array("Q"), array("I")
+        verdicts, blob, self.offsets = bytearray(), bytearray(), array("Q", [0])
         for verdict, host, path in rules:
-            node = self.root
-            for label in reversed(host.encode().translate(_LOWER).split(b".")) if host else ():
-                node = node.setdefault(label, {})
-            node = node.setdefault(b"/paths", {})
             *whole, start = path.encode().split(b"/")
-            for segment in whole:
-                node = node.setdefault(segment, {})
-            starts = node.setdefault(b"/starts", {})
-            # Of an allow and a block rule that are the same, block holds.
-            if starts.get(start, ("allow",))[0] != "block":
-                starts[start] = (verdict, host + path, (host.count(".") + bool(host), len(path)))
+            labels = reversed(host.encode().translate(_LOWER).split(b".")) if host else ()
+            node = self.ROOT
+            for token in (*labels, self.PATHS, *whole):
+                node = self.child(node, token)
+                nodes.append(node)
+            ends.append(self.end(node, start))
+            at_nodes.append(node)
+            sizes.append(len(start))
+            verdicts.append(verdict == "block")
+            blob += host.encode() + b"\0" + path.encode()
+            self.offsets.append(len(blob))
+        self.verdicts, self.blob = bytes(verdicts), bytes(blob)
+        self.nodes = _packed("Q", np.unique(_view(nodes, np.uint64)))
+        ends, blocks = _view(ends, np.uint64), np.frombuffer(self.verdicts, np.uint8)
+        # Of equal rules a block rule comes first, then the last one.
+        order = np.lexsort((-np.arange(len(ends)), -blocks.astype(np.int8), ends))
+        self.ends, self.rules = _packed("Q", ends[order]), _packed("I", order)
+        # The lengths of the starts at each node.
+        pairs = np.unique(np.stack([_view(at_nodes, np.uint64), _view(sizes, np.uint32).astype(np.uint64)]), axis=1)
+        self.starting, first = np.unique(pairs[0], return_index=True)
+        self.starting, self.lengths = _packed("Q", self.starting), _packed("I", pairs[1])
+        self.first = _packed("I", np.append(first, len(pairs[1])))
+
+    @staticmethod
+    def child(node: int, token: bytes) -> int:
+        return xxhash.xxh3_64_intdigest(token, node)
+
+    @staticmethod
+    def end(node: int, start: bytes) -> int:
+        return xxhash.xxh3_64_intdigest(start, node ^ 0x9E3779B97F4A7C15)
+
+    @property
+    def nbytes(self) -> int:
+        arrays = (self.offsets, self.nodes, self.ends, self.rules, self.starting, self.first, self.lengths)
+        return len(self.blob) + len(self.verdicts) + sum(x.itemsize * len(x) for x in arrays)
+
+    def rule(self, number: int) -> tuple[bytes, bytes]:
+        host, _, path = self.blob[self.offsets[number] : self.offsets[number + 1]].partition(b"\0")
+        return host, path
 
     def best(self, host: bytes, path: bytes) -> tuple[str, str, tuple[int, int]] | None:
         """The longest rule that fits: most host labels first, then the longest path."""
-        found, node = None, self.root
+        found, node = None, self.ROOT
         labels = host.split(b".")
+        segments = path.split(b"/")
         for depth in range(len(labels) + 1):
-            paths = node.get(b"/paths")
-            if paths is not None:
-                found = self._longest(paths, path) or found
+            paths = self.child(node, self.PATHS)
+            if _place(self.nodes, paths) is not None:
+                longest = self._longest(paths, segments, host, path)
+                found = found if longest is None else longest
             if depth == len(labels):
                 break
-            node = node.get(labels[-1 - depth])
-            if node is None:
+            node = self.child(node, labels[-1 - depth])
+            if _place(self.nodes, node) is None:
                 break
-        return found
+        if found is None:
+            return None
+        own_host, own_path = (x.decode() for x in self.rule(found))
+        verdict = "block" if self.verdicts[found] else "allow"
+        return verdict, own_host + own_path, (own_host.count(".") + bool(own_host), len(own_path))
 
-    @staticmethod
-    def _longest(node: dict, path: bytes):
+    def _longest(self, node: int, segments: list[bytes], host: bytes, path: bytes) -> int | None:
         found = None
-        for segment in path.split(b"/"):
-            starts = node.get(b"/starts")
-            if starts is not None:
-                if len(starts) <= len(segment):
-                    fits = [s for s in starts if segment.startswith(s)]
-                else:
-                    fits = [s for n in range(len(segment) + 1) if (s := segment[:n]) in starts]
-                if fits:
-                    found = starts[max(fits, key=len)]
-            node = node.get(segment)
-            if node is None:
+        for segment in segments:
+            at = _place(self.starting, node)
+            if at is not None:
+                for size in reversed(self.lengths[self.first[at] : self.first[at + 1]]):
+                    if size <= len(segment):
+                        hit = self._ending(self.end(node, segment[:size]), host, path)
+                        if hit is not None:
+                            found = hit
+                            break
+            node = self.child(node, segment)
+            if _place(self.nodes, node) is None:
                 break
         return found
 
+    def _ending(self, key: int, host: bytes, path: bytes) -> int | None:
+        """The first rule with this hash whose text fits."""
+        at = _place(self.ends, key)
+        while at is not None and at < len(self.ends) and self.ends[at] == key:
+            own_host, own_path = self.rule(self.rules[at])
+            own_host = own_host.translate(_LOWER)
+            if path.startswith(own_path) and (not own_host or host == own_host or host.endswith(b"." + own_host)):
+                return self.rules[at]
+            at += 1
+        return None
+
+
+def _place(keys: array, key: int) -> int | None:
+    at = bisect_left(keys, key)
+    return at if at < len(keys) and keys[at] == key else None
+
+
+def _view(values: array, kind) -> np.ndarray:
+    return np.frombuffer(values, kind) if len(values) else np.empty(0, kind)
+
+
+def _packed(code: str, values: np.ndarray) -> array:
+    packed = array(code)
+    packed.frombytes(np.ascontiguousarray(values, np.dtype(f"u{packed.itemsize}")).tobytes())
+    return packed
+
 
 def judge_urls(
     pages: DataFrame,
@@ -107,35 +180,28 @@ def judge_urls(
     rule with more host labels wins, then the one with the longer path; of two equal rules,
     block wins. Without a fitting rule, ``rule`` is null and the verdict is ``default``.
 
-    The trie is broadcast, at most 32 MB of rules (and one rule) at a time; further rules take
-    one more narrow pass each over the pages, which are never shuffled.
+    The trie is built once and broadcast as arrays, of at most a million rules at a time;
+    further rules take one more narrow pass each over the pages, which are never shuffled.
+    URLs of any length are judged whole.
 
     A null URL, or one without ``://``, has empty host and path. Repeated pages come out as
     often as they came in; an empty table gives an empty table. Columns of ``pages`` (``keep``:
     only these) stay, except that the four new ones replace columns of these names.
     """
     context = pages.sparkSession.sparkContext
-    blocks: list[list[tuple[str, str, str]]] = [[]]
-    size = 0
+    rules = [tuple(rule) for rule in rules]
     for rule in rules:
         if rule[0] not in ("allow", "block"):
             raise ValueError(f"a rule is allow or block, not {rule[0]!r}")
-        if size > BLOCK_BYTES:
-            blocks.append([])
-            size = 0
-        blocks[-1].append(tuple(rule))
-        size += len(rule[1]) + len(rule[2])
+    blocks = [rules[at : at + BLOCK_RULES] for at in range(0, max(1, len(rules)), BLOCK_RULES)]
     kept = list(pages.columns if keep is None else keep)
     found = pages
     carried: list[str] = []
     for number, block in enumerate(blocks):
-        shared = context.broadcast({"rules": block})
+        shared = context.broadcast(RuleTrie(block))
 
         def prepare(shared=shared):
-            value = shared.value
-            trie = value.get("trie")
-            if trie is None:
-                trie = value["trie"] = RuleTrie(value["rules"])
+            trie = shared.value
 
             def compute(urls):
                 parts = [host_and_path(u) for u in urls]
