@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from subscore.session import scratch_path
 
-#: Fixed bounds: vectors that pivots are drawn from, vectors of a block, queries of a block.
+#: Fixed bounds: vectors that pivots are drawn from, vectors of a block, queries of a block,
+#: annuli described in one row of the index, annuli that one task of a query block expands.
 SAMPLE = 4096
 BLOCK = 4096
 QUERIES = 512
+INDEX = 1024
+UNIT = 8
 
 
 def whole_vectors(df: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
@@ -90,10 +93,11 @@ def exact_top_k(
     but those with the query's own id; ties go to the smaller id. Every row is indexed: it is
     keyed by its nearest of ``pivots`` pivots and its distance to that pivot, and lies in an
     annulus of at most 4,096 rows. Pivots are drawn from at most 4,096 vectors, which also give
-    each query a first score that its k-th result cannot be below. The annuli are then expanded
-    from the nearest on, and what the triangle inequality rules out is not looked at: pairs of
-    a block of 512 queries and an annulus before their rows are brought together, queries
-    within a block in the task. The result is exact; nothing but the sample is collected.
+    each query a first score that its k-th result cannot be below. Each block of 512 queries
+    meets the limits of the annuli, 1,024 at a time, and only the pairs that the triangle
+    inequality leaves become rows and have their vectors brought together. They are expanded
+    from the nearest annulus on, and queries that the bound rules out by then are passed over.
+    The result is exact; nothing but the sample is collected.
 
     Rows without id, and vectors that are null or hold a null or non-finite component, take
     no part on either side. Shorter vectors are filled up with zeros. Repeated rows are
@@ -194,25 +198,38 @@ def exact_top_k(
         for batch in batches:
             for row in batch.to_pylist():
                 q = np.frombuffer(row["queries"], np.int64).reshape(-1, dims)
-                gap = _gap(index.of_queries(q)[:, row["pivot"]], row["least"], row["most"])
-                if (index.bound(q, gap) >= np.frombuffer(row["floor"])).any():
-                    yield _row(
-                        block=pa.scalar(row["block"], pa.int64()),
-                        qblock=pa.scalar(row["qblock"], pa.int32()),
-                        gap=pa.scalar(float(gap.min()), pa.float64()),
+                near, floor = index.of_queries(q), np.frombuffer(row["floor"])[:, None]
+                numbers, pivot = np.frombuffer(row["numbers"], np.int64), np.frombuffer(row["pivots"], np.int32)
+                least, most = np.frombuffer(row["leasts"]), np.frombuffer(row["mosts"])
+                kept, gaps = np.zeros(len(numbers), bool), np.full(len(numbers), np.inf)
+                for start in range(0, len(q), 128):
+                    part = slice(start, start + 128)
+                    gap = _gap(near[part][:, pivot], least, most)
+                    fits = index.bound(q[part], gap.T).T >= floor[part]
+                    kept |= fits.any(0)
+                    gaps = np.minimum(gaps, np.where(fits, gap, np.inf).min(0))
+                if kept.any():
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(numbers[kept]),
+                            pa.array(np.full(int(kept.sum()), row["qblock"], np.int32)),
+                            pa.array(gaps[kept]),
+                        ],
+                        names=["block", "qblock", "gap"],
                     )
 
     def expand(batches):
         """Best results of each query block over the annuli of this task, the nearest first."""
-        now, found = None, {}
+        found = {}
         for batch in batches:
             for row in batch.to_pylist():
-                if row["qblock"] != now:
+                if row["queries"] is not None:
                     yield from _results(found)
-                    now, found = row["qblock"], {}
+                    found = {}
                     qids = np.frombuffer(row["qids"], np.int64)
                     q = np.frombuffer(row["queries"], np.int64).reshape(-1, dims)
                     near, floor = index.of_queries(q), np.frombuffer(row["floor"]).copy()
+                    continue
                 gap = _gap(near[:, row["pivot"]], row["least"], row["most"])
                 alive = np.flatnonzero(index.bound(q, gap) >= floor)
                 if not len(alive):
@@ -230,21 +247,46 @@ def exact_top_k(
                         floor[place] = max(floor[place], best[1][-1])
         yield from _results(found)
 
-    # Each annulus meets each block of the stated queries once at most.
-    pairs = (
-        blocks.select(
-            "block", "pivot", "least", "most",
-            F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("qblock"),
-        )
-        .join(wanted, "qblock")
-        .select("block", "pivot", "least", "most", "qblock", "queries", "floor")
+    def described(table: pa.Table) -> pa.Table:
+        """The limits of about 1,024 annuli as one row."""
+        names = {"block": np.int64, "pivot": np.int32, "least": np.float64, "most": np.float64}
+        packed = {f"{name}s": table.column(name).to_numpy().astype(kind).tobytes() for name, kind in names.items()}
+        packed["numbers"] = packed.pop("blocks")
+        return pa.Table.from_pylist([{"slice": table.column("slice")[0].as_py(), **packed}])
+
+    limits = blocks.select("block", "pivot", "least", "most")
+    n_annuli = limits.count()
+    n_slices, n_units = max(1, -(-n_annuli // INDEX)), max(1, -(-n_annuli // UNIT))
+    slices = (
+        limits.withColumn("slice", F.pmod(F.xxhash64("block"), F.lit(n_slices)))
+        .groupBy("slice")
+        .applyInArrow(described, "slice long, numbers binary, pivots binary, leasts binary, mosts binary")
+    )
+    # A block of the stated queries meets a row for each 1,024 annuli; pairs are made within.
+    pairs_path = scratch_path(spark, "pairs")
+    (
+        wanted.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_slices - 1).cast("long"))))
+        .join(slices, "slice")
+        .select("qblock", "queries", "floor", "numbers", "pivots", "leasts", "mosts")
         .mapInArrow(reachable, "block long, qblock int, gap double")
+        .withColumn("unit", F.pmod(F.xxhash64("block"), F.lit(n_units)).cast("int"))
+        .write.parquet(pairs_path)
+    )
+    pairs = spark.read.parquet(pairs_path)
+    nothing = F.lit(None).cast("binary")
+    columns = ["qblock", "unit", "gap", "pivot", "least", "most", "ids", "rows", "qids", "queries", "floor"]
+    # One copy of a block of queries for each unit of annuli, ahead of them.
+    heads = pairs.select("qblock", "unit").distinct().join(wanted, "qblock").select(
+        "qblock", "unit", F.lit(-1.0).alias("gap"), F.lit(-1).alias("pivot"), F.lit(0.0).alias("least"),
+        F.lit(0.0).alias("most"), nothing.alias("ids"), nothing.alias("rows"), "qids", "queries", "floor",
+    )
+    bodies = pairs.join(blocks, "block").select(
+        *columns[:8], *(nothing.alias(name) for name in ("qids", "queries", "floor"))
     )
     best = (
-        pairs.join(blocks, "block")
-        .join(wanted, "qblock")
-        .select("qblock", "gap", "pivot", "least", "most", "ids", "rows", "qids", "queries", "floor")
-        .sortWithinPartitions("qblock", "gap")
+        heads.unionAll(bodies)
+        .repartition("qblock", "unit")
+        .sortWithinPartitions("qblock", "unit", "gap")
         .mapInArrow(expand, schema)
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
