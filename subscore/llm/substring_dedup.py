@@ -171,13 +171,11 @@ def remove_repeated_passages(
             shards, packed = [], []
             for row in range(len(ROWS)):
                 cells, counts = np.unique(cells_of(seen, row, bits), return_counts=True)
-                edges = np.searchsorted(cells, np.arange(0, (1 << bits) + 1, 1 << SHARD_BITS))
-                for number, (start, end) in enumerate(zip(edges, edges[1:])):
-                    if start < end:
-                        shards.append(number * len(ROWS) + row)
-                        packed.append(
-                            pack(cells[start:end] - (number << SHARD_BITS), counts[start:end] > 1)
-                        )
+                # Only the shards that have a cell here, never more than there are windows.
+                numbers, edges = np.unique(cells >> SHARD_BITS, return_index=True)
+                for number, start, end in zip(numbers.tolist(), edges, [*edges[1:], len(cells)]):
+                    shards.append(number * len(ROWS) + row)
+                    packed.append(pack(cells[start:end] - (number << SHARD_BITS), counts[start:end] > 1))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(shards, pa.int32()),
