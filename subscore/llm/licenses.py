@@ -26,31 +26,121 @@ PHRASES = [
     ("mit", "mit license"),
 ]
 
-#: Wording of well-known licence notices.
+#: Wording of well-known licences and of the notices that point to them. Callers may
+#: pass others, or these and more.
 TEMPLATES = [
+    (
+        "agpl",
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
+    ),
     (
         "apache",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file "
         "except in compliance with the License. You may obtain a copy of the License at "
         "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed "
         "to in writing, software distributed under the License is distributed on an AS IS BASIS, "
-        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License "
+        "for the specific language governing permissions and limitations under the License.",
     ),
     ("apache", "Licensed under the Apache License, Version 2.0."),
+    (
+        "artistic",
+        "This package is free software; you can redistribute it and/or modify it under the terms "
+        "of the Artistic License version 2.0.",
+    ),
+    (
+        "boost",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a "
+        "copy of the software and accompanying documentation covered by this license (the "
+        "Software) to use, reproduce, display, distribute, execute, and transmit the Software, "
+        "and to prepare derivative works of the Software, and to permit third-parties to whom "
+        "the Software is furnished to do so",
+    ),
+    ("boost", "Distributed under the Boost Software License, Version 1.0."),
+    (
+        "bsd",
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met: Redistributions of source "
+        "code must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution.",
+    ),
     (
         "bsd",
         "Redistribution and use in source and binary forms, with or without modification, are "
         "permitted provided that the following conditions are met",
     ),
+    (
+        "bsd-3",
+        "Neither the name of the copyright holder nor the names of its contributors may be used "
+        "to endorse or promote products derived from this software without specific prior "
+        "written permission.",
+    ),
+    (
+        "bsd-4",
+        "All advertising materials mentioning features or use of this software must display the "
+        "following acknowledgement",
+    ),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
+    ("cc-by-nd", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    (
+        "cc0",
+        "To the extent possible under law, the author has waived all copyright and related or "
+        "neighboring rights to this work.",
+    ),
+    (
+        "epl",
+        "This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License 2.0 which is available at http://www.eclipse.org/legal/epl-2.0",
+    ),
+    (
+        "eupl",
+        "Licensed under the EUPL, Version 1.2 or as soon they will be approved by the European "
+        "Commission subsequent versions of the EUPL",
+    ),
     (
         "gpl",
         "This program is free software: you can redistribute it and/or modify it under the terms "
         "of the GNU General Public License as published by the Free Software Foundation, either "
         "version 3 of the License, or (at your option) any later version.",
     ),
+    (
+        "gpl",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; "
+        "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. "
+        "See the GNU General Public License for more details.",
+    ),
     ("gpl", "This work is licensed under the GNU General Public License, version 3."),
+    (
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies.",
+    ),
+    (
+        "lgpl",
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    (
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+        "software and associated documentation files (the Software), to deal in the Software "
+        "without restriction, including without limitation the rights to use, copy, modify, "
+        "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+        "persons to whom the Software is furnished to do so, subject to the following conditions: "
+        "The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF "
+        "ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+    ),
     (
         "mit",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
@@ -59,12 +149,33 @@ TEMPLATES = [
         "merge, publish, distribute, sublicense, and/or sell copies of the Software",
     ),
     ("mit", "Released under the MIT License."),
+    (
+        "mpl",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
+        "copy of the MPL was not distributed with this file, You can obtain one at "
+        "http://mozilla.org/MPL/2.0/.",
+    ),
     (
         "mpl",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     ),
+    (
+        "unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to "
+        "copy, modify, publish, use, compile, sell, or distribute this software, either in source "
+        "code form or as a compiled binary, for any purpose, commercial or non-commercial, and by "
+        "any means.",
+    ),
+    (
+        "zlib",
+        "This software is provided as-is, without any express or implied warranty. In no event "
+        "will the authors be held liable for any damages arising from the use of this software.",
+    ),
 ]
 
+#: Words of templates and phrases; the automaton of more would be too large for every worker.
+MOST_WORDS = 100_000
+
 PLACE = StructType(
     [
         StructField("label", StringType()),
@@ -237,13 +348,17 @@ def license_spans(
     ``places`` (label, start, end) are all places where the words of a phrase stand one after
     the other. ``spans`` (label, start, end, coverage) are chains of matches of at least
     ``shortest`` words that follow each other in text and template, at most ``gap`` words
-    apart, and cover the share ``coverage`` of a template's words. Every text is streamed once
-    through the automaton of all phrases and templates, which is broadcast as their text.
+    apart, and cover the share ``coverage`` of a template's words. Every text, however long, is
+    streamed once through the automaton of all phrases and templates, which is broadcast as
+    their text; more than 100,000 words of them are refused.
 
     Null and empty texts have no words, places or spans. Repeated rows come out as often as
     they came in; an empty table gives an empty table. Columns of ``docs`` (``keep``: only
     these) stay, except that the three new ones replace columns of these names.
     """
+    n_words = sum(len(words_of(own.encode())) for _, own in (*phrases, *templates))
+    if n_words > MOST_WORDS:
+        raise ValueError(f"{n_words} words of templates are more than {MOST_WORDS}")
     shared = docs.sparkSession.sparkContext.broadcast({"texts": (list(phrases), list(templates))})
 
     def prepare():

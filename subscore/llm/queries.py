@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from subscore.llm.bpe import encode_decode
 from subscore.llm.decontaminate import benchmark_spans, n_covered
 from subscore.llm.hard_negatives import mine_hard_negatives
-from subscore.llm.licenses import license_spans
+from subscore.llm.licenses import PHRASES, license_spans
 from subscore.llm.line_dedup import remove_repeated_lines
 from subscore.llm.ngram_join import similar_texts
 from subscore.llm.quality import fit_quality, in_training, score_quality
@@ -166,6 +166,30 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_PHRASES = [
+    f"list_transform(list_filter(range(1, len(words) + 1), lambda i: "
+    f"list_slice(words, i, i + {len(phrase.split()) - 1}) = {phrase.split()!r}), lambda i: ('{label}', i - 1))"
+    for label, phrase in PHRASES
+]
+
+
+@query(
+    "op7_licenses_base",
+    f"""
+    WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+    p AS (SELECT doc_id, len(words) AS n, flatten([{", ".join(_PHRASES)}]) AS places FROM d)
+    SELECT doc_id, n::BIGINT AS n_words, len(places)::BIGINT AS n_base,
+      list_min(list_transform(places, lambda x: x[2]))::BIGINT AS first_word,
+      list_max(list_transform(places, lambda x: x[2]))::BIGINT AS last_word,
+      array_to_string(list_sort(list_distinct(list_transform(places, lambda x: x[1]))), ',') AS base_labels
+    FROM p""",
+    more=True,
+)
+def op7_licenses_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op7 SQL can say."""
+    return op7_licenses(spark, sf_dir).drop("labels", "score")
+
+
 @query(
     "op9_top_k",
     """
