@@ -34,10 +34,11 @@ def pair_hashes(words: np.ndarray, block: int) -> np.ndarray:
 
 
 class WuManber:
-    """All windows of equal length of some texts, for one scan over a document's words.
+    """All windows of equal length of some texts, for one scan over the words of documents.
 
-    ``shift`` has a byte per slot of the hash of two words: how many positions no window can end
-    at when a position ends with them. Where it is 0, the windows whose last two words have this
+    ``shift`` has a byte per slot of the hash of two words: how far the next end of a window is from
+    a position that ends with them, at least. All positions of a batch are looked up at once, and
+    those with a shift are passed over. Where it is 0, the windows whose last two words have this
     hash, a bucket of the sorted ``suffixes``, are those whose ``hashes`` are compared, and of
     those that agree the words themselves. All of it lies in arrays.
     """
@@ -67,43 +68,36 @@ class WuManber:
             slot = (pairs[starts + end] & self.mask).astype(np.int64)
             self.shift[slot] = np.minimum(self.shift[slot], min(255, length - 1 - end))
 
-    def occurrences(self, words: list[bytes], hashes: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(start, text) of every occurrence of a window of a text."""
-        length = self.length
-        if len(words) < length:
+    def occurrences(self, documents: Words) -> Iterator[tuple[int, int, int]]:
+        """(document, start, text) of every occurrence of a window of a text."""
+        length, flat = self.length, documents.hashes
+        pairs = pair_hashes(flat, self.block)
+        # What the shift table leaves: positions where a window can end.
+        ends = np.flatnonzero(self.shift[(pairs & self.mask).astype(np.int64)] == 0)
+        low = np.searchsorted(self.suffixes, pairs[ends], "left")
+        high = np.searchsorted(self.suffixes, pairs[ends], "right")
+        which = np.searchsorted(documents.first, ends, "right") - 1
+        starts = ends - length + 1
+        inside = (low < high) & (starts >= documents.first[which])
+        if not inside.any():
             return
-        pairs = pair_hashes(hashes, self.block)
-        shifts = self.shift[(pairs[length - 1 :] & self.mask).astype(np.int64)]
-        if shifts.all():
-            return
-        found, at, steps = [], 0, shifts.tolist()
-        size = len(steps)
-        while at < size:
-            step = steps[at]
-            if step:
-                at += step
-            else:
-                found.append(at)
-                at += 1
-        if not found:
-            return
-        starts = np.array(found)
-        ends = pairs[starts + length - 1]
-        low, high = np.searchsorted(self.suffixes, ends, "left"), np.searchsorted(self.suffixes, ends, "right")
-        filled = low < high
-        if not filled.any():
-            return
-        whole = window_hashes(hashes, length, 5)
-        for start, first, last in zip(starts[filled].tolist(), low[filled].tolist(), high[filled].tolist()):
+        low, high, which, starts = low[inside], high[inside], which[inside], starts[inside]
+        whole = window_hashes(flat, length, 5)[starts]
+        # Most buckets hold one window: it is compared without a call of its own.
+        possible = (high - low > 1) | (self.hashes[low] == whole)
+        for at in np.flatnonzero(possible).tolist():
+            first, last = int(low[at]), int(high[at])
             bucket = self.hashes[first:last]
-            left, right = (int(np.searchsorted(bucket, whole[start], side)) for side in ("left", "right"))
+            left, right = (int(np.searchsorted(bucket, whole[at], side)) for side in ("left", "right"))
             if left == right:
                 continue
-            text = b" ".join(words[start : start + length]) + b" "
-            for at in range(first + left, first + right):
-                place = int(self.starts[at])
+            document = int(which[at])
+            start = int(starts[at] - documents.first[document])
+            text = b" ".join(documents.words[document][start : start + length]) + b" "
+            for window in range(first + left, first + right):
+                place = int(self.starts[window])
                 if self.blob[self.offsets[place] : self.offsets[place + length]] == text:
-                    yield start, int(self.texts[at])
+                    yield document, start, int(self.texts[window])
 
     @property
     def nbytes(self) -> int:
@@ -111,6 +105,16 @@ class WuManber:
         return len(self.blob) + sum(array.nbytes for array in arrays)
 
 
+class Words:
+    """The words of some documents, and the hashes of all of them one after the other."""
+
+    def __init__(self, words: list[list[bytes]], hashes: WordHashes):
+        self.words = words
+        sizes = np.array([len(own) for own in words], np.int64)
+        self.first = np.cumsum(sizes) - sizes
+        self.hashes = hashes.of([word for own in words for word in own])
+
+
 def searches(texts: Iterable[list[bytes]], window: int) -> list[WuManber]:
     """One search per window length: ``window``, and the lengths of shorter texts."""
     by_length: dict[int, list[tuple[int, list[bytes]]]] = {}
@@ -187,18 +191,17 @@ def benchmark_spans(
             (tables, named), hashes = shared.value, WordHashes()
 
             def compute(texts):
-                counts, spans, items = [], [], []
-                for text in texts:
-                    words = words_of(text)
-                    own, hits, found = hashes.of(words), [], set()
-                    for search in tables:
-                        for start, which in search.occurrences(words, own):
-                            hits.append((start, start + search.length))
-                            found.add(which)
-                    ids = {name for which in found for name in named[which]}
-                    counts.append(len(words))
-                    spans.append([{"start": a, "end": b} for a, b in merged(hits)])
-                    items.append(sorted(ids))
+                words = [words_of(text) for text in texts]
+                hits: list[list[tuple[int, int]]] = [[] for _ in words]
+                ids: list[set[str]] = [set() for _ in words]
+                documents = Words(words, hashes)
+                for search in tables:
+                    for at, start, which in search.occurrences(documents):
+                        hits[at].append((start, start + search.length))
+                        ids[at].update(named[which])
+                counts = [len(own) for own in words]
+                spans = [[{"start": a, "end": b} for a, b in merged(own)] for own in hits]
+                items = [sorted(own) for own in ids]
                 span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
                 return (
                     pa.array(counts, pa.int64()),

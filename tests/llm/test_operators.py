@@ -344,6 +344,29 @@ def test_merged_index_is_sorted(spark):
 # --- licences -----------------------------------------------------------------
 
 
+def test_license_families_in_other_wording(spark):
+    """Notices as files carry them: comment marks, other case and line ends, words left out or changed."""
+    notices = {
+        "agpl": "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU Affero General Public License as\n# published by the Free Software Foundation, either version 3 of the\n# License, or (at your option) any later version.",
+        "lgpl": " * This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n * License as published by the Free Software Foundation; either\n * version 2.1 of the License, or any later version.",
+        "isc": "Permission to use, copy, modify, and distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+        "bsd-3": "3. Neither the name of the Regents nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "cc-by-sa": "<p>This work is licensed under a <a>Creative Commons Attribution-ShareAlike 4.0 International License</a>.",
+        "unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or\ndistribute this software, either in source code form or as a compiled\nbinary, for any purpose, commercial or non-commercial, and by any\nmeans.",
+        "zlib": "THIS SOFTWARE IS PROVIDED 'AS-IS', WITHOUT ANY EXPRESS OR IMPLIED WARRANTY. IN NO EVENT WILL THE AUTHORS BE HELD LIABLE FOR ANY DAMAGES ARISING FROM THE USE OF THIS SOFTWARE.",
+        "mpl": "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy of the MPL was not distributed with this\n// file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+        "epl": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0, available at https://www.eclipse.org/legal/epl-2.0/",
+    }
+    rows = list(enumerate([f"some code first {text} and code behind" for text in notices.values()]))
+    rows += [(100, "the licence of this library lets anyone use the software for any purpose"), (101, "permission is needed")]
+    found = {r.doc_id: {x.label for x in r.spans} for r in license_spans(docs(spark, rows)).collect()}
+    for number, label in enumerate(notices):
+        assert label in found[number], label
+    assert found[100] == found[101] == set()
+    with pytest.raises(ValueError, match="words of templates"):
+        license_spans(docs(spark, rows), templates=[("x", "word " * 100_001)])
+
+
 def test_licenses(spark):
     rows = [(1, None, 1), (2, "", 1), (3, "MIT-License, the MIT  license", 1), (3, "mit", 1), (None, "cc by " * 20_000, 1)]
     found = license_spans(docs(spark, rows, ", spans int"))
@@ -444,6 +467,25 @@ def test_top_k(spark, monkeypatch, block):
     assert exact_top_k(few.where("vec_id = 0").limit(1), few.where("vec_id = 0")).isEmpty()
 
 
+def test_top_k_pairs_few_blocks(spark, monkeypatch):
+    """Bundles of vectors far apart: a block of queries meets the annuli of its own bundles alone."""
+    for name, size in (("BLOCK", 20), ("QUERIES", 8), ("INDEX", 7), ("UNIT", 3)):
+        monkeypatch.setattr(topk, name, size)
+    paths = []
+    monkeypatch.setattr(topk, "scratch_path", lambda spark, name: paths.append(scratch_path(spark, name)) or paths[-1])
+    rng = np.random.default_rng(7)
+    centres = np.eye(20) * 10
+    rows = [(n, (centres[n % 20] + rng.normal(0, 0.05, 20)).tolist()) for n in range(4000)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = exact_top_k(vectors, vectors.where("vec_id % 100 = 0"), k=5, pivots=20)
+    assert sorted(map(tuple, got.collect())) == best_by_hand(rows, 5)
+    annuli, queries, pairs = (
+        spark.read.parquet(next(path for path in paths if f"/{name}-" in path)).count()
+        for name in ("annuli", "queries", "pairs")
+    )
+    assert annuli > 100 and queries > 3 and pairs < annuli * queries / 3
+
+
 def test_top_k_of_large_numbers(spark):
     rows = [(0, [3e12, 1.0]), (1, [1.0, 7.0]), (2, [1.0, 8.0])]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")

@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from subscore.llm.bpe import Bpe, byte_letters
-from subscore.llm.decontaminate import merged, searches
+from subscore.llm.decontaminate import Words, merged, searches
 from subscore.llm.licenses import PHRASES, TEMPLATES, LicenseScanner
 from subscore.llm.ngram_join import (
     VALUES,
@@ -109,11 +109,12 @@ def test_wu_manber_finds_every_occurrence():
             for n in range(rng.randint(0, 4))
         ]
         words = [rng.choice(letters) for _ in range(rng.randint(0, 30))]
-        hashes = WordHashes().of(words)
+        documents = Words([[b"a"], words, [], [b"b"]], WordHashes())
         got = {
             (start, search.length, items[which][0])
             for search in searches([own for _, own in items], 4)
-            for start, which in search.occurrences(words, hashes)
+            for at, start, which in search.occurrences(documents)
+            if at == 1
         }
         want = set()
         for item, own in items:
@@ -133,8 +134,8 @@ def test_eight_megabytes_of_benchmark_stay_small():
     (search,) = searches(texts, 10)
     assert search.nbytes < 90 << 20 and len(pickle.dumps(search)) < 90 << 20
     words = rng.choices(vocabulary, k=30) + texts[77][20:45] + rng.choices(vocabulary, k=30)
-    found = list(search.occurrences(words, WordHashes().of(words)))
-    assert found == [(start, 77) for start in range(30, 46)]
+    found = list(search.occurrences(Words([words[:30], words], WordHashes())))
+    assert found == [(1, start, 77) for start in range(30, 46)]
 
 
 def test_spans_merge():
