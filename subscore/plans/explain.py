@@ -23,6 +23,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from subscore.functions import quoted, sigmoid, vector_item
+from subscore.operators.small import attach, settle
 from subscore.plans.trees import Background, is_boosted, is_forest, tree_attributions
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -93,36 +94,29 @@ def _walks(base: list[list[float]], features: int, orders: int, seed: int) -> li
     return walks
 
 
-def attributions(
-    rows: DataFrame,
-    background: Background,
-    key: Sequence[str],
-    scorers: Scorer | Mapping[str, Scorer],
-    orders: int = 1,
-    seed: int = 0,
-    partitions: int | None = None,
+def _numbered(rows: DataFrame, features: Sequence[str], key: Sequence[str]) -> DataFrame:
+    """(_key0..., _own): the keys under names that clash with nothing, the features as an array."""
+    return rows.select(
+        *[F.col(quoted(name)).alias(f"_key{i}") for i, name in enumerate(key)],
+        F.array(*[F.col(quoted(name)).cast("double") for name in features]).alias("_own"),
+    )
+
+
+def _scored_points(
+    numbered: DataFrame,
+    features: Sequence[str],
+    keys: Sequence[str],
+    walks: list[dict],
+    scorers: Mapping[str, Scorer],
+    kept: Sequence[str] = (),
 ) -> DataFrame:
-    """(model,) key..., feature, value, attribution for every row, feature and scorer.
+    """(keys, kept..., _gained, _lost, scores): all points of the walks of each row, scored.
 
-    ``scorers`` is a function that adds a ``score`` column, or several by name; all of them
-    score the same points. The attributions of a row add up to its score less the
-    background's mean score. A key that comes twice fails. ``partitions`` spreads a short
-    table of rows, which otherwise stays in the few tasks it comes from.
+    ``_gained`` is the feature that the step to a point switched, ``_lost`` that of the next
+    step. ``kept`` are numbers of a walk to keep with its points.
     """
-    features, key = background.features, list(key)
-    if not background.rows:
-        raise ValueError("the background has no rows")
-    named = scorers if isinstance(scorers, Mapping) else {"": scorers}
-    walks = _walks(background.rows, len(features), orders, seed)
-    weight = 1.0 / len(walks)
-    keys = [f"_key{i}" for i in range(len(key))]
-    numbered = rows.select(
-        *[F.col(quoted(name)).alias(made) for name, made in zip(key, keys, strict=True)],
-        F.array(*[F.col(quoted(name)).cast("double") for name in features]).alias("_own"),
-    )
-    if partitions is not None:
-        numbered = numbered.repartition(partitions, *keys)
-    walk = "array<struct<base:array<double>,path:array<int>,place:array<int>>>"
+    more = "".join(f",{name}:int" for name in kept)
+    walk = f"array<struct<base:array<double>,path:array<int>,place:array<int>{more}>>"
     steps = numbered.withColumn("_walk", F.explode(_literal(walks, walk))).withColumn(
         "_steps", F.filter("_walk.path", lambda i: F.get("_own", i) != F.get("_walk.base", i))
     )
@@ -130,8 +124,10 @@ def attributions(
     points = steps.withColumn("_at", F.explode(F.when(size > 0, F.sequence(F.lit(0), size))))
     gained, lost = F.get("_steps", F.col("_at") - 1), F.get("_steps", F.col("_at"))
     reached = F.coalesce(F.get("_walk.place", gained), F.lit(-1))
+    own = [*keys, *kept]
     points = points.select(
-        *keys, "_own", F.col("_walk.base").alias("_base"), F.col("_walk.place").alias("_place"),
+        *keys, *[F.col(f"_walk.{name}").alias(name) for name in kept], "_own",
+        F.col("_walk.base").alias("_base"), F.col("_walk.place").alias("_place"),
         gained.alias("_gained"), lost.alias("_lost"), reached.alias("_reached"),
     )
     # Mixed as an array: one expression per feature would compile to a method too long
@@ -142,16 +138,46 @@ def attributions(
             F.get("_base", i)
         ),
     )
-    scored = points.select(*keys, "_gained", "_lost", switched.alias("_mixed")).select(
-        *keys,
+    scored = points.select(*own, "_gained", "_lost", switched.alias("_mixed")).select(
+        *own,
         "_gained",
         "_lost",
         *[F.get("_mixed", F.lit(i)).alias(name) for i, name in enumerate(features)],
     )
-    sums = [f"_score{i}" for i in range(len(named))]
-    for scorer, made in zip(named.values(), sums, strict=True):
+    for made, scorer in scorers.items():
         before = scored.columns
         scored = scorer(scored).select(*map(quoted, before), F.col("score").alias(made))
+    return scored
+
+
+def attributions(
+    rows: DataFrame,
+    background: Background,
+    key: Sequence[str],
+    scorers: Scorer | Mapping[str, Scorer],
+    orders: int = 1,
+    seed: int = 0,
+    partitions: int | None = None,
+) -> DataFrame:
+    """(model,) key..., feature, value, attribution for every row, feature and scorer.
+
+    ``scorers`` is a function that adds a ``score`` column, or several by name; all of them
+    score the same points. The attributions of a row add up to its score less the
+    background's mean score. A key that comes twice fails. ``partitions`` spreads a short
+    table of rows, which otherwise stays in the few tasks it comes from.
+    """
+    features, key = background.features, list(key)
+    if not background.rows:
+        raise ValueError("the background has no rows")
+    named = scorers if isinstance(scorers, Mapping) else {"": scorers}
+    walks = _walks(background.rows, len(features), orders, seed)
+    weight = 1.0 / len(walks)
+    keys = [f"_key{i}" for i in range(len(key))]
+    numbered = _numbered(rows, features, key)
+    if partitions is not None:
+        numbered = numbered.repartition(partitions, *keys)
+    sums = [f"_score{i}" for i in range(len(named))]
+    scored = _scored_points(numbered, features, keys, walks, dict(zip(sums, named.values(), strict=True)))
     nothing = F.lit(None).cast("double")
 
     def effect(feature: str, sign: float) -> Column:
@@ -203,6 +229,97 @@ def attributions(
     return found.select(*kept, each).select("model", *kept, "attribution")
 
 
+def attributions_within(
+    rows: DataFrame,
+    background: Background,
+    key: Sequence[str],
+    scorer: Scorer,
+    tolerance: float,
+    orders: int = 4,
+    rounds: int = 6,
+    seed: int = 0,
+) -> DataFrame:
+    """key..., feature, value, attribution, error: sampled until the error is small enough.
+
+    An order and its reverse give one estimate of each effect, and every background row has
+    ``orders`` of them at first. ``error`` is the standard error of the attribution: from the
+    variance of the estimates about their mean, background row by background row, as the rows
+    themselves are all met alike. Rows with an error above ``tolerance`` in any feature are walked again, each
+    time twice as often as before and by new orders, for ``rounds`` rounds at most; counts, means
+    and squares of all rounds are merged. What has reached the tolerance is scored no more.
+
+    The error is itself an estimate: where the orders drawn happen to agree, few of them can state
+    too small a one, so ``orders`` should grow with the number of features that act together.
+
+    As :func:`attributions`, with one shuffle per round: everything of a row meets in one task.
+    A key that comes twice counts as one row walked twice as often.
+    """
+    features, key = background.features, list(key)
+    if not background.rows:
+        raise ValueError("the background has no rows")
+    if orders < 2:
+        raise ValueError(f"an error takes two orders or more, got {orders}")
+    keys = [f"_key{i}" for i in range(len(key))]
+    numbered = _numbered(rows, features, key)
+    own = settle(numbered.select(*keys, F.posexplode("_own").alias("_feature", "value")))
+    todo, known = numbered, None
+    for number in range(rounds):
+        walks = []
+        for base, row in enumerate(background.rows):
+            pairs = _walks([row], len(features), orders << number, hash((seed, number, base)) & 0x7FFFFFFF)
+            walks += [walk | {"_background": base, "_pair": at // 2} for at, walk in enumerate(pairs)]
+        scored = _scored_points(todo, features, keys, walks, {"_score": scorer}, ["_background", "_pair"])
+        # Dealt by the key once: both sums below find a row's points in one place.
+        effect = lambda feature, sign: F.struct(
+            F.col(feature).alias("_feature"), (F.col("_score") * (sign / 2)).alias("_effect")
+        )
+        parts = scored.select(
+            *keys, "_background", "_pair", F.inline(F.array(effect("_gained", 1.0), effect("_lost", -1.0)))
+        ).where("_feature IS NOT NULL")
+        estimates = parts.repartition(*keys).groupBy(*keys, "_feature", "_background", "_pair").agg(
+            F.sum("_effect").alias("_effect")
+        )
+        found = estimates.groupBy(*keys, "_feature", "_background").agg(
+            F.count("*").alias("_n"), F.avg("_effect").alias("_mean"), (F.var_pop("_effect") * F.count("*")).alias("_m2")
+        )
+        known = settle(found if known is None else _pooled(known.unionByName(found), [*keys, "_feature", "_background"]))
+        share = 1.0 / len(background.rows)
+        errors = known.groupBy(*keys, "_feature").agg(
+            (F.sum("_mean") * share).alias("attribution"),
+            (F.sqrt(F.sum(F.col("_m2") / (F.col("_n") * (F.col("_n") - 1)))) * share).alias("error"),
+        )
+        if number + 1 < rounds:
+            open_rows = settle(errors.where(F.col("error") > tolerance).select(*keys).distinct())
+            if open_rows.isEmpty():
+                break
+            todo = attach(numbered, open_rows, keys)
+    names = _literal(features, "array<string>")
+    # A feature that no background row differs in has no effect, without any error.
+    joined = attach(own, settle(errors), [*keys, "_feature"], "left")
+    return joined.select(
+        *[F.col(made).alias(name) for made, name in zip(keys, key, strict=True)],
+        F.get(names, F.col("_feature")).alias("feature"),
+        "value",
+        F.coalesce("attribution", F.lit(0.0)).alias("attribution"),
+        F.coalesce("error", F.lit(0.0)).alias("error"),
+    )
+
+
+def _pooled(parts: DataFrame, by: list[str]) -> DataFrame:
+    """Counts, means and squared distances of several samples as those of all of them together."""
+    n, mean = F.sum("_n"), F.sum(F.col("_n") * F.col("_mean")) / F.sum("_n")
+    listed = F.collect_list(F.struct("_n", "_mean", "_m2"))
+    merged = parts.groupBy(*by).agg(n.alias("_all"), mean.alias("_middle"), listed.alias("_parts"))
+    distance = F.aggregate(
+        "_parts",
+        F.lit(0.0),
+        lambda total, part: total
+        + part["_m2"]
+        + part["_n"] * (part["_mean"] - F.col("_middle")) * (part["_mean"] - F.col("_middle")),
+    )
+    return merged.select(*by, F.col("_all").alias("_n"), F.col("_middle").alias("_mean"), distance.alias("_m2"))
+
+
 def explain_model(
     model: PipelineModel,
     data: DataFrame,

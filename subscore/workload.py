@@ -43,6 +43,7 @@ from subscore.operators.split import first_rows, random_split, split_by_key, uni
 from subscore.plans.evaluate import evaluate_models
 from subscore.plans.explain import (
     attributions,
+    attributions_within,
     class_probability,
     explain_model,
     explain_models,
@@ -1339,6 +1340,51 @@ def attribution_curved(spark, sf_dir):
     return found.withColumn("attribution", F.round("attribution", 6) + 0.0)
 
 
+PRODUCT = ["balance", "number", "nation"]
+
+
+@query(
+    "attribution_error",
+    """WITH c AS (SELECT c_custkey AS key, c_acctbal::DOUBLE / 1000 AS balance, (c_custkey % 97)::DOUBLE / 10 AS number,
+            c_nationkey::DOUBLE AS nation FROM customer),
+        base AS (SELECT balance AS a, number AS b, nation AS c FROM c ORDER BY md5('7|' || key), key LIMIT 10),
+        effects AS ("""
+    + " UNION ALL ".join(
+        f"SELECT key, '{f}' AS feature, {f} AS value, avg(0.7182818284 * ({f} - {m}) "
+        f"* ({g} * {h} / 3 + ({g} * {q} + {p} * {h}) / 6 + {p} * {q} / 3)) AS exact FROM c, base GROUP BY key, {f}"
+        for f, m, g, p, h, q in [
+            ("balance", "a", "number", "b", "nation", "c"),
+            ("number", "b", "balance", "a", "nation", "c"),
+            ("nation", "c", "balance", "a", "number", "b"),
+        ]
+    )
+    + """) SELECT key, feature, value, coalesce(nullif(round(exact, 6), 0), 0) AS exact, true AS within, true AS precise
+        FROM effects"""
+)
+def attribution_error(spark, sf_dir):
+    """Sampled attributions of a product of three numbers: the stated errors hold and are small."""
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("key"),
+        (F.col("c_acctbal").cast("double") / 1000).alias("balance"),
+        ((F.col("c_custkey") % 97).cast("double") / 10).alias("number"),
+        F.col("c_nationkey").cast("double").alias("nation"),
+    )
+
+    def scorer(df: DataFrame) -> DataFrame:
+        product = F.col("balance") * F.col("number") * F.col("nation")
+        return df.withColumn("score", product * 0.7182818284)
+
+    background = sample_background(customers, PRODUCT, ["key"], 10, seed=7)
+    tolerance = 6.0
+    found = attributions_within(customers, background, ["key"], scorer, tolerance, orders=16)
+    exact = by_subsets(customers, "key", background, scorer)
+    off = F.abs(F.col("attribution") - F.col("exact"))
+    return found.join(exact, ["key", "feature"]).select(
+        "key", "feature", "value", (F.round("exact", 6) + 0.0).alias("exact"),
+        (off <= 6 * F.col("error") + 1e-9).alias("within"), (F.col("error") <= tolerance).alias("precise"),
+    )
+
+
 def usable_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare(spread(raw_orders(spark, sf_dir)), ORDERS)
 

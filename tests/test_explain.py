@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from subscore.plans.explain import (
     Background,
+    _pooled,
     attributions,
+    attributions_within,
     class_probability,
     explain_model,
     explain_models,
@@ -259,3 +261,46 @@ def test_forests_are_explained_by_their_leaves(tree_models):
             assert sums == pytest.approx(scores, abs=1e-9)
     with pytest.raises(ValueError, match="margin"):
         explain_models(models, some, background, ["k"], boosted="class")
+
+
+def test_sampling_stops_where_the_error_is_small(spark, points):
+    """Three features that act together: errors are told, and only rows that need it are walked on."""
+    background = background_of(points.where("k < 6"))
+    seen = []
+
+    def scorer(df):
+        seen.append(df)
+        return df.withColumn("score", F.col("a") * F.col("b") * F.col("`c.d`") * 10)
+
+    def by_hand(row):
+        score = lambda x: x[0] * x[1] * x[2] * 10
+        return np.mean([by_all_subsets(score, row, base) for base in background.rows], axis=0)
+
+    def within(limit):
+        found = attributions_within(points, background, ["k"], scorer, limit, orders=14, rounds=2)
+        return {(r.k, r.feature): r for r in found.collect()}
+
+    loose = within(1e9)
+    tight = within(float(np.median([r.error for r in loose.values() if r.error > 0])))
+    assert len(loose) == len(tight) == 90 and len(seen) > 2
+    assert sum(tight[at].error < loose[at].error for at in tight) > 20
+    assert any(tight[at].error == loose[at].error > 0 for at in tight)  # small enough at first
+    for row in points.collect():
+        for name, effect in zip(FEATURES, by_hand([float(x) for x in row[1:]])):
+            for found in (loose, tight):
+                got = found[row.k, name]
+                assert got.value == float(row[name]) and abs(got.attribution - effect) <= 6 * got.error + 1e-9
+    # Effects of pairs are exact by an order and its reverse, so there is no error.
+    exact = attributions_within(points, background, ["k"], product_scorer, 0.0, orders=2, rounds=3).collect()
+    assert max(r.error for r in exact) < 1e-12
+    with pytest.raises(ValueError, match="two orders"):
+        attributions_within(points, background, ["k"], scorer, 1.0, orders=1)
+
+
+def test_pooled_samples(spark):
+    samples = [[1.0, 2.0, 4.0], [8.0, 9.0], [3.0]]
+    rows = [("x", len(s), float(np.mean(s)), float(np.var(s) * len(s))) for s in samples]
+    found = _pooled(spark.createDataFrame(rows, "k string, _n long, _mean double, _m2 double"), ["k"]).first()
+    every = np.concatenate(samples)
+    assert (found._n, found._mean) == (6, pytest.approx(every.mean()))
+    assert found._m2 == pytest.approx(every.var() * 6)
