@@ -235,8 +235,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept AS (
       SELECT *, max(page_id) OVER (PARTITION BY html) AS latest FROM payloads)
     SELECT page_id, n::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
-      CASE WHEN n >= 1000 AND latest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-      CASE WHEN n >= 1000 AND latest <> page_id THEN latest END AS refers_to
+      CASE WHEN n >= 1000 AND latest IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN n >= 1000 AND latest IS DISTINCT FROM page_id THEN latest END AS refers_to
     FROM kept""",
 )
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
