@@ -33,9 +33,9 @@ def byte_letters() -> dict[str, int]:
 
 
 class Bpe:
-    """A vocabulary with its merges. Encoded words are remembered up to a bounded number (some 50 MB)."""
+    """A vocabulary with its merges. Encoded words are remembered up to a bounded number (some 200 MB)."""
 
-    def __init__(self, file: bytes, remembered: int = 50_000):
+    def __init__(self, file: bytes, remembered: int = 200_000):
         described = json.loads(file)
         letters = byte_letters()
         vocab = described["model"]["vocab"]
