@@ -2,7 +2,8 @@
 
 A log is a folder of segments, files of JSON lines whose names tell the number of their first
 message and how many they hold. A listing is therefore all it takes to know what there is: no
-file is opened to plan a batch. Segments are written whole and never change.
+file is opened to plan a batch. Segments are written whole, appear in the order of their numbers
+and never change, so that a stream that lists the folder meanwhile never finds a gap.
 """
 
 from __future__ import annotations
@@ -66,11 +67,17 @@ def append_messages(
     """Add the messages in column ``value`` to a log, in the order of ``order``; the log's new end.
 
     Numbers go on from the log's end, without gaps. They are counted over ranges of ``order``,
-    which must be distinct, and each segment is written by one task, whole or not at all: a
-    task that runs again replaces its own segment by the same. One writer at a time. NULL
-    messages are written as empty ones; line breaks within a message are not allowed.
+    which must be distinct, and each segment is written by one task, as a file that no reader
+    looks at: a task that runs again replaces its own segment by the same. Once all are there, they
+    get their names one after the other, so a stream on the log reads up to the last one named, and
+    an append that fails adds nothing. One writer at a time. NULL messages are written as empty
+    ones; line breaks within a message are not allowed.
     """
     start = end_of(uri)
+
+    def named(folder: str, first: int, count: int) -> str:
+        return f"{folder}/{start + first:020d}-{count:010d}.jsonl"
+
     keyed = messages.select(F.struct(*order).alias("_order"), F.col(value).cast("string").alias("value"), F.lit(1).alias("n"))
     numbered = running_sums(keyed, [], "_order", ["n"]).select(
         F.col("before_n").alias("offset"), F.floor(F.col("before_n") / segment).alias("segment"), "value"
@@ -87,10 +94,9 @@ def append_messages(
             lines = [text or "" for text in table.column("value").to_pylist()]
             if any("\n" in line for line in lines):
                 raise ValueError("a message holds a line break")
-            name = f"{folder}/{start + table.column('offset')[0].as_py():020d}-{len(lines):010d}.jsonl"
+            name = named(folder, table.column("offset")[0].as_py(), len(lines))
             with system.open_output_stream(name + ".part", compression=None) as out:
                 out.write("".join(line + "\n" for line in lines).encode())
-            system.move(name + ".part", name)
             held.clear()
             return pa.RecordBatch.from_pylist([{"count": len(lines)}])
 
@@ -109,6 +115,10 @@ def append_messages(
             yield flush()
 
     written = dealt.mapInArrow(write, "count long").agg(F.sum("count")).first()[0] or 0
+    system, folder = _open(uri)
+    for first in range(0, written, segment):
+        name = named(folder, first, min(segment, written - first))
+        system.move(name + ".part", name)
     return start + written
 
 

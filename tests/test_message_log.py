@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from subscore.plans.models import build_pipeline
 from subscore.plans.prepare import TableSpec
+from subscore.sources import message_log
 from subscore.sources.message_log import append_messages, end_of, register_message_log, segments
 from subscore.sources.messages import message_stream
 from subscore.sources.model_store import load_version, newest_version, publish_model, versions
@@ -88,6 +89,37 @@ def test_unfinished_segments_are_not_read(spark, tmp_path):
     assert read(spark, str(log), str(tmp_path / "c"), str(tmp_path / "o")) == expected(0, 5)
 
 
+def test_segments_appear_in_order_once_all_are_written(spark, tmp_path, monkeypatch):
+    """A stream lists the log while it is written: it must never find a later message without the earlier."""
+    log = str(tmp_path / "log")
+    rows = [(n, "a\nb" if n == 30 else f"m{n}") for n in range(50)]
+    with pytest.raises(Exception, match="line break"):
+        append_messages(spark.createDataFrame(rows, "k int, value string"), log, ["k"], segment=7)
+    assert end_of(log) == 0 and segments(log) == []  # segments that were written before are not seen
+    seen, opened = [], message_log._open
+
+    class Watched:
+        def __init__(self, system):
+            self.system = system
+
+        def __getattr__(self, name):
+            if name == "move":
+                monkeypatch.setattr(message_log, "_open", opened)
+                seen.append([(s.first, s.last) for s in segments(log)])
+                monkeypatch.setattr(message_log, "_open", watched)
+            return getattr(self.system, name)
+
+    def watched(uri):
+        system, path = opened(uri)
+        return Watched(system), path
+
+    monkeypatch.setattr(message_log, "_open", watched)
+    assert append(spark, log, 0, 50) == 50
+    every = [(n, min(n + 7, 50)) for n in range(0, 50, 7)]
+    assert seen == [every[:n] for n in range(len(every))]
+    assert read(spark, log, str(tmp_path / "c"), str(tmp_path / "o")) == expected(0, 50)
+
+
 SPEC = TableSpec(key="k", label="y", types={"x": "double"}, options={}, label_values={"1": 1, "0": 0})
 
 
