@@ -28,6 +28,10 @@ from subscore.plans.trees import Background, is_boosted, is_forest, tree_attribu
 
 Scorer = Callable[[DataFrame], DataFrame]
 
+#: Up to so many features get an expression each. That is compiled as a whole and much faster than
+#: arrays; with more of them, methods become too long for the JVM to optimise.
+NARROW = 12
+
 
 def sample_background(
     df: DataFrame, features: Sequence[str], key: Sequence[str], n: int, seed: int = 0
@@ -115,6 +119,9 @@ def _scored_points(
     ``_gained`` is the feature that the step to a point switched, ``_lost`` that of the next
     step. ``kept`` are numbers of a walk to keep with its points.
     """
+    if len(features) <= NARROW:
+        points = _narrow_points(numbered, features, keys, walks, kept)
+        return _scored(points.drop("_own"), scorers)
     more = "".join(f",{name}:int" for name in kept)
     walk = f"array<struct<base:array<double>,path:array<int>,place:array<int>{more}>>"
     steps = numbered.withColumn("_walk", F.explode(_literal(walks, walk))).withColumn(
@@ -144,10 +151,125 @@ def _scored_points(
         "_lost",
         *[F.get("_mixed", F.lit(i)).alias(name) for i, name in enumerate(features)],
     )
+    return _scored(scored, scorers)
+
+
+def _scored(points: DataFrame, scorers: Mapping[str, Scorer]) -> DataFrame:
     for made, scorer in scorers.items():
-        before = scored.columns
-        scored = scorer(scored).select(*map(quoted, before), F.col("score").alias(made))
-    return scored
+        before = points.columns
+        points = scorer(points).select(*map(quoted, before), F.col("score").alias(made))
+    return points
+
+
+def _narrow_points(
+    numbered: DataFrame,
+    features: Sequence[str],
+    keys: Sequence[str],
+    walks: list[dict],
+    kept: Sequence[str] = (),
+    marked: bool = False,
+) -> DataFrame:
+    """(keys, kept..., _own, _gained, _lost, features...): the points of :func:`_scored_points`, not yet scored.
+
+    Which places of a walk switch a feature are the bits of a number. With ``marked``, each row
+    first has a point of its own that neither gains nor loses a feature.
+    """
+    n = len(features)
+    more = "".join(f",{name}:int" for name in kept)
+    walk = f"array<struct<base:array<double>,path:array<int>,place:array<int>,first:int{more}>>"
+    listed = [entry | {"first": int(at == 0)} for at, entry in enumerate(walks)]
+    steps = numbered.select(*keys, "_own", F.explode(_literal(listed, walk)).alias("_walk"))
+    own = [F.get("_own", F.lit(i)) for i in range(n)]
+    base, place = ([F.get(f"_walk.{name}", F.lit(i)) for i in range(n)] for name in ("base", "place"))
+    bits = F.lit(0)
+    for i in range(n):
+        bits = bits + F.when(own[i] != base[i], F.call_function("shiftleft", F.lit(1), place[i])).otherwise(0)
+    steps = steps.select(*keys, "_own", "_walk", bits.alias("_bits"))
+    at, switched = F.col("_at"), F.col("_bits")
+    here = (at > 0) & (F.call_function("shiftright", switched, at - 1).bitwiseAND(1) == 1)
+    wanted = (switched != 0) & ((at == 0) | here)
+    if marked:
+        wanted = wanted | ((at == -1) & (F.col("_walk.first") == 1))
+    places = F.array(*[F.lit(i) for i in range(-1 if marked else 0, n + 1)])
+    points = steps.withColumn("_at", F.explode(places)).where(wanted)
+    rest = F.when(at >= 0, F.call_function("shiftright", switched, at)).otherwise(0)
+    # The lowest bit that is left is the next step.
+    following = at + F.bit_count(rest.bitwiseAND(-rest) - 1)
+    return points.select(
+        *keys, *[F.col(f"_walk.{name}").alias(name) for name in kept], "_own",
+        F.when(at > 0, F.get("_walk.path", at - 1)).alias("_gained"),
+        F.when(rest != 0, F.get("_walk.path", following)).alias("_lost"),
+        *[F.when(place[i] < at, own[i]).otherwise(base[i]).alias(name) for i, name in enumerate(features)],
+    )
+
+
+def _narrow_sums(
+    numbered: DataFrame,
+    features: Sequence[str],
+    keys: Sequence[str],
+    walks: list[dict],
+    scorers: Mapping[str, Scorer],
+) -> DataFrame:
+    """(keys, _feature, value, _rows, scores): the summed effects of each row, which is read once and sent once."""
+    points = _narrow_points(numbered, features, keys, walks, marked=True)
+    own = [F.get("_own", F.lit(i)).alias(f"_own{i}") for i in range(len(features))]
+    mark = F.col("_gained").isNull() & F.col("_lost").isNull()
+    points = points.select(*keys, *own, mark.cast("int").alias("_mark"), "_gained", "_lost", *map(quoted, features))
+    weight = 1.0 / len(walks)
+    sums = [F.sum("_mark").alias("_rows")]
+    for i in range(len(features)):
+        sign = F.when(F.col("_gained") == i, weight).when(F.col("_lost") == i, -weight).otherwise(0.0)
+        sums.append(F.max(F.when(F.col("_mark") == 1, F.col(f"_own{i}"))).alias(f"_own{i}"))
+        # A score that is missing matters only to the features it belongs to.
+        sums += [F.sum(F.when(sign != 0, F.col(made) * sign).otherwise(0.0)).alias(f"{made}_{i}") for made in scorers]
+    each = [
+        F.struct(
+            F.lit(i).alias("_feature"), F.col(f"_own{i}").alias("value"), *[F.col(f"{made}_{i}").alias(made) for made in scorers]
+        )
+        for i in range(len(features))
+    ]
+    return _scored(points, scorers).groupBy(*keys).agg(*sums).select(*keys, "_rows", F.inline(F.array(*each)))
+
+
+def _wide_sums(
+    numbered: DataFrame,
+    features: Sequence[str],
+    keys: Sequence[str],
+    walks: list[dict],
+    scorers: Mapping[str, Scorer],
+) -> DataFrame:
+    """As :func:`_narrow_sums`, for any number of features: a row for each effect."""
+    sums, weight, nothing = list(scorers), 1.0 / len(walks), F.lit(None).cast("double")
+
+    def effect(feature: str, sign: float) -> Column:
+        return F.struct(
+            F.col(feature).alias("_feature"),
+            nothing.alias("value"),
+            F.lit(0).alias("_rows"),
+            *[(F.col(made) * (sign * weight)).alias(made) for made in sums],
+        )
+
+    effects = (
+        _scored_points(numbered, features, keys, walks, scorers)
+        .select(*keys, F.inline(F.array(effect("_gained", 1.0), effect("_lost", -1.0))))
+        .where(F.col("_feature").isNotNull())
+    )
+    # Every feature of every row appears, also those that no walk changes.
+    own_values = numbered.select(
+        *keys,
+        F.posexplode("_own").alias("_feature", "value"),
+        F.lit(1).alias("_rows"),
+        *[F.lit(0.0).alias(made) for made in sums],
+    )
+    return (
+        effects.unionByName(own_values)
+        .groupBy(*keys, "_feature")
+        .agg(
+            F.max("value").alias("value"),
+            F.sum("_rows").alias("_rows"),
+            *[F.sum(made).alias(made) for made in sums],
+        )
+    )
 
 
 def attributions(
@@ -171,49 +293,21 @@ def attributions(
         raise ValueError("the background has no rows")
     named = scorers if isinstance(scorers, Mapping) else {"": scorers}
     walks = _walks(background.rows, len(features), orders, seed)
-    weight = 1.0 / len(walks)
     keys = [f"_key{i}" for i in range(len(key))]
     numbered = _numbered(rows, features, key)
     if partitions is not None:
         numbered = numbered.repartition(partitions, *keys)
     sums = [f"_score{i}" for i in range(len(named))]
-    scored = _scored_points(numbered, features, keys, walks, dict(zip(sums, named.values(), strict=True)))
-    nothing = F.lit(None).cast("double")
-
-    def effect(feature: str, sign: float) -> Column:
-        return F.struct(
-            F.col(feature).alias("_feature"),
-            nothing.alias("value"),
-            F.lit(0).alias("_rows"),
-            *[(F.col(made) * (sign * weight)).alias(made) for made in sums],
-        )
-
-    effects = scored.select(
-        *keys, F.inline(F.array(effect("_gained", 1.0), effect("_lost", -1.0)))
-    ).where(F.col("_feature").isNotNull())
-    # Every feature of every row appears, also those that no walk changes.
-    own_values = numbered.select(
-        *keys,
-        F.posexplode("_own").alias("_feature", "value"),
-        F.lit(1).alias("_rows"),
-        *[F.lit(0.0).alias(made) for made in sums],
-    )
+    sized = dict(zip(sums, named.values(), strict=True))
+    narrow = len(features) <= NARROW
+    summed = (_narrow_sums if narrow else _wide_sums)(numbered, features, keys, walks, sized)
     twice = F.raise_error(F.lit(f"more than one row has the same {', '.join(key)}")).cast("double")
     names = _literal(features, "array<string>")
-    found = (
-        effects.unionByName(own_values)
-        .groupBy(*keys, "_feature")
-        .agg(
-            F.max("value").alias("value"),
-            F.sum("_rows").alias("_rows"),
-            *[F.sum(made).alias(made) for made in sums],
-        )
-        .select(
-            *[F.col(made).alias(name) for made, name in zip(keys, key, strict=True)],
-            F.get(names, F.col("_feature")).alias("feature"),
-            F.when(F.col("_rows") > 1, twice).otherwise(F.col("value")).alias("value"),
-            *sums,
-        )
+    found = summed.select(
+        *[F.col(made).alias(name) for made, name in zip(keys, key, strict=True)],
+        F.get(names, F.col("_feature")).alias("feature"),
+        F.when(F.col("_rows") > 1, twice).otherwise(F.col("value")).alias("value"),
+        *sums,
     )
     kept = [*map(quoted, key), "feature", "value"]
     if not isinstance(scorers, Mapping):
@@ -251,7 +345,8 @@ def attributions_within(
     The error is itself an estimate: where the orders drawn happen to agree, few of them can state
     too small a one, so ``orders`` should grow with the number of features that act together.
 
-    As :func:`attributions`, with one shuffle per round: everything of a row meets in one task.
+    Each round sends the rows that are still open once, before they are walked; points stay in
+    their task. Orders that are drawn more than once are walked once and counted.
     A key that comes twice counts as one row walked twice as often.
     """
     features, key = background.features, list(key)
@@ -262,40 +357,49 @@ def attributions_within(
     keys = [f"_key{i}" for i in range(len(key))]
     numbered = _numbered(rows, features, key)
     own = settle(numbered.select(*keys, F.posexplode("_own").alias("_feature", "value")))
-    todo, known = numbered, None
+    todo, known, final = numbered, None, []
     for number in range(rounds):
         walks = []
         for base, row in enumerate(background.rows):
-            pairs = _walks([row], len(features), orders << number, hash((seed, number, base)) & 0x7FFFFFFF)
-            walks += [walk | {"_background": base, "_pair": at // 2} for at, walk in enumerate(pairs)]
-        scored = _scored_points(todo, features, keys, walks, {"_score": scorer}, ["_background", "_pair"])
-        # Dealt by the key once: both sums below find a row's points in one place.
+            drawn = _walks([row], len(features), orders << number, hash((seed, number, base)) & 0x7FFFFFFF)
+            walks += _different_pairs(drawn, base)
+        # Dealt by the key before anything is walked: rows are sent, their points never are.
+        dealt = todo.repartition(*keys)
+        scored = _scored_points(dealt, features, keys, walks, {"_score": scorer}, ["_background", "_pair", "_drawn"])
         effect = lambda feature, sign: F.struct(
             F.col(feature).alias("_feature"), (F.col("_score") * (sign / 2)).alias("_effect")
         )
         parts = scored.select(
-            *keys, "_background", "_pair", F.inline(F.array(effect("_gained", 1.0), effect("_lost", -1.0)))
+            *keys, "_background", "_pair", "_drawn", F.inline(F.array(effect("_gained", 1.0), effect("_lost", -1.0)))
         ).where("_feature IS NOT NULL")
-        estimates = parts.repartition(*keys).groupBy(*keys, "_feature", "_background", "_pair").agg(
-            F.sum("_effect").alias("_effect")
+        estimates = parts.groupBy(*keys, "_feature", "_background", "_pair").agg(
+            F.max("_drawn").cast("long").alias("_n"), F.sum("_effect").alias("_mean"), F.lit(0.0).alias("_m2")
         )
-        found = estimates.groupBy(*keys, "_feature", "_background").agg(
-            F.count("*").alias("_n"), F.avg("_effect").alias("_mean"), (F.var_pop("_effect") * F.count("*")).alias("_m2")
-        )
-        known = settle(found if known is None else _pooled(known.unionByName(found), [*keys, "_feature", "_background"]))
+        by = [*keys, "_feature", "_background"]
+        found = _pooled(estimates.drop("_pair"), by)
+        known = settle(found if known is None else _pooled(known.unionByName(found), by))
         share = 1.0 / len(background.rows)
-        errors = known.groupBy(*keys, "_feature").agg(
-            (F.sum("_mean") * share).alias("attribution"),
-            (F.sqrt(F.sum(F.col("_m2") / (F.col("_n") * (F.col("_n") - 1)))) * share).alias("error"),
+        errors = settle(
+            known.groupBy(*keys, "_feature").agg(
+                (F.sum("_mean") * share).alias("attribution"),
+                (F.sqrt(F.sum(F.col("_m2") / (F.col("_n") * (F.col("_n") - 1)))) * share).alias("error"),
+            )
         )
         if number + 1 < rounds:
             open_rows = settle(errors.where(F.col("error") > tolerance).select(*keys).distinct())
-            if open_rows.isEmpty():
-                break
-            todo = attach(numbered, open_rows, keys)
+            if not open_rows.isEmpty():
+                # What is known of the others is final; it is neither read nor merged again.
+                final.append(attach(errors, open_rows, keys, "left_anti"))
+                todo, known = attach(numbered, open_rows, keys), attach(known, open_rows, keys)
+                continue
+        final.append(errors)
+        break
+    errors = final[0]
+    for more in final[1:]:
+        errors = errors.unionByName(more)
     names = _literal(features, "array<string>")
     # A feature that no background row differs in has no effect, without any error.
-    joined = attach(own, settle(errors), [*keys, "_feature"], "left")
+    joined = attach(own, errors if len(final) == 1 else settle(errors), [*keys, "_feature"], "left")
     return joined.select(
         *[F.col(made).alias(name) for made, name in zip(keys, key, strict=True)],
         F.get(names, F.col("_feature")).alias("feature"),
@@ -305,6 +409,22 @@ def attributions_within(
     )
 
 
+def _different_pairs(walks: list[dict], background: int) -> list[dict]:
+    """Each different order once with its reverse, ``_drawn`` telling how often the two were drawn.
+
+    An order and its reverse give the same estimate whichever comes first and however often, so few
+    features need few walks, whatever the number of orders.
+    """
+    pairs: dict[tuple, list[dict]] = {}
+    for forth, back in zip(walks[::2], walks[1::2], strict=True):
+        pairs.setdefault(min(tuple(forth["path"]), tuple(back["path"])), []).append((forth, back))
+    return [
+        walk | {"_background": background, "_pair": number, "_drawn": len(drawn)}
+        for number, drawn in enumerate(pairs.values())
+        for walk in drawn[0]
+    ]
+
+
 def _pooled(parts: DataFrame, by: list[str]) -> DataFrame:
     """Counts, means and squared distances of several samples as those of all of them together."""
     n, mean = F.sum("_n"), F.sum(F.col("_n") * F.col("_mean")) / F.sum("_n")

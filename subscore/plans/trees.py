@@ -137,6 +137,12 @@ class _Explainer:
         self.length = leaves.feature.shape[1]
         self.last, self.first = _shares(self.length)
         self.known: dict[int, np.ndarray] = {}
+        #: The limits of each feature, rising, and what is known of the cells between them.
+        self.limits = [
+            np.unique([x for ends in (leaves.low, leaves.high) for x in ends[leaves.feature == at] if np.isfinite(x)])
+            for at in range(background.shape[1])
+        ]
+        self.cells: dict[bytes, np.ndarray] = {}
 
     def effect(self, leaf: int, own: np.ndarray) -> np.ndarray:
         """What a leaf adds to the attribution of each feature on its path, given what the row passes."""
@@ -148,7 +154,24 @@ class _Explainer:
         return self.leaves.value[leaf] * share[possible].sum(0) / len(other)
 
     def explain(self, rows: np.ndarray) -> np.ndarray:
-        """(rows x features)."""
+        """(rows x features). Rows between the same limits of all trees pass the same, so one of them is explained."""
+        if not len(rows):
+            return np.zeros(rows.shape)
+        cells = np.empty(rows.shape, np.int32)
+        for at, limits in enumerate(self.limits):
+            cells[:, at] = np.searchsorted(limits, rows[:, at])
+        packed = cells.view(np.dtype((np.void, cells.itemsize * cells.shape[1]))).ravel()
+        different, first, place = np.unique(packed, return_index=True, return_inverse=True)
+        names = [cell.tobytes() for cell in different]
+        new = [at for at, name in enumerate(names) if name not in self.cells]
+        if len(self.cells) + len(new) > 100_000:
+            self.cells.clear()
+            new = range(len(names))
+        for at, found in zip(new, self._explain(rows[first[list(new)]]), strict=True):
+            self.cells[names[at]] = found
+        return np.array([self.cells[name] for name in names]).reshape(-1, rows.shape[1])[place.ravel()]
+
+    def _explain(self, rows: np.ndarray) -> np.ndarray:
         n_leaves = len(self.leaves.value)
         found = np.zeros(rows.shape)
         step = max(1, CELLS // max(1, n_leaves * max(1, self.length)))

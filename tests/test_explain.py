@@ -9,9 +9,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from subscore.plans import explain
 from subscore.plans.explain import (
     Background,
+    _different_pairs,
     _pooled,
+    _walks,
     attributions,
     attributions_within,
     class_probability,
@@ -25,7 +28,7 @@ from subscore.plans.explain import (
 from subscore.plans.models import build_pipeline, fit_models
 from subscore.plans.prepare import prepare
 from subscore.plans.subscribers import SUBSCRIBERS
-from subscore.plans.trees import tree_attributions, tree_leaves
+from subscore.plans.trees import Leaves, _Explainer, tree_attributions, tree_leaves
 
 FEATURES = ["a", "b", "c.d"]
 
@@ -304,3 +307,63 @@ def test_pooled_samples(spark):
     every = np.concatenate(samples)
     assert (found._n, found._mean) == (6, pytest.approx(every.mean()))
     assert found._m2 == pytest.approx(every.var() * 6)
+
+
+def test_few_and_many_features_are_walked_alike(spark, points, monkeypatch):
+    """One expression per feature gives what arrays give, also for missing numbers and equal rows."""
+    rows = points.unionByName(points.where("k < 4").selectExpr("k + 100 AS k", "NULL AS a", "b", "`c.d`"))
+    background = background_of(points.where("k < 5"))
+
+    def twice(df):
+        return df.withColumn("score", F.coalesce(F.col("a"), F.lit(7.0)) * 2 - F.col("b"))
+
+    def found():
+        got = attributions(rows, background, ["k"], {"one": product_scorer, "two": twice}, orders=2)
+        return {(r.model, r.k, r.feature): (r.value, r.attribution) for r in got.collect()}
+
+    narrow = found()
+    monkeypatch.setattr(explain, "NARROW", 0)
+    wide = found()
+    assert narrow.keys() == wide.keys() and len(narrow) == 2 * 34 * 3
+    for at, (value, effect) in narrow.items():
+        assert value == wide[at][0]
+        assert (effect is None) == (wide[at][1] is None)
+        assert effect is None or effect == pytest.approx(wide[at][1], abs=1e-12)
+
+
+def test_equal_orders_are_walked_once():
+    drawn = _walks([[0.0, 0.0, 0.0]], 3, 64, seed=3)
+    walks = _different_pairs(drawn, 5)
+    assert len(drawn) == 128 and len(walks) == 6  # three orders of three features, and their reverses
+    assert sorted(w["path"] for w in walks) == sorted(map(list, itertools.permutations(range(3))))
+    assert sum(w["_drawn"] for w in walks) == 128 and {w["_background"] for w in walks} == {5}
+
+
+def test_points_are_not_shuffled(spark, points, monkeypatch):
+    """Sampling sends rows by their key before they are walked: below a scorer there is one exchange of rows."""
+    plans = []
+
+    def scorer(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return product_scorer(df)
+
+    attributions_within(points, background_of(points.where("k < 3")), ["k"], scorer, 1e9, orders=4)
+    assert len(plans) == 1 and plans[0].index("Generate") < plans[0].index("RepartitionByExpression")
+
+
+def test_rows_between_the_same_limits_are_explained_once():
+    inf = float("inf")
+    leaves = Leaves(
+        np.array([[0, 1], [0, 1], [0, 0]]), np.array([[-inf, -inf], [-inf, 2.0], [1.0, -inf]]),
+        np.array([[1.0, 2.0], [1.0, inf], [inf, inf]]), np.array([1.0, 5.0, -3.0]),
+    )
+    rng = np.random.default_rng(1)
+    rows = np.concatenate([rng.choice([0.0, 1.0, 2.0, 3.0], (500, 2)), [[inf, 0.0], [1.0, inf]]])
+    explainer, seen = _Explainer(leaves, np.array([[0.0, 0.0], [2.0, 3.0]])), []
+    plain = explainer._explain(rows)
+    direct = explainer._explain
+    explainer._explain = lambda some: seen.append(len(some)) or direct(some)
+    for _ in range(2):
+        assert explainer.explain(rows) == pytest.approx(plain, abs=1e-15)
+    assert seen == [4, 0]
+    assert explainer.explain(rows[:0]).shape == (0, 2)
