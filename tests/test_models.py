@@ -4,10 +4,11 @@ import pytest
 from pyspark.ml.feature import StandardScalerModel
 from pyspark.sql import functions as F
 
-from subscore.operators.metrics import class_metrics
+from subscore.operators.metrics import area_under_roc, class_metrics
 from subscore.operators.split import split_by_key
+from subscore.plans import tune
 from subscore.plans.evaluate import evaluate_models
-from subscore.plans.models import build_pipeline
+from subscore.plans.models import TIMES, build_pipeline, counts_rows, fit, fit_models, fold
 from subscore.plans.prepare import prepare
 from subscore.plans.subscribers import SUBSCRIBERS
 from subscore.plans.train import train
@@ -196,3 +197,70 @@ def test_model_comparison(parts, models):
         for row in class_metrics(scored, "Churn").collect():
             assert values[family, row["metric"]] == pytest.approx(row["value"])
         assert values[family, "roc_auc"] > 0.75
+
+
+@pytest.fixture(scope="module")
+def repeated(spark):
+    """Few different rows, each many times, with a constant feature; and the same in counts."""
+    rows = [(float(n % 3), float(n % 2), 1.0, int(n % 7 > 2 + n % 3)) for n in range(840)]
+    return spark.createDataFrame(rows, "a double, `b.b` double, c double, y int").repartition(3).cache()
+
+
+FEW = {"gbdt": {"maxIter": 5, "seed": 1}, "svm": {"regParam": 0.01}, "log_reg": {"regParam": 0.1, "elasticNetParam": 0.3, "tol": 1e-10}}
+
+
+def test_equal_rows_are_fitted_once_and_counted(repeated):
+    plain = repeated.withColumnRenamed("b.b", "b")
+    few = fold(plain, ["a", "b", "c", "y"])
+    assert few.count() <= 12 and few.agg(F.sum(TIMES)).first()[0] == 840
+    assert fold(plain.withColumn("n", F.monotonically_increasing_id()), ["a", "n"]) is None
+    for family, params in FEW.items():
+        pipeline = build_pipeline(family, ["a", "b", "c"], "y", **params)
+        assert counts_rows(pipeline)
+        whole, counted = pipeline.fit(plain), fit(pipeline, few)
+        assert [type(stage) for stage in whole.stages] == [type(stage) for stage in counted.stages]
+        both = [
+            {tuple(r)[:3]: (r.prediction, r.rawPrediction[1]) for r in model.transform(few).collect()}
+            for model in (whole, counted)
+        ]
+        limit = 0.05 if family == "svm" else 1e-4  # an SVM is stopped after 100 steps
+        for at, (prediction, margin) in both[0].items():
+            assert both[1][at] == (prediction, pytest.approx(margin, abs=limit))
+    assert not counts_rows(build_pipeline("rf", ["a"], "y"))
+    assert not counts_rows(build_pipeline("svm", ["a"], "y", scale=False))
+    assert not counts_rows(build_pipeline("gbdt", ["a"], "y", subsamplingRate=0.5))
+
+
+def test_a_scaler_of_counts_is_that_of_the_rows(repeated):
+    plain = repeated.withColumnRenamed("b.b", "b")
+    pipeline = build_pipeline("log_reg", ["a", "b", "c"], "y", regParam=0.1)
+    whole, counted = (model.stages[1] for model in (pipeline.fit(plain), fit(pipeline, fold(plain, ["a", "b", "c", "y"]))))
+    assert list(counted.std) == pytest.approx(list(whole.std), rel=1e-12)
+    assert list(counted.mean) == pytest.approx(list(whole.mean), rel=1e-12)
+
+
+def test_comparison_counts_equal_rows(repeated):
+    plain = repeated.withColumnRenamed("b.b", "b")
+    models = fit_models(plain, {"svm": ("svm", FEW["svm"]), "rf": ("rf", {"numTrees": 3, "seed": 1})}, ["a", "b", "c"], "y")
+    found = {(r.model, r.metric): r.value for r in evaluate_models(models, plain, "y").collect()}
+    for name, model in models.items():
+        scored = model.transform(plain)
+        for metric, value in map(tuple, class_metrics(scored, "y").collect()):
+            assert found[name, metric] == pytest.approx(value, abs=1e-12)
+        assert found[name, "roc_auc"] == pytest.approx(area_under_roc(scored, "y"), abs=1e-12)
+
+
+def test_search_reads_equal_rows_once(repeated, monkeypatch):
+    """With many equal rows each trial is fitted on the different ones; the figures are those of all rows."""
+    plain = repeated.withColumnRenamed("b.b", "b").withColumn("k", F.monotonically_increasing_id())
+    args = (plain, plain, "log_reg", ["a", "b", "c"], "y", {"regParam": Uniform(0.0, 0.3)})
+    options = {"trials": 4, "rungs": (0.5, 1.0), "keys": ["k"], "seed": 2}
+    sizes = []
+    monkeypatch.setattr(tune, "fit", lambda pipeline, rows, params=None: sizes.append(rows.count()) or fit(pipeline, rows, params))
+    counted = search(*args, **options)
+    assert max(sizes) <= 12 * 4
+    monkeypatch.setattr(tune, "fold", lambda rows, columns: None)
+    whole = search(*args, **options)
+    assert (counted.rungs, counted.chosen, counted.reached) == (whole.rungs, whole.chosen, whole.reached)
+    assert [v for _, v in counted.trials] == pytest.approx([v for _, v in whole.trials])
+    assert counted.test == pytest.approx(whole.test)
