@@ -231,6 +231,29 @@ def test_equal_rows_are_fitted_once_and_counted(repeated):
     assert not counts_rows(build_pipeline("gbdt", ["a"], "y", subsamplingRate=0.5))
 
 
+def test_a_folded_table_has_a_part_for_many_rows(repeated):
+    few = fold(repeated.withColumnRenamed("b.b", "b"), ["a", "b", "c", "y"]).persist()
+    assert few.rdd.getNumPartitions() == 1
+    few.unpersist()
+
+
+def test_trials_of_a_search_share_what_is_in_front_of_the_learner(repeated, monkeypatch):
+    """Each trial fits its learner alone; only the winner is fitted as a whole, once more."""
+    plain = repeated.withColumnRenamed("b.b", "b").withColumn("k", F.monotonically_increasing_id())
+    for family, folded in (("log_reg", True), ("log_reg", False), ("rf", False)):
+        stages = []
+        with monkeypatch.context() as patched:
+            patched.setattr(
+                tune, "fit", lambda pipeline, rows, params=None: stages.append(len(pipeline.getStages())) or fit(pipeline, rows, params)
+            )
+            if not folded:
+                patched.setattr(tune, "fold", lambda rows, columns: None)
+            space = {"regParam": Uniform(0.0, 0.3)} if family == "log_reg" else {"numTrees": Choice([3])}
+            found = search(plain, plain, family, ["a", "b", "c"], "y", space, trials=3, keys=["k"])
+        assert stages == [1, 1, 1, 3 if family == "log_reg" else 2]
+        assert len(found.model.stages) == stages[-1]
+
+
 def test_a_scaler_of_counts_is_that_of_the_rows(repeated):
     plain = repeated.withColumnRenamed("b.b", "b")
     pipeline = build_pipeline("log_reg", ["a", "b", "c"], "y", regParam=0.1)
