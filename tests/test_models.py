@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml.feature import StandardScalerModel
 from pyspark.sql import functions as F
 
+from subscore import workload
 from subscore.operators.metrics import area_under_roc, class_metrics
 from subscore.operators.split import split_by_key
 from subscore.plans import tune
@@ -254,6 +255,20 @@ def test_trials_of_a_search_share_what_is_in_front_of_the_learner(repeated, monk
         assert len(found.model.stages) == stages[-1]
 
 
+def test_search_all_tries_every_setting_on_all_rows(spark, monkeypatch):
+    asked = {}
+
+    def record(train, test, features, label, families, **options):
+        asked.update(dict.fromkeys(families, options))
+        return []
+
+    monkeypatch.setattr(workload, "search_families", record)
+    assert workload.search_all(spark, "/root/testdata/sf0.001").count() == 0
+    assert set(asked) == set(SPACES)
+    for options in asked.values():
+        assert options["trials"] == 40 and options["rungs"] == (1.0,) and options.get("spaces") in (None, SPACES)
+
+
 def test_a_scaler_of_counts_is_that_of_the_rows(repeated):
     plain = repeated.withColumnRenamed("b.b", "b")
     pipeline = build_pipeline("log_reg", ["a", "b", "c"], "y", regParam=0.1)
