@@ -8,12 +8,15 @@ and never change, so that a stream that lists the folder meanwhile never finds a
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -25,6 +28,8 @@ from subscore.operators.ranks import running_sums
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SEGMENT = 10_000
+#: A task reads one segment where there are few, up to so many where there are more than ``PARTS``.
+MOST, PARTS = 16, 32
 _NAME = re.compile(r"(\d{20})-(\d{10})\.jsonl$")
 
 
@@ -36,7 +41,7 @@ def _open(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 @dataclass(frozen=True)
-class Segment(InputPartition):
+class Segment:
     """The messages numbered ``first`` up to ``last`` of a file whose own begin at ``base``."""
 
     path: str
@@ -45,6 +50,13 @@ class Segment(InputPartition):
     last: int
 
 
+@dataclass(frozen=True)
+class Run(InputPartition):
+    """Segments that one task reads, one after the other."""
+
+    segments: tuple[Segment, ...]
+
+
 def segments(uri: str) -> list[Segment]:
     """The segments of a log, in the order of their numbers."""
     system, path = _open(uri)
@@ -91,26 +103,22 @@ def append_messages(
 
         def flush() -> pa.RecordBatch:
             table = pa.Table.from_batches(held)
-            lines = [text or "" for text in table.column("value").to_pylist()]
-            if any("\n" in line for line in lines):
+            if pc.any(pc.match_substring(table.column("value"), "\n")).as_py():
                 raise ValueError("a message holds a line break")
-            name = named(folder, table.column("offset")[0].as_py(), len(lines))
+            name = named(folder, table.column("offset")[0].as_py(), len(table))
             with system.open_output_stream(name + ".part", compression=None) as out:
-                out.write("".join(line + "\n" for line in lines).encode())
+                for texts in table.column("value").chunks:
+                    out.write(_lines(texts))
             held.clear()
-            return pa.RecordBatch.from_pylist([{"count": len(lines)}])
+            return pa.RecordBatch.from_pylist([{"count": len(table)}])
 
         for batch in batches:
-            numbers = batch.column(1).to_pylist()
-            begin = 0
-            while begin < len(numbers):
-                end = begin + 1
-                while end < len(numbers) and numbers[end] == numbers[begin]:
-                    end += 1
+            numbers = batch.column(1).to_numpy(zero_copy_only=False)
+            ends = [*(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)] if len(numbers) else []
+            for begin, end in zip([0, *ends], ends):
                 if held and held[-1].column(1)[0].as_py() != numbers[begin]:
                     yield flush()
                 held.append(batch.slice(begin, end - begin))
-                begin = end
         if held:
             yield flush()
 
@@ -122,6 +130,17 @@ def append_messages(
     return start + written
 
 
+def _lines(texts: pa.Array) -> bytes:
+    """The texts as lines, a missing one as an empty one."""
+    # In 64-bit offsets, so that one part of a segment may be of any size.
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    lines = pc.binary_join_element_wise(texts, pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
+    if not len(lines):
+        return b""
+    ends = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset : lines.offset + len(lines) + 1]
+    return lines.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes()
+
+
 class _Log:
     """Where a log is read from, as its options say."""
 
@@ -140,8 +159,8 @@ class _Log:
             return found[0].base if found else 0
         return found[-1].last if self.start == "latest" and found else 0 if self.start == "latest" else int(self.start)
 
-    def between(self, start: int, end: int) -> list[Segment]:
-        """One part for each segment that holds messages from ``start`` up to ``end``."""
+    def between(self, start: int, end: int) -> list[Run]:
+        """The segments that hold messages from ``start`` up to ``end``, dealt to tasks in their order."""
         parts, reached = [], start
         for found in segments(self.uri):
             if found.last <= start or found.base >= end:
@@ -152,10 +171,15 @@ class _Log:
             reached = found.last
         if reached < end and self.strict:
             raise ValueError(f"messages {reached} to {end - 1} are no longer in the log")
-        return parts
+        size = max(1, min(MOST, math.ceil(len(parts) / PARTS)))
+        return [Run(tuple(parts[at : at + size])) for at in range(0, len(parts), size)]
 
-    def rows(self, part: Segment) -> Iterator[pa.RecordBatch]:
+    def rows(self, run: Run) -> Iterator[pa.RecordBatch]:
         system, _ = _open(self.uri)
+        for part in run.segments:
+            yield from self._segment(system, part)
+
+    def _segment(self, system: fs.FileSystem, part: Segment) -> Iterator[pa.RecordBatch]:
         with system.open_input_stream(part.path, compression=None) as stream:
             lines = stream.read().decode().split("\n")[part.first - part.base : part.last - part.base]
         for at in range(0, len(lines), 5000):
@@ -205,7 +229,8 @@ class MessageLog(DataSource):
     Options: ``path``; ``startingOffset``: ``earliest`` (default), ``latest`` or the number of the
     first message to be read, used when a stream has no checkpoint yet; ``failOnDataLoss``:
     ``false`` passes over messages that are no longer there instead of failing. Each batch reads
-    the numbers from its start to its end, one part for each segment in between.
+    the numbers from its start to its end; a task reads one segment in between, or several where
+    there are very many.
     """
 
     @classmethod

@@ -24,6 +24,11 @@ def _start(writer: DataStreamWriter, checkpoint: str, once: bool, every: str | N
     return writer.start()
 
 
+def _holds_messages(batch: DataFrame) -> bool:
+    """Reads parts of the batch until there is a message, as a rule one; ``isEmpty`` reads of them all."""
+    return bool(batch.head(1))
+
+
 def start_scoring(
     messages: DataFrame,
     columns: Iterable[str],
@@ -63,7 +68,7 @@ def start_batch_scoring(
     columns = list(columns)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
+        if _holds_messages(batch):
             scores = score(parse_messages(batch, columns, payload), model, spec)
             write_scores(scores, f"{path}/batch_id={batch_id}", mode="overwrite")
 
@@ -92,7 +97,7 @@ def start_versioned_scoring(
     held: dict[int, PipelineModel] = {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        if not _holds_messages(batch):
             return
         spark = batch.sparkSession
         version = newest_version(spark, store)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +48,27 @@ def test_messages_are_numbered_without_gaps(spark, tmp_path):
     assert end_of(log) == 61 and append(spark, log, 0, 0) == 61
 
 
+def test_many_segments_are_read_by_few_tasks(spark, tmp_path, monkeypatch):
+    """A task for each segment costs more than it reads; a few segments still have a task each."""
+    log = str(tmp_path / "log")
+    append(spark, log, 0, 61)
+    assert [len(run.segments) for run in message_log._Log({"path": log}).between(0, 61)] == [1] * 9
+    monkeypatch.setattr(message_log, "PARTS", 3)
+    runs = message_log._Log({"path": log}).between(10, 60)
+    assert [len(run.segments) for run in runs] == [3, 3, 2]
+    assert [(s.first, s.last) for run in runs for s in run.segments] == [(n, min(n + 7, 60)) if n > 7 else (10, 14) for n in range(7, 60, 7)]
+    read_back = [x for run in runs for batch in message_log._Log({"path": log}).rows(run) for x in zip(*map(pa.Array.to_pylist, batch.columns))]
+    assert read_back == expected(10, 60)
+
+
+def test_missing_and_empty_messages_are_empty_lines(spark, tmp_path):
+    log = str(tmp_path / "log")
+    rows = [(0, None), (1, "é"), (2, ""), (3, None), (4, "x" * 70_000)]
+    assert append_messages(spark.createDataFrame(rows, "k int, value string"), log, ["k"], segment=3) == 5
+    register_message_log(spark)
+    assert sorted(map(tuple, spark.read.format("message_log").load(log).collect())) == [(n, text or "") for n, text in rows]
+
+
 def test_start_positions(spark, tmp_path):
     log = str(tmp_path / "log")
     append(spark, log, 0, 40)

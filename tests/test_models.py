@@ -5,6 +5,7 @@ from pyspark.ml.feature import StandardScalerModel
 from pyspark.sql import functions as F
 
 from subscore import workload
+from subscore.functions import vector_item
 from subscore.operators.metrics import area_under_roc, class_metrics
 from subscore.operators.split import split_by_key
 from subscore.plans import tune
@@ -255,6 +256,19 @@ def test_trials_of_a_search_share_what_is_in_front_of_the_learner(repeated, monk
         assert len(found.model.stages) == stages[-1]
 
 
+def test_stream_models_are_fitted_on_different_lines(spark, monkeypatch):
+    """The models of the stream queries look at segments alone, of which there are few."""
+    sizes = []
+    monkeypatch.setattr(workload, "fit", lambda pipeline, rows: sizes.append(rows.count()) or fit(pipeline, rows))
+    lines = prepare(workload.raw_lines(spark, "/root/testdata/sf0.001").drop("order"), workload.LINES)
+    model = workload.segment_regression(lines, workload.PLAIN_LOGIT)
+    assert 2 <= sizes[0] <= 12
+    whole = build_pipeline("log_reg", workload.SEGMENT_FEATURES, "label", **workload.PLAIN_LOGIT).fit(lines)
+    both = [{r.segment: r.p for r in m.transform(lines.withColumn("segment", F.array(*workload.SEGMENT_FEATURES)))
+             .select(F.col("segment").cast("string"), vector_item(F.col("probability")).alias("p")).collect()} for m in (model, whole)]
+    assert both[0] == pytest.approx(both[1], abs=1e-5)
+
+
 def test_search_all_tries_every_setting_on_all_rows(spark, monkeypatch):
     asked = {}
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import json
 import random
+import tempfile
 
 import pytest
 
@@ -14,6 +15,7 @@ from subscore.plans.subscribers import COLUMNS, SUBSCRIBERS
 from subscore.sources.messages import event_records, message_stream
 from subscore.sources.tables import read_csv, read_typed_csv, save_model, write_csv
 from subscore.streaming import start_batch_scoring, start_scoring
+from subscore.streaming.scoring import _holds_messages
 from tests.conftest import subscriber
 
 
@@ -124,6 +126,18 @@ def test_continuous_stream(spark, mixed, model, expected, tmp_path):
     assert written(spark, str(tmp_path / "out")) == sorted(expected.items())
 
 
+def test_a_batch_is_not_read_to_see_whether_it_is_empty(spark, tmp_path):
+    place = str(tmp_path)
+
+    def seen(batches):
+        tempfile.mkstemp(dir=place)
+        yield from batches
+
+    parts = spark.range(0, 80, 1, 8).mapInArrow(seen, "id long")
+    assert _holds_messages(parts) and len(list(tmp_path.iterdir())) == 1
+    assert not _holds_messages(parts.where("id < 0"))
+
+
 def test_csv_round_trip(spark, tmp_path):
     rows = [(" 1", "a,b", '"q"'), ("2 ", " ", None), ("3", "x\\y", "ü")]
     df = spark.createDataFrame(rows, "a string, b string, c string")
