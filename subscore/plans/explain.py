@@ -10,20 +10,23 @@ usually a minority.
 
 A walk's points are generated from its own row: nothing is joined, the scored
 rows are never held together, all models score the same points, and the effects
-are summed before the shuffle.
+are summed before the shuffle. Those of regressions and SVMs are not even generated (``linear``).
 """
 
 from __future__ import annotations
 
 import json
+import math
 import random
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from subscore.functions import quoted, sigmoid, vector_item
 from subscore.operators.small import attach, settle
+from subscore.plans.linear import Linear, linear_model, linear_sums
 from subscore.plans.trees import Background, is_boosted, is_forest, tree_attributions
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -63,6 +66,7 @@ def probability_scorer(model: PipelineModel) -> Scorer:
         scored = model.transform(df)
         return scored.withColumn("score", class_probability(scored)).select(*map(quoted, df.columns), "score")
 
+    add_score.linear = linear_model(model)
     return add_score
 
 
@@ -272,6 +276,13 @@ def _wide_sums(
     )
 
 
+def _linear(scorer: Scorer, background: Background) -> Linear | None:
+    """The weights of a scorer that has some, if the background has a number for each of its features."""
+    linear = getattr(scorer, "linear", None)
+    whole = all(x is not None and not math.isnan(x) for row in background.rows for x in row)
+    return linear if linear is not None and whole and {*linear.names} <= {*background.features} else None
+
+
 def attributions(
     rows: DataFrame,
     background: Background,
@@ -284,7 +295,7 @@ def attributions(
     """(model,) key..., feature, value, attribution for every row, feature and scorer.
 
     ``scorers`` is a function that adds a ``score`` column, or several by name; all of them
-    score the same points. The attributions of a row add up to its score less the
+    score the same points. If all are regressions or SVMs, the points are not made (``linear``). The attributions of a row add up to its score less the
     background's mean score. A key that comes twice fails. ``partitions`` spreads a short
     table of rows, which otherwise stays in the few tasks it comes from.
     """
@@ -299,8 +310,12 @@ def attributions(
         numbered = numbered.repartition(partitions, *keys)
     sums = [f"_score{i}" for i in range(len(named))]
     sized = dict(zip(sums, named.values(), strict=True))
-    narrow = len(features) <= NARROW
-    summed = (_narrow_sums if narrow else _wide_sums)(numbered, features, keys, walks, sized)
+    linear = {made: _linear(scorer, background) for made, scorer in sized.items()}
+    if all(linear.values()):
+        summed = linear_sums(numbered, features, keys, walks, linear)
+    else:
+        narrow = len(features) <= NARROW
+        summed = (_narrow_sums if narrow else _wide_sums)(numbered, features, keys, walks, sized)
     twice = F.raise_error(F.lit(f"more than one row has the same {', '.join(key)}")).cast("double")
     names = _literal(features, "array<string>")
     found = summed.select(
@@ -464,7 +479,7 @@ def explain_models(
     """Attributions of each model's probability of class 1 for all rows, or the first ``n_samples`` by key.
 
     Forests are explained exactly by the paths to their leaves, in one narrow pass. All other
-    models score the same points of random walks (``options`` of :func:`attributions`). Boosted
+    models go along the same random walks (``options`` of :func:`attributions`). Boosted
     trees add up to a margin, not to a probability: with ``boosted="margin"`` that is explained
     instead, exactly and by their leaves as well.
     """
@@ -480,9 +495,12 @@ def explain_models(
     found = []
     if exact:
         found.append(tree_attributions(data, background, key, exact))
-    if walked:
-        found.append(attributions(data, background, key, walked, **options))
-    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    # Regressions and SVMs go along the walks by themselves, and need no points.
+    for linear in (True, False):
+        some = {name: scorer for name, scorer in walked.items() if (_linear(scorer, background) is not None) == linear}
+        if some:
+            found.append(attributions(data, background, key, some, **options))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _first(data: DataFrame, key: Sequence[str], n: int | None) -> DataFrame:

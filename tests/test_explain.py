@@ -367,3 +367,46 @@ def test_rows_between_the_same_limits_are_explained_once():
         assert explainer.explain(rows) == pytest.approx(plain, abs=1e-15)
     assert seen == [4, 0]
     assert explainer.explain(rows[:0]).shape == (0, 2)
+
+
+@pytest.mark.parametrize("family", ["log_reg", "svm"])
+@pytest.mark.parametrize("narrow", [True, False])
+def test_linear_models_are_walked_without_points(prepared, family, narrow):
+    """As by scoring every point; an array of effects comes from each row, whatever the number of walks."""
+    features = ["MonthlyCharges", "TotalCharges", "tenure", "Contract_One year", "Contract_Two year"] if narrow else SUBSCRIBERS.features
+    model = build_pipeline(family, features, "Churn", regParam=0.01, maxIter=20).fit(prepared)
+    background = sample_background(prepared, features, ["customerID"], 4, seed=3)
+    some = prepared.where("customerID < 'C00060'")
+    scorer = probability_scorer(model)
+    every = [
+        {(r.customerID, r.feature): (r.value, r.attribution) for r in attributions(some, background, ["customerID"], s, orders=2, seed=5).collect()}
+        for s in (scorer, lambda df: scorer(df))
+    ]
+    assert len(every[0]) == some.count() * len(features) and every[0].keys() == every[1].keys()
+    for at, (value, attribution) in every[1].items():
+        assert every[0][at] == (value, pytest.approx(attribution, abs=1e-10))
+    plan = attributions(some, background, ["customerID"], scorer)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate ") == 1 and "UDF(" not in plan
+
+
+def test_missing_numbers_of_linear_models(spark):
+    """Refused like by the assembler, as is a key that comes twice, but of no matter to a model that does not use them."""
+    df = spark.createDataFrame([(n, float(n % 5), float(n % 3), int(n % 5 > 2)) for n in range(60)], "k int, a double, b double, y int")
+    scorer = probability_scorer(build_pipeline("log_reg", ["a", "b"], "y", regParam=0.1).fit(df))
+    background = Background(["a", "b", "c"], [[1.0, 2.0, 0.0], [4.0, 0.0, 1.0]])
+    odd = spark.createDataFrame([(1, 2.0, 1.0, 2.0), (None, 3.0, 2.0, None), (3, 4.0, 0.0, float("nan"))], "k int, a double, b double, c double")
+    every = [
+        {(r.k, r.feature): (str(r.value), r.attribution) for r in attributions(odd, background, ["k"], s).collect()}
+        for s in (scorer, lambda df: scorer(df))
+    ]
+    assert len(every[0]) == 9 and every[0].keys() == every[1].keys()
+    for at, (value, attribution) in every[1].items():
+        assert every[0][at] == (value, pytest.approx(attribution, abs=1e-12))
+    for missing in (float("nan"), None):
+        with pytest.raises(Exception, match="missing or NaN"):
+            attributions(odd.withColumn("a", F.lit(missing).cast("double")), background, ["k"], scorer).collect()
+    with pytest.raises(Exception, match="more than one row"):
+        attributions(df.withColumn("c", F.lit(0.0)).withColumn("k", F.lit(1)), background, ["k"], scorer).collect()
+    gaps = Background(["a", "b"], [[1.0, None]])
+    with pytest.raises(Exception):  # as the assembler refuses it
+        attributions(df, gaps, ["k"], scorer).collect()
